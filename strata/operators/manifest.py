@@ -8,28 +8,25 @@ from pyspark.sql import functions as F
 ACTIVE, REMOVED = "active", "removed"
 
 
+STATE = ("source_last_modified", "source_size_bytes", "status", "first_seen_at", "last_seen_at",
+         "last_downloaded_at", "removed_at")
+
+
 def reconcile(manifest: DataFrame, listing: DataFrame, local: DataFrame, run_time: Column) -> DataFrame:
     """Compare the manifest with a new listing; one row per file with its ``action`` and next state.
 
-    ``manifest``: file_name, source_last_modified, source_size_bytes, status, first_seen_at,
-    last_seen_at, last_downloaded_at, removed_at. ``listing``: file_name,
+    ``manifest``: file_name and the columns of ``STATE``. ``listing``: file_name,
     source_last_modified, source_size_bytes. ``local``: file_name, local_size_bytes of the
-    copies at hand. Each has one row per file name.
+    copies at hand. Each has one row per file name. Further columns of the manifest are
+    carried along, those of the listing replace them for the files it names.
 
     A file is ``unchanged`` only if it was active with the same time and size and its copy
     has that size; otherwise ``new`` if never seen, else ``changed``, also when a removed
     file returns. An active file not listed is ``removed``; one removed earlier and still
     not listed is ``absent`` and stays as it is.
     """
-    known = manifest.select(
-        "file_name",
-        F.struct(*[name for name in manifest.columns if name != "file_name"]).alias("old"),
-    )
-    seen = listing.join(local, "file_name", "left").select(
-        "file_name",
-        F.struct("source_last_modified", "source_size_bytes", "local_size_bytes").alias("now"),
-    )
-    both = known.join(seen, "file_name", "full_outer")
+    known = _packed(manifest, "old")
+    both = known.join(_packed(listing.join(local, "file_name", "left"), "now"), "file_name", "full_outer")
     was_known, listed = F.col("old").isNotNull(), F.col("now").isNotNull()
     same = F.coalesce(
         (F.col("old.status") == ACTIVE)
@@ -46,6 +43,7 @@ def reconcile(manifest: DataFrame, listing: DataFrame, local: DataFrame, run_tim
         .otherwise("absent")
     )
     fetched = F.col("action").isin("new", "changed")
+    removed_at = F.when(F.col("action") == "removed", run_time).otherwise(F.col("old.removed_at"))
     return both.withColumn("action", action).select(
         "file_name",
         "action",
@@ -54,12 +52,42 @@ def reconcile(manifest: DataFrame, listing: DataFrame, local: DataFrame, run_tim
         F.coalesce(F.col("old.first_seen_at"), run_time).alias("first_seen_at"),
         F.when(listed, run_time).otherwise(F.col("old.last_seen_at")).alias("last_seen_at"),
         F.when(fetched, run_time).otherwise(F.col("old.last_downloaded_at")).alias("last_downloaded_at"),
-        F.when(listed, F.lit(None))
-        .when(F.col("action") == "removed", run_time)
-        .otherwise(F.col("old.removed_at"))
-        .alias("removed_at"),
+        F.when(~listed, removed_at).alias("removed_at"),
         F.when(listed, F.lit(ACTIVE)).otherwise(F.lit(REMOVED)).alias("status"),
+        *_carried(manifest, listing),
+    )
+
+
+def _packed(df: DataFrame, name: str) -> DataFrame:
+    return df.select("file_name", F.struct(*[c for c in df.columns if c != "file_name"]).alias(name))
+
+
+def _carried(manifest: DataFrame, listing: DataFrame) -> list[Column]:
+    """Columns beyond the required ones: the listing's value first, then the manifest's."""
+    done = {"file_name", *STATE}
+    names = dict.fromkeys([*listing.columns, *manifest.columns])
+    sides = [("now", listing.columns), ("old", manifest.columns)]
+    return [
+        F.coalesce(*[F.col(f"{side}.{name}") for side, columns in sides if name in columns]).alias(name)
+        for name in names
+        if name not in done
+    ]
+
+
+def check_fetched(reconciled: DataFrame, contents: DataFrame) -> DataFrame:
+    """The files that had to be fetched, with the hash of what arrived and whether its size is right.
+
+    ``contents`` has file_name and content. A file that did not arrive has no hash and a
+    false ``size_matches``, so one failing rule on that column covers both.
+    """
+    arrived = contents.select(
+        "file_name",
+        content_hash(F.col("content")).alias("content_sha256"),
+        F.octet_length("content").cast("bigint").alias("fetched_size_bytes"),
     )
+    wanted = reconciled.where(F.col("action").isin("new", "changed")).select("file_name", "action", "source_size_bytes")
+    matches = F.coalesce(F.col("fetched_size_bytes") == F.col("source_size_bytes"), F.lit(False))
+    return wanted.join(arrived, "file_name", "left").withColumn("size_matches", matches)
 
 
 def change_events(reconciled: DataFrame, run_time: Column) -> DataFrame:

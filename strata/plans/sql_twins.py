@@ -39,6 +39,22 @@ BEST_YEARS = """
     SELECT series_id, best_year, yearly_value, value_method FROM ranked WHERE place = 1
 """
 
+LABELS = """
+    SELECT s.series_id, sector_name, measure_text, class_text, duration_text, seasonal_text,
+           sector_name IS NOT NULL AND measure_text IS NOT NULL AND class_text IS NOT NULL
+               AND duration_text IS NOT NULL AND seasonal_text IS NOT NULL AS _label_lookup_complete,
+           concat_ws(' | ', sector_name, measure_text, class_text, duration_text, seasonal_text)
+               AS human_readable_label
+    FROM {series} s
+    LEFT JOIN {sector} USING (sector_code)
+    LEFT JOIN {class_} USING (class_code)
+    LEFT JOIN {measure} USING (measure_code)
+    LEFT JOIN {duration} USING (duration_code)
+    LEFT JOIN {seasonal} USING (seasonal_code)
+"""
+
+LABELLED_BEST_YEARS = "SELECT * FROM {best} LEFT JOIN {labels} USING (series_id)"
+
 SERIES_PERIOD = """
     SELECT o.series_id, o.period, o.year, o.value, p.population
     FROM {obs} o LEFT JOIN {population} p ON p.year = o.year
@@ -66,6 +82,17 @@ def best_years_sql(yearly: DataFrame) -> DataFrame:
     return yearly.sparkSession.sql(BEST_YEARS, yearly=yearly)
 
 
+def labels_sql(series: DataFrame, sector: DataFrame, class_: DataFrame, measure: DataFrame, duration: DataFrame,
+               seasonal: DataFrame) -> DataFrame:
+    """Texts and readable label of every series; the lookups share the names of the code columns."""
+    return series.sparkSession.sql(LABELS, series=series, sector=sector, class_=class_, measure=measure,
+                                   duration=duration, seasonal=seasonal)
+
+
+def labelled_best_years_sql(best: DataFrame, labels: DataFrame) -> DataFrame:
+    return best.sparkSession.sql(LABELLED_BEST_YEARS, best=best, labels=labels)
+
+
 def series_period_sql(obs: DataFrame, population: DataFrame, series_id: str, period: str) -> DataFrame:
     spark = obs.sparkSession
     return spark.sql(SERIES_PERIOD, args={"series_id": series_id, "period": period}, obs=obs, population=population)
