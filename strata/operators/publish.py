@@ -49,15 +49,24 @@ def publish(
     if any(o.mode == FAIL and o.violations for o in outcomes):
         raise GateError(view or location, outcomes)
 
-    data = spark.read.parquet(path)
+    stored = _stored(df, path, no_files=bool(partition_by) and seen.get["_checked"] == 0)
+    data = spark.sql(stored)
     if view and temporary:
         data.createOrReplaceTempView(view)
     elif view:
         text = comment.replace("\\", "\\\\").replace("'", "\\'")
-        spark.sql(f"CREATE OR REPLACE VIEW {view} COMMENT '{text}' AS SELECT * FROM parquet.`{path}`")
+        spark.sql(f"CREATE OR REPLACE VIEW {view} COMMENT '{text}' AS {stored}")
     return Published(data, path, outcomes)
 
 
+def _stored(df: DataFrame, path: str, no_files: bool) -> str:
+    """Query of a version; a partitioned write without rows leaves no file to take the columns from."""
+    if no_files:
+        columns = ", ".join(f"CAST(NULL AS {f.dataType.simpleString()}) AS `{f.name}`" for f in df.schema)
+        return f"SELECT {columns} WHERE false"
+    return f"SELECT * FROM parquet.`{path}`"
+
+
 def gated_view(df: DataFrame, location: str, rules: Sequence[Expectation], view: str) -> Published:
     """A checked intermediate for this session only, read by name."""
     return publish(df, location, rules, view, temporary=True)

@@ -125,37 +125,71 @@ def test_report_lines_look_like_the_published_ones(spark, layout):
                      r"% Change same quarter 1 year ago \| Seasonal Adjusted | True |")
 
 
+def create_schemas(spark, layout):
+    for schema in (layout.bronze, layout.silver, layout.gold):
+        spark.sql(f"CREATE SCHEMA IF NOT EXISTS {schema}")
+
+
 def test_only_new_snapshots_are_ingested_and_the_newest_counts(spark, layout, tmp_path):
-    plan.build(spark, layout)
+    create_schemas(spark, layout)
+    assert {o.checked for o in plan.population_bronze(spark, layout)} == {2}
+    assert plan.population_silver(spark, layout).data.count() == len(POPULATION)
     land_population(tmp_path / "population", "2026-01-03__00_00_00", body_of({2013: 10, 2014: 20}))
-    again = plan.build(spark, layout)
-    assert {o.checked for o in again["population_raw"]} == {1}
+    assert {o.checked for o in plan.population_bronze(spark, layout)} == {1}
     assert spark.table(f"{layout.bronze}.population_raw").count() == 3
-    assert spark.table(f"{layout.gold}.population_by_year").count() == 2
+    plan.population_silver(spark, layout)
+    newest = spark.table(f"{layout.silver}.fct_population").collect()
+    assert {(r.year, r.population, r.source_file) for r in newest} == {
+        (2013, 10.0, "population__fetched_2026-01-03__00_00_00_UTC.json"),
+        (2014, 20.0, "population__fetched_2026-01-03__00_00_00_UTC.json"),
+    }
 
 
 def test_broken_newest_snapshot_stops_without_falling_back(spark, layout, tmp_path):
-    plan.build(spark, layout)
+    create_schemas(spark, layout)
+    plan.population_bronze(spark, layout)
+    plan.population_silver(spark, layout)
     land_population(tmp_path / "population", "2026-01-04__00_00_00", '{"data": [')
+    warned = {o.name: o.violations for o in plan.population_bronze(spark, layout)}
+    assert warned["expected_population_schema"] == 1 and warned["raw_json_not_null"] == 0
     with pytest.raises(GateError, match="nation_id_not_null=1"):
-        plan.build(spark, layout)
+        plan.population_silver(spark, layout)
     assert spark.table(f"{layout.bronze}.population_raw").where("not payload_schema_valid").count() == 1
     assert spark.table(f"{layout.silver}.fct_population").count() == len(POPULATION)
 
 
-@pytest.mark.parametrize("bad, rule", [
-    (("PRS30006011", 1996, "Q03", "n/a"), "value_not_null=1"),
-    (("PRS30006011", 1996, "Q01", "8"), "unique_natural_key=2"),
-])
-def test_bad_facts_leave_the_typed_table_on_its_last_version(spark, layout, tmp_path, bad, rule):
-    plan.build(spark, layout)
-    land_text(tmp_path / "text", [*FACTS, bad])
-    with pytest.raises(GateError, match=rule):
-        plan.build(spark, layout)
-    assert spark.table(f"{layout.silver}.fct_bls_pr_data_1_alldata").count() == len(FACTS)
+def test_repeated_year_in_one_snapshot_stops_the_table(spark, layout, tmp_path):
+    create_schemas(spark, layout)
+    twice = json.loads(body_of({2013: 1}))
+    twice["data"] *= 2
+    land_population(tmp_path / "population", "2026-01-05__00_00_00", json.dumps(twice))
+    plan.population_bronze(spark, layout)
+    with pytest.raises(GateError, match="unique_nation_year=2"):
+        plan.population_silver(spark, layout)
+
+
+def test_bad_facts_leave_the_typed_table_on_its_last_version(spark, layout, tmp_path):
+    create_schemas(spark, layout)
+    plan.text_bronze(spark, layout)
+    plan.text_silver(spark, layout)
+    bad = {
+        "value_not_null=1": ("PRS30006011", 1996, "Q03", "n/a"),
+        "unique_natural_key=2": ("PRS30006011", 1996, "Q01", "8"),
+    }
+    for rule, fact in bad.items():
+        land_text(tmp_path / "text", [*FACTS, fact])
+        plan.text_bronze(spark, layout)
+        with pytest.raises(GateError, match=rule):
+            plan.text_silver(spark, layout)
+        assert spark.table(f"{layout.silver}.fct_bls_pr_data_1_alldata").count() == len(FACTS)
 
 
 def test_unknown_period_stops_the_yearly_values(spark, layout, tmp_path):
+    create_schemas(spark, layout)
     land_text(tmp_path / "text", [*FACTS, ("PRS30006011", 1996, "Q06", "8")])
+    plan.text_bronze(spark, layout)
+    plan.text_silver(spark, layout)
+    plan.population_bronze(spark, layout)
+    plan.population_silver(spark, layout)
     with pytest.raises(GateError, match="recognized_period_codes_only=1"):
-        plan.build(spark, layout)
+        plan.gold(spark, layout)
