@@ -26,7 +26,7 @@ def _without_dots(path: Column) -> Column:
 
 
 def absolute_url(href: Column, base: Column | str) -> Column:
-    """``href`` as seen from the page ``base`` (the generic rules of RFC 3986)."""
+    """``href`` as seen from the page ``base``: RFC 3986, with slashes merged in relative paths."""
     base = F.lit(base) if isinstance(base, str) else base
     plain_base = F.regexp_extract(base, r"^[^?#]*", 0)
     scheme = F.regexp_extract(plain_base, r"^([A-Za-z][A-Za-z0-9+.-]*:)//", 1)
@@ -37,7 +37,8 @@ def absolute_url(href: Column, base: Column | str) -> Column:
     path = F.regexp_extract(href, r"^[^?#]*", 0)
     rest = F.regexp_extract(href, r"[?#].*$", 0)
     base_query = F.regexp_extract(base, r"^[^?#]*(\?[^#]*)?", 0)
-    rooted = F.when(path.startswith("/"), path).otherwise(F.concat(folder, path))
+    below = F.regexp_replace(F.concat(folder, path), "/{2,}", "/")
+    rooted = F.when(path.startswith("/"), path).otherwise(below)
     return (
         F.when(href.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*:"), href)
         .when(href.startswith("//"), F.concat(scheme, href))
