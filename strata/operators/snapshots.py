@@ -38,7 +38,7 @@ def flag_payload(df: DataFrame, schema: str, body: str = "raw_json", records: st
     """
     found = F.from_json(F.col(body), schema).getField(records)
     return df.withColumns(
-        {"payload_schema_valid": found.isNotNull(), "population_data_not_empty": F.size(found) > 0}
+        {"payload_schema_valid": found.isNotNull(), "population_data_not_empty": F.array_size(found) > 0}
     )
 
 
