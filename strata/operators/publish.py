@@ -6,10 +6,12 @@ import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame, Observation, SparkSession
 
 from strata.operators.quality import FAIL, Expectation, GateError, RuleOutcome, outcomes_of, violation_counts
 
+VERSION = "strata.version"
+
 
 @dataclass(frozen=True)
 class Published:
@@ -38,27 +40,43 @@ def publish(
     failing rule raises :class:`GateError` and leaves the view on its old version.
     No file is moved: switching is one catalog change, so readers see one version or
     the other, also on an object store, and a job that dies leaves no trace in the view.
+    A catalog view alternates between two folders, so it never keeps more than two versions.
     """
     spark = df.sparkSession
-    path = f"{location.rstrip('/')}/v-{uuid.uuid4().hex}"
+    lasting = view if view and not temporary else None
+    path = _free_slot(spark, lasting, location.rstrip("/"))
     seen = Observation()
-    writer = df.observe(seen, *violation_counts(rules)).write.mode("errorifexists")
+    writer = df.observe(seen, *violation_counts(rules)).write.mode("overwrite").option("partitionOverwriteMode", "static")
     (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
 
-    outcomes = outcomes_of(rules, seen.get)
+    counted = seen.get
+    outcomes = outcomes_of(rules, counted)
     if any(o.mode == FAIL and o.violations for o in outcomes):
         raise GateError(view or location, outcomes)
 
-    stored = _stored(df, path, no_files=bool(partition_by) and seen.get["_checked"] == 0)
+    stored = _stored(df, path, no_files=bool(partition_by) and counted["_checked"] == 0)
     data = spark.sql(stored)
-    if view and temporary:
-        data.createOrReplaceTempView(view)
-    elif view:
+    if lasting:
         text = comment.replace("\\", "\\\\").replace("'", "\\'")
-        spark.sql(f"CREATE OR REPLACE VIEW {view} COMMENT '{text}' AS {stored}")
+        spark.sql(
+            f"CREATE OR REPLACE VIEW {view} COMMENT '{text}' TBLPROPERTIES ('{VERSION}' = '{path}') AS {stored}"
+        )
+    elif view:
+        data.createOrReplaceTempView(view)
     return Published(data, path, outcomes)
 
 
+def _free_slot(spark: SparkSession, view: str | None, location: str) -> str:
+    """The folder the view does not read; without a view a folder nobody has used."""
+    if view is None:
+        return f"{location}/{uuid.uuid4().hex}"
+    first, second = f"{location}/a", f"{location}/b"
+    if not spark.catalog.tableExists(view):
+        return first
+    current = spark.sql(f"SHOW TBLPROPERTIES {view} ('{VERSION}')").first().value
+    return second if current == first else first
+
+
 def _stored(df: DataFrame, path: str, no_files: bool) -> str:
     """Query of a version; a partitioned write without rows leaves no file to take the columns from."""
     if no_files:

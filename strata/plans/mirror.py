@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from strata.operators.manifest import STATE, change_events, check_fetched, content_changes, reconcile
 from strata.operators.publish import Published, append_snapshot, publish
 from strata.operators.quality import FAIL, Expectation
-from strata.session import written
+from strata.session import scratch_path, written
 from strata.sources.listing import discover_files, empty_listings, listing_rows
 
 MANIFEST = (
@@ -72,7 +72,7 @@ def record_run(spark: SparkSession, mirror: Mirror, reconciled: DataFrame, run_t
     if fetched_since:
         files = files.where(F.col("modificationTime") >= F.lit(fetched_since))
     contents = files.select(F.substring_index("path", "/", -1).alias("file_name"), "content")
-    checked = publish(check_fetched(reconciled, contents), f"{mirror.state}/fetched", FETCH_RULES).data
+    checked = publish(check_fetched(reconciled, contents), scratch_path(spark, "fetched"), FETCH_RULES).data
 
     fetched = checked.select("file_name", F.col("content_sha256").alias("_hash"))
     moved_on = reconciled.join(fetched, "file_name", "left").withColumn(

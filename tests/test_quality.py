@@ -1,5 +1,6 @@
 """Contracts, typing, expectations, unique keys and publishing."""
 
+import os
 from decimal import Decimal
 
 import pytest
@@ -115,8 +116,14 @@ def test_publish_switches_the_view_only_when_the_rules_hold(spark, rows, tmp_pat
     assert {o.name: o.violations for o in stopped.value.outcomes} == {"filled": 1, "large": 1}
     assert sorted(r.n for r in spark.table("gate.t").collect()) == [1, 2]
 
-    publish.publish(rows([(5, "x")], "n int, more string"), place, rules, "gate.t")
+    second = publish.publish(rows([(5, "x")], "n int, more string"), place, rules, "gate.t")
     assert [tuple(r) for r in spark.table("gate.t").collect()] == [(5, "x")]
+    assert sorted(r.n for r in first.data.collect()) == [1, 2] and second.path != first.path
+
+    grown = spark.table("gate.t").union(rows([(6, "y")], "n int, more string"))
+    third = publish.publish(grown, place, rules, "gate.t")
+    assert sorted(r.n for r in spark.table("gate.t").collect()) == [5, 6]
+    assert third.path == first.path and len(os.listdir(place)) == 2
 
 
 def test_a_filter_behind_the_gate_hides_nothing(spark, rows, tmp_path):
