@@ -20,30 +20,43 @@ def _without_dots(path: Column) -> Column:
 
     kept = F.aggregate(segments, F.array().cast("array<string>"), step)
     joined = F.array_join(kept, "/")
-    return F.when(
-        F.element_at(segments, -1).isin(".", "..") & ~joined.endswith("/"), F.concat(joined, F.lit("/"))
-    ).otherwise(joined)
+    ends_in_dots = F.element_at(segments, -1).isin(".", "..") & ~joined.endswith("/")
+    return F.when(ends_in_dots, F.concat(joined, F.lit("/"))).otherwise(joined)
+
+
+def _before(text: Column, *marks: str) -> Column:
+    """The part of a text in front of the first of some characters."""
+    for mark in marks:
+        text = F.substring_index(text, mark, 1)
+    return text
 
 
 def absolute_url(href: Column, base: Column | str) -> Column:
-    """``href`` as seen from the page ``base``: RFC 3986, with slashes merged in relative paths."""
+    """``href`` as seen from the page ``base``: RFC 3986, with slashes merged in relative paths.
+
+    Plain text functions come first; a pattern is only tried where it can match.
+    """
     base = F.lit(base) if isinstance(base, str) else base
-    plain_base = F.regexp_extract(base, r"^[^?#]*", 0)
-    scheme = F.regexp_extract(plain_base, r"^([A-Za-z][A-Za-z0-9+.-]*:)//", 1)
-    origin = F.regexp_extract(plain_base, r"^[A-Za-z][A-Za-z0-9+.-]*://[^/]*", 0)
-    base_path = F.regexp_replace(plain_base, r"^[A-Za-z][A-Za-z0-9+.-]*://[^/]*", "")
-    folder = F.when(base_path == "", F.lit("/")).otherwise(F.regexp_extract(base_path, r"^.*/", 0))
-
-    path = F.regexp_extract(href, r"^[^?#]*", 0)
-    rest = F.regexp_extract(href, r"[?#].*$", 0)
-    base_query = F.regexp_extract(base, r"^[^?#]*(\?[^#]*)?", 0)
-    below = F.regexp_replace(F.concat(folder, path), "/{2,}", "/")
+    plain_base = _before(base, "#", "?")
+    scheme = F.concat(F.substring_index(plain_base, ":", 1), F.lit(":"))
+    origin = F.substring_index(plain_base, "/", 3)
+    base_path = F.substring(plain_base, F.length(origin) + 1, F.length(plain_base))
+    last_part = F.substring_index(base_path, "/", -1)
+    folder = F.when(base_path == "", F.lit("/")).otherwise(
+        F.substring(base_path, F.lit(1), F.length(base_path) - F.length(last_part))
+    )
+
+    path = _before(href, "#", "?")
+    rest = F.substring(href, F.length(path) + 1, F.length(href))
+    joined = F.concat(folder, path)
+    below = F.when(F.contains(joined, F.lit("//")), F.regexp_replace(joined, "/{2,}", "/")).otherwise(joined)
     rooted = F.when(path.startswith("/"), path).otherwise(below)
     return (
-        F.when(href.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*:"), href)
+        F.when(F.contains(href, F.lit(":")) & href.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*:"), href)
         .when(href.startswith("//"), F.concat(scheme, href))
         .when(href == "", base)
-        .when(href.startswith("#"), F.concat(base_query, href))
+        .when(href.startswith("#"), F.concat(_before(base, "#"), href))
         .when(path == "", F.concat(plain_base, rest))
-        .otherwise(F.concat(origin, _without_dots(rooted), rest))
+        .when(F.contains(rooted, F.lit("/.")), F.concat(origin, _without_dots(rooted), rest))
+        .otherwise(F.concat(origin, rooted, rest))
     )

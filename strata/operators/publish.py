@@ -54,7 +54,7 @@ def publish(
     if any(o.mode == FAIL and o.violations for o in outcomes):
         raise GateError(view or location, outcomes)
 
-    stored = _stored(df, path, no_files=bool(partition_by) and counted["_checked"] == 0)
+    stored = stored_query(df, path, no_files=bool(partition_by) and counted["_checked"] == 0)
     data = spark.sql(stored)
     if lasting:
         text = comment.replace("\\", "\\\\").replace("'", "\\'")
@@ -77,8 +77,8 @@ def _free_slot(spark: SparkSession, view: str | None, location: str) -> str:
     return second if current == first else first
 
 
-def _stored(df: DataFrame, path: str, no_files: bool) -> str:
-    """Query of a version; a partitioned write without rows leaves no file to take the columns from."""
+def stored_query(df: DataFrame, path: str, no_files: bool) -> str:
+    """Query of written data; one without any file takes the columns from the frame instead."""
     if no_files:
         columns = ", ".join(f"CAST(NULL AS {f.dataType.simpleString()}) AS `{f.name}`" for f in df.schema)
         return f"SELECT {columns} WHERE false"

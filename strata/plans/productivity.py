@@ -18,7 +18,7 @@ from strata.functions.text import normalize_name
 from strata.operators.conform import ConformSpec, conform_checked, conform_rules
 from strata.operators.contracts import KEY_FLAG, SCHEMA_FLAG, Contract, flag_contract
 from strata.operators.enrich import Lookup
-from strata.operators.publish import Published, gated_view, publish
+from strata.operators.publish import Published, gated_view, publish, stored_query
 from strata.operators.quality import FAIL, WARN, Expectation, RuleOutcome, expect_all, flag_unique_key
 from strata.operators.rollup import range_stats
 from strata.operators.snapshots import explode_records, flag_payload, latest_snapshot, record_fields
@@ -169,7 +169,9 @@ def population_bronze(spark: SparkSession, layout: Layout) -> list[RuleOutcome]:
         "fetched_on",
     )
     outcomes = ingest_available(raw, table, f"{table}_checkpoint", SNAPSHOT_RULES, partition_by=["fetched_on"])
-    spark.sql(f"CREATE OR REPLACE VIEW {view} COMMENT 'Every snapshot fetched.' AS SELECT * FROM parquet.`{table}`")
+    nothing_yet = spark.read.schema(raw.schema).parquet(table).isEmpty()
+    stored = stored_query(raw, table, no_files=nothing_yet)
+    spark.sql(f"CREATE OR REPLACE VIEW {view} COMMENT 'Every snapshot fetched.' AS {stored}")
     return outcomes
 
 

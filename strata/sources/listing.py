@@ -30,45 +30,48 @@ def discover_files(spark: SparkSession, folder: str, ignored: Sequence[str] = ()
     ).where(~F.col("file_name").isin(*ignored) if ignored else F.lit(True))
 
 
-def _matches(html: Column, pattern: str, groups: Sequence[str]) -> Column:
-    """Array of structs, one per match in page order."""
-    parts = [F.regexp_extract_all(html, F.lit(pattern), F.lit(i + 1)).alias(name) for i, name in enumerate(groups)]
-    return F.arrays_zip(*parts)
+def _last_per_name(pages: DataFrame, keep: Sequence[str], html: str, pattern: str, name_group: int) -> DataFrame:
+    """Matches of every page, with their name; of several with one name the last on the page stays.
 
-
-def _last_per_name(pages: DataFrame, page: str, matches: Column, carry: Sequence[str], **values: Column) -> DataFrame:
-    """Named matches of every page; of several with one name the last on the page stays.
-
-    The choice is an aggregate by page and name, merged in each task before the exchange.
+    A page is one row and is dealt with in that row: its matches are sorted by name and
+    place, and those followed by another name are the last ones. Nothing is shuffled.
     """
-    found = pages.select(page, *carry, F.posexplode(matches).alias("_at", "_match"))
-    named = found.select(
-        page,
-        F.trim("_match.file_name").alias("file_name"),
-        "_at",
-        F.struct(*[value.alias(name) for name, value in values.items()]).alias("_values"),
+    matches = F.regexp_extract_all(html, F.lit(pattern), F.lit(0))
+    placed = F.transform(
+        matches,
+        lambda text, place: F.struct(
+            F.trim(F.regexp_extract(text, pattern, name_group)).alias("file_name"), place.alias("place"), text.alias("text")
+        ),
+    )
+    by_name = pages.select(*keep, F.sort_array(placed).alias("_by_name"))
+    last = F.filter(
+        "_by_name",
+        lambda match, i: ~F.get("_by_name", i + 1)["file_name"].eqNullSafe(match["file_name"]),
     )
-    last = named.groupBy(page, "file_name").agg(F.max_by("_values", "_at").alias("_values"))
-    return last.select(page, "file_name", "_values.*")
+    found = by_name.select(*keep, F.explode(last).alias("_match"))
+    return found.select(*keep, "_match.file_name", F.col("_match.text").alias("_text"))
 
 
 def listing_rows(pages: DataFrame, base: str, page: str = "page_id", html: str = "html") -> DataFrame:
     """Files named by directory listings: ``page, file_name, source_url, source_last_modified, source_size_bytes``."""
-    matches = _matches(F.col(html), LISTING_ROW, ("modified", "size", "href", "file_name"))
-    return _last_per_name(
-        pages, page, matches, (),
-        source_url=absolute_url(F.col("_match.href"), base),
-        source_last_modified=F.trim("_match.modified"),
-        source_size_bytes=F.col("_match.size").try_cast("bigint"),
+    def group(number: int) -> Column:
+        return F.regexp_extract("_text", LISTING_ROW, number)
+
+    rows = _last_per_name(pages, [page], html, LISTING_ROW, 4).withColumn("_href", group(3))
+    return rows.select(
+        page,
+        "file_name",
+        absolute_url(F.col("_href"), base).alias("source_url"),
+        F.trim(group(1)).alias("source_last_modified"),
+        group(2).try_cast("bigint").alias("source_size_bytes"),
     )
 
 
 def page_links(pages: DataFrame, page: str = "page_id", html: str = "html", address: str = "url") -> DataFrame:
     """Links of pages, with their text as name and their address made absolute."""
-    matches = _matches(F.col(html), LINK, ("href", "file_name"))
-    return _last_per_name(
-        pages, page, matches, (address,), source_url=absolute_url(F.col("_match.href"), F.col(address))
-    )
+    links = _last_per_name(pages, [page, address], html, LINK, 2)
+    href = links.withColumn("_href", F.regexp_extract("_text", LINK, 1))
+    return href.select(page, "file_name", absolute_url(F.col("_href"), F.col(address)).alias("source_url"))
 
 
 def empty_listings(pages: DataFrame, html: str = "html", pattern: str = LISTING_ROW) -> DataFrame:

@@ -221,9 +221,10 @@ def expect_report(spark: SparkSession, sf_dir: str) -> DataFrame:
                concat_ws(',', CASE WHEN order_id IS NULL THEN 'order_id_not_null' END,
                               CASE WHEN total IS NULL THEN 'total_not_null' END,
                               CASE WHEN priority = '' THEN 'priority_filled' END,
-                              CASE WHEN total > 100000 THEN NULL ELSE 'large_order' END) AS _violated
+                              CASE WHEN total > 100000 THEN NULL ELSE 'large_order' END,
+                              CASE WHEN customer_id >= 0 THEN NULL ELSE 'customer_known' END) AS _violated
         FROM typed
-        WHERE order_id IS NULL OR total IS NULL OR priority = '' OR total <= 100000
+        WHERE order_id IS NULL OR total IS NULL OR priority = '' OR total <= 100000 OR customer_id IS NULL
         """,
         part.TYPED_ORDERS,
     ),
@@ -932,11 +933,11 @@ def sort_if_present(spark: SparkSession, sf_dir: str) -> DataFrame:
     "render_rows",
     with_parts(
         """
-        SELECT '| ' || b.series_id || ' | ' || coalesce(l.sector_name, '') || ' | ' || coalesce(l.class_text, '')
+        SELECT '| ' || coalesce(b.series_id, '') || ' | ' || coalesce(l.sector_name, '') || ' | ' || coalesce(l.class_text, '')
                || ' | ' || coalesce(l.seasonal_text, '') || ' | ' || coalesce(l.measure_text, '')
                || ' | ' || coalesce(l.duration_text, '') || ' | ' || b.value_method || ' | ' || b.best_year
-               || ' | ' || b.yearly_value || ' | ' || replace(l.human_readable_label, '|', '\\|') || ' | '
-               || CASE WHEN l._label_lookup_complete THEN 'True' ELSE 'False' END || ' |' AS line
+               || ' | ' || b.yearly_value || ' | ' || coalesce(replace(l.human_readable_label, '|', '\\|'), '')
+               || ' | ' || CASE l._label_lookup_complete WHEN TRUE THEN 'True' WHEN FALSE THEN 'False' ELSE '' END || ' |' AS line
         FROM best b LEFT JOIN labelled l ON l.series_id = b.series_id
         """,
         part.OBS, part.ROLLUP, part.YEARLY, part.BEST, part.LABELS,

@@ -1,6 +1,7 @@
 """From landed files to the three answers, with published figures as the measure."""
 
 import json
+from dataclasses import replace
 from decimal import Decimal
 
 import pytest
@@ -158,6 +159,18 @@ def test_broken_newest_snapshot_stops_without_falling_back(spark, layout, tmp_pa
     assert spark.table(f"{layout.silver}.fct_population").count() == len(POPULATION)
 
 
+def test_no_snapshot_yet(spark, layout, tmp_path):
+    create_schemas(spark, layout)
+    (tmp_path / "nothing").mkdir()
+    early = replace(layout, population_folder=str(tmp_path / "nothing"))
+    for _ in range(2):
+        plan.population_bronze(spark, early)
+        assert plan.population_silver(spark, early).data.isEmpty()
+    land_population(tmp_path / "nothing", "2026-01-02__09_30_00", body_of(POPULATION))
+    plan.population_bronze(spark, early)
+    assert plan.population_silver(spark, early).data.count() == len(POPULATION)
+
+
 def test_repeated_year_in_one_snapshot_stops_the_table(spark, layout, tmp_path):
     create_schemas(spark, layout)
     twice = json.loads(body_of({2013: 1}))
