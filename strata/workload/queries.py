@@ -68,10 +68,21 @@ def best_year(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "best_year_sql",
-    with_parts("SELECT * FROM strict_best", part.OBS, part.ROLLUP, part.YEARLY, part.STRICT),
+    with_parts(
+        """
+        SELECT b.series_id, b.best_year, b.yearly_value, b.value_method, l.sector_name, l.measure_text, l.class_text,
+               l.duration_text, l.seasonal_text, l.human_readable_label, l._label_lookup_complete
+        FROM strict_best b LEFT JOIN labelled l ON l.series_id = b.series_id
+        """,
+        part.OBS, part.ROLLUP, part.YEARLY, part.STRICT, part.LABELS,
+    ),
 )
 def best_year_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sql_twins.best_years_sql(sql_twins.strict_years_sql(views.observations(spark, sf_dir)))
+    best = sql_twins.best_years_sql(sql_twins.strict_years_sql(views.observations(spark, sf_dir)))
+    coded = [item.table.withColumnRenamed(item.code, item.points_from) for item in views.lookups(spark, sf_dir)]
+    sector, classes, measure, duration, seasonal = coded
+    labels = sql_twins.labels_sql(views.series(spark, sf_dir), sector, classes, measure, duration, seasonal)
+    return sql_twins.labelled_best_years_sql(best, labels)
 
 
 @query(
@@ -213,6 +224,89 @@ def expect_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.expect_report(_typed_orders(spark, sf_dir), ORDER_RULES)
 
 
+def _report_sql(source: str, *rules: tuple[str, str, str]) -> str:
+    """Select that counts, per rule, the rows for which its SQL predicate is not true."""
+    return " UNION ALL ".join(
+        f"SELECT '{name}' AS rule, '{mode}' AS mode, count(*) AS checked, "
+        f"CAST(coalesce(sum(CASE WHEN {holds} THEN 0 ELSE 1 END), 0) AS BIGINT) AS violations FROM {source}"
+        for name, mode, holds in rules
+    )
+
+
+@query(
+    "expect_report_yearly",
+    with_parts(
+        _report_sql(
+            "yearly",
+            ("recognized_period_codes_only", "fail", "_unexpected_period_count = 0"),
+            ("usable_yearly_value", "fail", "value_method IS NOT NULL"),
+            ("all_four_quarters_when_quarterly", "warn", "quarter_count = 4 OR value_method = 'annual_average_q05'"),
+        ),
+        part.OBS, part.ROLLUP, part.YEARLY,
+    ),
+)
+def expect_report_yearly(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.expect_report(answers.series_years(views.observations(spark, sf_dir)), answers.YEARLY_RULES)
+
+
+@query(
+    "expect_report_labels",
+    with_parts(
+        _report_sql(
+            "(SELECT l.* FROM best b LEFT JOIN labelled l ON l.series_id = b.series_id) t",
+            ("human_readable_label_lookup_complete", "warn", "_label_lookup_complete"),
+        ),
+        part.OBS, part.ROLLUP, part.YEARLY, part.BEST, part.LABELS,
+    ),
+)
+def expect_report_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.expect_report(_labelled_best(spark, sf_dir), answers.LABEL_RULES)
+
+
+@query(
+    "expect_report_snapshots",
+    with_parts(
+        _report_sql(
+            "bodies",
+            ("snapshot_known", "fail", "snapshot_id IS NOT NULL"),
+            ("fetched_at_utc_not_null", "fail", "fetched_at_utc IS NOT NULL"),
+            ("expected_population_schema", "warn", "kind IN ('whole', 'empty')"),
+            ("population_data_not_empty", "warn", "kind = 'whole'"),
+        ),
+        part.BODIES,
+    ),
+)
+def expect_report_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    flagged = snapshots.flag_payload(views.population_bodies(spark, sf_dir), views.POPULATION_BODY)
+    rules = [
+        quality.Expectation("snapshot_known", "snapshot_id IS NOT NULL", quality.FAIL),
+        quality.Expectation("fetched_at_utc_not_null", "fetched_at_utc IS NOT NULL", quality.FAIL),
+        quality.Expectation("expected_population_schema", "payload_schema_valid"),
+        quality.Expectation("population_data_not_empty", "population_data_not_empty"),
+    ]
+    return quality.expect_report(flagged, rules)
+
+
+@query(
+    "expect_report_keys",
+    """
+    SELECT name AS rule, 'fail' AS mode, count(*) AS checked,
+           CAST(sum(CASE name WHEN 'order_id_not_null' THEN CASE WHEN l_orderkey IS NULL THEN 1 ELSE 0 END
+                              WHEN 'line_not_null' THEN CASE WHEN l_linenumber IS NULL THEN 1 ELSE 0 END
+                              ELSE CASE WHEN copies > 1 THEN 1 ELSE 0 END END) AS BIGINT) AS violations
+    FROM (SELECT l_orderkey, l_linenumber, count(*) OVER (PARTITION BY l_orderkey, l_linenumber) AS copies
+          FROM lineitem) t,
+         (VALUES ('order_id_not_null'), ('line_not_null'), ('unique_natural_key')) r(name)
+    GROUP BY name
+    """,
+)
+def expect_report_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The failing rules a typed table gets from its specification, counted for line items."""
+    spec = next(item for item in views.SPECS if item.source == "lineitem")
+    typed = conform.conform_checked(views.raw_table(spark, sf_dir, spec.source), spec)
+    return quality.expect_report(typed, conform.conform_rules(spec))
+
+
 @query(
     "expect_rows",
     with_parts(
