@@ -139,7 +139,7 @@ def raw_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "orders").select(
         padded(F.when(key % 31 != 0, key)).alias("o_orderkey"),
         padded(F.col("o_custkey")).alias("o_custkey"),
-        padded(F.date_format("o_orderdate", "yyyy-MM-dd")).alias("o_orderdate"),
+        padded(F.col("o_orderdate").cast("date")).alias("o_orderdate"),
         F.when(key % 7 == 0, "   ").otherwise(padded(F.col("o_orderpriority"))).alias("o_orderpriority"),
         F.when(key % 13 == 0, " n/a ")
         .otherwise(padded(F.col("o_totalprice").cast("decimal(18,3)")))
@@ -156,7 +156,7 @@ def raw_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
         if f.dataType.typeName() == "double":
             value = value.cast("decimal(18,3)")
         elif f.dataType.typeName().startswith("timestamp"):
-            value = F.date_format(value, "yyyy-MM-dd")
+            value = value.cast("date")
         texts.append(padded(value).alias(f.name))
     return df.select(*texts)
 

@@ -13,7 +13,7 @@ def spark():
     session = build_session(
         "strata-tests",
         master=f"local[{min(8, os.cpu_count() or 2)}]",
-        **{"spark.sql.shuffle.partitions": "8", "spark.driver.memory": "4g"},
+        **{"spark.sql.shuffle.partitions": "4", "spark.driver.memory": "4g"},
     )
     session.sparkContext.setLogLevel("ERROR")
     yield session

@@ -1,6 +1,7 @@
 """From landed files to the three answers, with published figures as the measure."""
 
 import json
+import uuid
 from dataclasses import replace
 from decimal import Decimal
 
@@ -60,19 +61,28 @@ def body_of(values):
     return json.dumps({"annotations": {"source": "x"}, "data": records, "page": {"total": len(records)}})
 
 
-@pytest.fixture
-def layout(tmp_path, request):
-    prefix = f"t{abs(hash(request.node.name)) % 10**8}"
-    made = plan.Layout(str(tmp_path / "text"), str(tmp_path / "population"), str(tmp_path / "warehouse"),
+def landed(root, prefix):
+    land_text(root / "text", FACTS)
+    land_population(root / "population", "2026-01-01__10_00_00", body_of({2013: 1, 2014: 2}))
+    land_population(root / "population", "2026-01-02__09_30_00", body_of(POPULATION))
+    return plan.Layout(str(root / "text"), str(root / "population"), str(root / "warehouse"),
                        f"{prefix}_bronze", f"{prefix}_silver", f"{prefix}_gold")
-    land_text(tmp_path / "text", FACTS)
-    land_population(tmp_path / "population", "2026-01-01__10_00_00", body_of({2013: 1, 2014: 2}))
-    land_population(tmp_path / "population", "2026-01-02__09_30_00", body_of(POPULATION))
-    return made
 
 
-def test_three_answers(spark, layout):
-    outcomes = plan.build(spark, layout)
+@pytest.fixture
+def layout(tmp_path):
+    return landed(tmp_path, f"t{uuid.uuid4().hex[:12]}")
+
+
+@pytest.fixture(scope="module")
+def built(spark, tmp_path_factory):
+    """All layers built once, with the outcomes of their rules."""
+    made = landed(tmp_path_factory.mktemp("built"), "built")
+    return made, plan.build(spark, made)
+
+
+def test_three_answers(spark, built):
+    layout, outcomes = built
     table = lambda name: spark.table(f"{layout.gold}.{name}")
 
     stats = table("population_summary_stats").collect()
@@ -111,8 +121,8 @@ def test_three_answers(spark, layout):
     assert spark.table(f"{layout.bronze}.population_raw").count() == 2
 
 
-def test_report_lines_look_like_the_published_ones(spark, layout):
-    plan.build(spark, layout)
+def test_report_lines_look_like_the_published_ones(spark, built):
+    layout, _ = built
     stats = spark.table(f"{layout.gold}.population_summary_stats")
     assert table_head(stats) == (
         "| nation_id | nation | start_year | end_year | mean_population | stddev_population |\n"
