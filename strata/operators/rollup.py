@@ -73,7 +73,7 @@ def yearly_values(rollup: DataFrame, incomplete: str = KEEP) -> DataFrame:
     )
 
 
-def _ranked_first(yearly: DataFrame, key: str, value: str, rank: Column) -> DataFrame:
+def _ranked_first(yearly: DataFrame, value: str, rank: Column) -> DataFrame:
     return yearly.where(F.col(value).isNotNull()).withColumn("_rank", rank).where("_rank = 1").drop("_rank")
 
 
@@ -85,13 +85,13 @@ def best_period(yearly: DataFrame, key: str = "series_id", value: str = "yearly_
     the window) lets Spark cut every task's rows to the leaders before the exchange.
     """
     by_key = Window.partitionBy(key).orderBy(F.col(value).desc())
-    return _ranked_first(yearly, key, value, F.rank().over(by_key))
+    return _ranked_first(yearly, value, F.rank().over(by_key))
 
 
 def best_period_by_dense_rank(yearly: DataFrame, key: str = "series_id", value: str = "yearly_value") -> DataFrame:
     """The same choice by dense rank, kept as an independent check of :func:`best_period`."""
     by_key = Window.partitionBy(key).orderBy(F.col(value).desc())
-    return _ranked_first(yearly, key, value, F.dense_rank().over(by_key))
+    return _ranked_first(yearly, value, F.dense_rank().over(by_key))
 
 
 def range_stats(df: DataFrame, first: int, last: int, value: str = "population", year: str = "year",

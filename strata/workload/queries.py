@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.functions.naming import SnapshotName, base_name, folder_name
@@ -629,7 +629,7 @@ def snapshot_append(spark: SparkSession, sf_dir: str) -> DataFrame:
 RUN_TIME = "2002-01-01 00:00:00"
 
 
-def _run_time():
+def _run_time() -> Column:
     return F.lit(RUN_TIME).cast("timestamp_ntz")
 
 

@@ -234,19 +234,21 @@ def order_files(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame,
     return manifest, listing, local
 
 
+def _listing_row(modified: Column, size: Column, href: Column, name: Column) -> Column:
+    return F.concat(modified, F.lit("       "), size, F.lit(' <A HREF="'), href, F.lit('">'), name, F.lit("</A><br>"))
+
+
 def listing_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A directory listing per part, naming three files, the first one twice."""
-    key = F.col("p_partkey")
-    def row(when: Column, size: Column, href: Column, text: Column) -> Column:
-        return F.concat(when, F.lit("       "), size, F.lit(' <A HREF="'), href, F.lit('">'), text, F.lit("</A><br>"))
+    key, size = F.col("p_partkey"), F.col("p_size")
     day = F.concat(F.lit(" 1/"), key % 28 + 1, F.lit("/2024  9:05 AM"))
-    part = lambda suffix: F.concat(F.lit("p"), key, F.lit(suffix))
+    data, series_file, text = (F.concat(F.lit("p"), key, F.lit(ending)) for ending in (".data", ".series", ".txt"))
     html = F.concat(
         F.lit("<html><body><pre>"),
-        row(day, F.col("p_size"), F.concat(F.lit("/pub/old/"), part(".data")), part(".data")),
-        row(day, F.col("p_size") + 1, part(".series"), part(".series")),
-        row(day, F.col("p_size") + 2, F.concat(F.lit("../"), part(".txt")), part(".txt")),
-        row(F.lit("12/31/2024 11:59 PM"), F.col("p_size") + 3, F.concat(F.lit("/pub/new/"), part(".data")), part(".data")),
+        _listing_row(day, size, F.concat(F.lit("/pub/old/"), data), data),
+        _listing_row(day, size + 1, series_file, series_file),
+        _listing_row(day, size + 2, F.concat(F.lit("../"), text), text),
+        _listing_row(F.lit("12/31/2024 11:59 PM"), size + 3, F.concat(F.lit("/pub/new/"), data), data),
         F.lit("</pre></body></html>"),
     )
     return table(spark, sf_dir, "part").select(key.alias("page_id"), html.alias("html"))
