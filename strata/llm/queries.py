@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import decontaminate, packing, token_store
-from strata.llm.common import table
+from strata.llm import decontaminate, language_id, packing, quality, token_store, toxicity
+from strata.llm.common import remainder, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -24,6 +24,10 @@ def query(name: str, oracle: str | None = None) -> Callable[[Query], Query]:
     return register
 
 
+def held_out(modulus: int, fold: int):
+    return F.coalesce(remainder(F.col("doc_id"), modulus) == fold, F.lit(False)).alias("held_out")
+
+
 LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 WORDS = r"regexp_extract_all(" + LOWER + r", '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
 
@@ -69,7 +73,35 @@ def op5_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read.select("doc_id", "start", "n_tokens", "ids_crc32")
 
 
+@query("op6_language_id")
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    profiles = language_id.learn_profiles(docs.where(remainder(F.col("doc_id"), 4) != 2))
+    return language_id.identify(docs.select("doc_id", "text"), profiles).select(
+        "doc_id", held_out(4, 2), "lang_pred", "score")
+
+
 @query("op7_packing")
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = packing.pack(table(spark, sf_dir, "documents"))
     return pieces.select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
+
+
+def labelled(spark: SparkSession, sf_dir: str, column: str) -> DataFrame:
+    """Labels to learn from: those of documents outside the held-out fifth."""
+    labels = table(spark, sf_dir, "labels").select("doc_id", F.col(column).alias("label"))
+    return labels.where(remainder(F.col("doc_id"), 5) != 0)
+
+
+@query("op9_toxicity")
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity.learn_tagger(docs, labelled(spark, sf_dir, "toxic"))
+    return toxicity.score_toxicity(docs, model).select(
+        "doc_id", held_out(5, 0), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+@query("op10_quality")
+def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = quality.score_quality(table(spark, sf_dir, "documents"), labelled(spark, sf_dir, "quality"))
+    return scored.select("doc_id", held_out(5, 0), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
