@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import decontaminate, language_id, packing, quality, token_store, toxicity
+from strata.llm import decontaminate, language_id, lm, packing, quality, token_store, toxicity
 from strata.llm.common import remainder, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -87,6 +87,13 @@ def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
 
 
+@query("op8_lm_scoring")
+def op8_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    scored = lm.score_with_model(docs, docs.where(remainder(F.col("doc_id"), 7) != 2))
+    return scored.select("doc_id", held_out(7, 2), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 def labelled(spark: SparkSession, sf_dir: str, column: str) -> DataFrame:
     """Labels to learn from: those of documents outside the held-out fifth."""
     labels = table(spark, sf_dir, "labels").select("doc_id", F.col(column).alias("label"))
