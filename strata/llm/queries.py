@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import decontaminate, embedding_dedup, language_id, lm, packing, quality, token_store, toxicity
+from strata.llm import decontaminate, embedding_dedup, language_id, lm, ngram_join, packing, quality, token_store, toxicity
 from strata.llm.common import remainder, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -70,6 +70,11 @@ def op3_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_dedup.link_vectors(table(spark, sf_dir, "embeddings"))
 
 
+@query("op4_ngram_join")
+def op4_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.join_documents(table(spark, sf_dir, "documents"))
+
+
 @query("op5_token_store")
 def op5_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
