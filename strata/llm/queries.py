@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import decontaminate, embedding_dedup, language_id, lm, ngram_join, packing, quality, token_store, toxicity
+from strata.llm import decontaminate, embedding_dedup, language_id, line_dedup, lm, ngram_join, packing, quality, token_store, toxicity
 from strata.llm.common import remainder, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -54,6 +54,35 @@ FROM d LEFT JOIN hit_words ON hit_words.doc_id = d.doc_id LEFT JOIN hit_items ON
 """
 
 
+LINE_SQL = r"""
+WITH numbered AS (
+  SELECT doc_id, generate_subscripts(string_split(text, chr(10)), 1) - 1 AS line_no,
+    unnest(string_split(text, chr(10))) AS line FROM documents WHERE doc_id IS NOT NULL AND text IS NOT NULL),
+lines AS (
+  SELECT doc_id, line_no, regexp_extract_all(line, '[^ \t\x0B\f\r]+') AS w FROM numbered
+  WHERE regexp_matches(line, '[^ \t\x0B\f\r]')),
+tokens AS (
+  SELECT doc_id, line_no, list_distinct(list_transform(range(1, greatest(len(w) - 3, 2)), lambda p: w[p : p + 4])) AS t FROM lines),
+flat AS (SELECT doc_id, line_no, len(t) AS n, unnest(t) AS token FROM tokens),
+removed AS (
+  SELECT DISTINCT doc_id, line_no FROM (
+    SELECT y.doc_id, y.line_no, x.doc_id AS d, x.line_no AS l, count(*) AS i, any_value(x.n + y.n) AS n
+    FROM flat x JOIN flat y ON x.token = y.token AND (x.doc_id < y.doc_id OR (x.doc_id = y.doc_id AND x.line_no < y.line_no))
+    GROUP BY 1, 2, 3, 4) WHERE 100 * i >= 80 * (n - i))
+SELECT d.doc_id, CAST(coalesce(len(string_split(any_value(text), chr(10))), 0) AS INTEGER) AS n_lines,
+  CAST(count(line_no) AS INTEGER) AS n_removed, sha256(coalesce(string_agg(CAST(line_no AS VARCHAR), ',' ORDER BY line_no), '')) AS removed_sha256
+FROM documents d LEFT JOIN removed r ON r.doc_id = d.doc_id GROUP BY d.doc_id
+"""
+
+
+@query("op1_line_dedup", LINE_SQL)
+def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = line_dedup.report_removed(table(spark, sf_dir, "documents"))
+    numbers = F.array_join(F.col("removed").cast("array<string>"), ",")
+    return found.select(
+        "doc_id", "n_lines", F.size("removed").alias("n_removed"), F.sha2(numbers.cast("binary"), 256).alias("removed_sha256"))
+
+
 @query("op2_decontaminate", DECONTAMINATE_SQL)
 def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
