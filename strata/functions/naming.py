@@ -2,32 +2,37 @@
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+#: Year to second in a snapshot's name, and the same as a format.
+TIME = r"(\d{4})-(\d{2})-(\d{2})__(\d{2})_(\d{2})_(\d{2})"
+TIME_FORMAT = "yyyy-MM-dd__HH_mm_ss"
+
+
 @dataclass(frozen=True)
 class SnapshotName:
     """Naming rule ``<prefix><time><suffix>``, with the time in UTC."""
 
     prefix: str
     suffix: str
-    pattern: str = "yyyy-MM-dd__HH_mm_ss"
 
     def fetched_text(self, name: Column) -> Column:
-        after_prefix = F.substring_index(name, self.prefix, -1)
-        return F.substring_index(after_prefix, self.suffix, 1)
+        """The time part of a name, empty when the name does not follow the rule."""
+        return F.regexp_extract(name, f"^{re.escape(self.prefix)}({TIME}){re.escape(self.suffix)}$", 1)
 
     def fetched_at(self, name: Column) -> Column:
         """Instant of the fetch, NULL when the name does not carry one."""
-        with_offset = F.concat(self.fetched_text(name), F.lit("+00:00"))
-        return F.try_to_timestamp(with_offset, F.lit(f"{self.pattern}XXX"))
+        parts = [F.regexp_extract(self.fetched_text(name), TIME, i).try_cast("int") for i in range(1, 7)]
+        return F.try_make_timestamp(*parts, F.lit("UTC"))
 
     def name_for(self, fetched_at: Column) -> Column:
         """Name of a snapshot fetched at the given UTC wall-clock time."""
-        return F.concat(F.lit(self.prefix), F.date_format(fetched_at, self.pattern), F.lit(self.suffix))
+        return F.concat(F.lit(self.prefix), F.date_format(fetched_at, TIME_FORMAT), F.lit(self.suffix))
 
 
 def base_name(path: Column) -> Column:

@@ -48,14 +48,19 @@ def label_lookup(coded: DataFrame, key: str, lookups: Sequence[Lookup], label_or
     )
 
 
+def one_per_key(lookup: DataFrame, on: str) -> DataFrame:
+    """The lookup, or an error if it has several rows for one key; runs a job over its keys."""
+    if not duplicated_keys(lookup, [on]).isEmpty():
+        raise AmbiguousLookup(f"lookup has several rows for one {on}")
+    return lookup
+
+
 def enrich(facts: DataFrame, lookup: DataFrame, on: str, expect_unique: bool = False) -> DataFrame:
     """Every fact with the lookup's columns, NULL where the lookup has no such key.
 
     A lookup with several rows per key multiplies facts; ``expect_unique`` makes that an error.
     """
-    if expect_unique and not duplicated_keys(lookup, [on]).isEmpty():
-        raise AmbiguousLookup(f"lookup has several rows for one {on}")
-    found = lookup.withColumnRenamed(on, "_lookup_key")
+    found = (one_per_key(lookup, on) if expect_unique else lookup).withColumnRenamed(on, "_lookup_key")
     return facts.join(found, F.col(on) == F.col("_lookup_key"), "left").drop("_lookup_key")
 
 

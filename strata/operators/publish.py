@@ -5,6 +5,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass
+from datetime import datetime
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 
@@ -40,11 +41,12 @@ def publish(
     failing rule raises :class:`GateError` and leaves the view on its old version.
     No file is moved: switching is one catalog change, so readers see one version or
     the other, also on an object store, and a job that dies leaves no trace in the view.
-    A catalog view alternates between two folders, so it never keeps more than two versions.
+    Every version has a folder of its own, so neither another publisher nor a later one touches what a
+    reader of an older version still needs; :func:`remove_versions` removes old ones when it is asked to.
     """
     spark = df.sparkSession
     lasting = view if view and not temporary else None
-    path = _free_slot(spark, lasting, location.rstrip("/"))
+    path = f"{location.rstrip('/')}/{uuid.uuid4().hex}"
     seen = Observation()
     writer = df.observe(seen, *violation_counts(rules)).write.mode("overwrite").option("partitionOverwriteMode", "static")
     (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
@@ -66,15 +68,23 @@ def publish(
     return Published(data, path, outcomes)
 
 
-def _free_slot(spark: SparkSession, view: str | None, location: str) -> str:
-    """The folder the view does not read; without a view a folder nobody has used."""
-    if view is None:
-        return f"{location}/{uuid.uuid4().hex}"
-    first, second = f"{location}/a", f"{location}/b"
-    if not spark.catalog.tableExists(view):
-        return first
+def remove_versions(spark: SparkSession, location: str, view: str, older_than: datetime) -> list[str]:
+    """Delete versions below ``location`` last written before ``older_than``, but for the one ``view`` reads.
+
+    The age is the caller's promise that no reader of those versions is left.
+    """
     current = spark.sql(f"SHOW TBLPROPERTIES {view} ('{VERSION}')").first().value
-    return second if current == first else first
+    jvm = spark.sparkContext._jvm
+    root = jvm.org.apache.hadoop.fs.Path(location)
+    files = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    limit = older_than.timestamp() * 1000
+    removed = []
+    for entry in files.listStatus(root):
+        name = entry.getPath().getName()
+        if entry.isDirectory() and name != current.rstrip("/").rsplit("/", 1)[-1] and entry.getModificationTime() < limit:
+            files.delete(entry.getPath(), True)
+            removed.append(name)
+    return removed
 
 
 def stored_query(df: DataFrame, path: str, no_files: bool) -> str:
@@ -90,10 +100,13 @@ def gated_view(df: DataFrame, location: str, rules: Sequence[Expectation], view:
     return publish(df, location, rules, view, temporary=True)
 
 
-def append_snapshot(df: DataFrame, location: str, snapshot: str) -> str:
-    """Land one immutable snapshot in a folder of its own; landing it twice is an error."""
+def append_snapshot(df: DataFrame, location: str, snapshot: str, again: bool = False) -> str:
+    """Land one immutable snapshot in a folder of its own; landing it twice is an error.
+
+    With ``again`` a rerun replaces what an earlier attempt of the same snapshot left.
+    """
     path = f"{location.rstrip('/')}/{snapshot}"
-    df.write.mode("errorifexists").parquet(path)
+    df.write.mode("overwrite" if again else "errorifexists").parquet(path)
     return path
 
 

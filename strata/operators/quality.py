@@ -112,7 +112,9 @@ def flag_unique_key(df: DataFrame, keys: Sequence[str], flag: str = "_natural_ke
     Only keys are shuffled, after a partial count per task. The duplicated ones are
     written out, so the planner knows their size: the usual few are broadcast and the
     rows stay where they are; a large set is joined by key, where a key holding a big
-    share of the rows is split by AQE (a window over the key could not be).
+    share of the rows is split by AQE (a window over the key could not be). This runs a job over the
+    keys when called and reads ``df`` again later: hand it data that does not move in between, such as a
+    version that was published or written, not a folder others add to.
     """
     renamed = [F.col(f"`{key}`").alias(f"_dup_{i}") for i, key in enumerate(keys)]
     repeats = written(duplicated_keys(df, keys).select(*renamed, F.lit(True).alias("_dup")), "duplicated-keys")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from datetime import date
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -94,12 +95,19 @@ def best_period_by_dense_rank(yearly: DataFrame, key: str = "series_id", value:
     return _ranked_first(yearly, value, F.dense_rank().over(by_key))
 
 
+def in_years(first: int, last: int, year: str, day: str | None = None) -> Column:
+    """Inclusive range of years; on a stored ``day`` column as bounds of it, which a scan can use to skip rows."""
+    if day is None:
+        return F.col(year).between(first, last)
+    return (F.col(day) >= F.lit(date(first, 1, 1))) & (F.col(day) < F.lit(date(last + 1, 1, 1)))
+
+
 def range_stats(df: DataFrame, first: int, last: int, value: str = "population", year: str = "year",
-                carry: Sequence[str] = ("nation_id", "nation")) -> DataFrame:
+                carry: Sequence[str] = ("nation_id", "nation"), day: str | None = None) -> DataFrame:
     """Mean and sample deviation over an inclusive range of years; always one row."""
     constants = [F.max(name).alias(name) for name in carry]
     return (
-        df.where(F.col(year).between(first, last))
+        df.where(in_years(first, last, year, day))
         .agg(*constants, *_mean_and_deviation(value))
         .select(*carry, F.lit(first).alias("start_year"), F.lit(last).alias("end_year"),
                 f"mean_{value}", f"stddev_{value}")
@@ -107,10 +115,10 @@ def range_stats(df: DataFrame, first: int, last: int, value: str = "population",
 
 
 def range_stats_grouped(df: DataFrame, first: int, last: int, value: str = "population", year: str = "year",
-                        by: Sequence[str] = ("nation_id", "nation")) -> DataFrame:
+                        by: Sequence[str] = ("nation_id", "nation"), day: str | None = None) -> DataFrame:
     """The same per group, with the number of rows; no rows for an empty range."""
     return (
-        df.where(F.col(year).between(first, last))
+        df.where(in_years(first, last, year, day))
         .groupBy(*by)
         .agg(*_mean_and_deviation(value), F.count(F.lit(1)).alias("year_count"))
         .select(*by, F.lit(first).alias("start_year"), F.lit(last).alias("end_year"),

@@ -8,16 +8,23 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def latest_snapshot(df: DataFrame, fetched: str = "fetched_at_utc", partition: str | None = None) -> DataFrame:
+def latest_snapshot(df: DataFrame, fetched: str = "fetched_at_utc", partition: str | None = None,
+                    unit: str | None = None) -> DataFrame:
     """All rows of the newest snapshot, whatever they hold; no fallback to an older one.
 
     The maximum is a scalar subquery over one column, which Spark also hands to the
     parquet reader; bodies are neither shuffled nor gathered. With ``partition`` (a
-    column that rises with ``fetched``) both reads touch only the last folder.
+    column that rises with ``fetched``) only the last folder's rows are read, though finding that
+    folder opens the footers of all. With ``unit`` a snapshot is all that was fetched in the newest
+    day, hour and so on: a bound on the stored time, so the scan skips what is older.
     """
     if partition:
         df = df.where(F.col(partition) == df.agg(F.max(partition)).scalar())
-    return df.where(F.col(fetched) == df.agg(F.max(fetched)).scalar())
+    newest = df.agg(F.max(fetched).alias("newest"))
+    if unit is None:
+        return df.where(F.col(fetched) == newest.scalar())
+    start = newest.select(F.date_trunc(unit, "newest").cast(df.schema[fetched].dataType))
+    return df.where(F.col(fetched) >= start.scalar())
 
 
 def newest_row(df: DataFrame, fetched: str, tie_breaker: str) -> DataFrame:
@@ -30,27 +37,42 @@ def is_json(body: Column) -> Column:
     return F.try_parse_json(body).isNotNull()
 
 
-def flag_payload(df: DataFrame, schema: str, body: str = "raw_json", records: str = "data") -> DataFrame:
-    """Add ``payload_schema_valid`` and ``population_data_not_empty`` beside the raw body.
+def parse_payload(df: DataFrame, schema: str, body: str = "raw_json", records: str = "data",
+                  into: str = "_records") -> DataFrame:
+    """Add the body's record list, NULL for a broken body; flags and rows are then taken from it."""
+    return df.withColumn(into, F.from_json(F.col(body), schema).getField(records))
+
+
+def flag_parsed(df: DataFrame, parsed: str = "_records") -> DataFrame:
+    """Add ``payload_schema_valid`` and ``population_data_not_empty`` from the parsed list.
 
-    A broken body parses to a struct of NULLs, so the record list decides; the second
-    flag is NULL, not false, when there is no list at all.
+    The second flag is NULL, not false, when there is no list at all.
     """
-    found = F.from_json(F.col(body), schema).getField(records)
+    found = F.col(parsed)
     return df.withColumns(
         {"payload_schema_valid": found.isNotNull(), "population_data_not_empty": F.array_size(found) > 0}
     )
 
 
-def explode_records(df: DataFrame, schema: str, body: str = "raw_json", records: str = "data",
-                    record: str = "_record", keep_empty: bool = True) -> DataFrame:
-    """One row per record of the body, with the snapshot's other columns.
+def flag_payload(df: DataFrame, schema: str, body: str = "raw_json", records: str = "data") -> DataFrame:
+    """The two flags beside the raw body."""
+    return flag_parsed(parse_payload(df, schema, body, records)).drop("_records")
+
+
+def explode_parsed(df: DataFrame, parsed: str = "_records", record: str = "_record", keep_empty: bool = True) -> DataFrame:
+    """One row per record of the parsed list, with the snapshot's other columns.
 
     ``keep_empty`` gives a snapshot without records one row with a NULL record, which
     the not-null rules behind it then report; otherwise it gives none.
     """
-    found = F.from_json(F.col(body), schema).getField(records)
-    return df.withColumn(record, F.explode_outer(found) if keep_empty else F.explode(found)).drop(body)
+    found = F.col(parsed)
+    return df.withColumn(record, F.explode_outer(found) if keep_empty else F.explode(found)).drop(parsed)
+
+
+def explode_records(df: DataFrame, schema: str, body: str = "raw_json", records: str = "data",
+                    record: str = "_record", keep_empty: bool = True) -> DataFrame:
+    """The records of raw bodies as rows, see :func:`explode_parsed`."""
+    return explode_parsed(parse_payload(df, schema, body, records), record=record, keep_empty=keep_empty).drop(body)
 
 
 def explode_list(df: DataFrame, element: str, body: str = "raw_json", path: str = "$.data",

@@ -62,15 +62,15 @@ def compare_listing(spark: SparkSession, mirror: Mirror, page: DataFrame, run_ti
 
 
 def record_run(spark: SparkSession, mirror: Mirror, reconciled: DataFrame, run_time: Column, run_id: str,
-               fetched_since: datetime | None = None) -> Published:
-    """Check the fetched files, publish the next manifest and log the changes under ``run_id``.
+               fetched_since: datetime) -> Published:
+    """Check the fetched files, log the changes under ``run_id`` and publish the next manifest.
 
-    A file that is missing or has another size than listed stops the run before anything is recorded.
-    ``fetched_since`` spares reading older files: the source skips them by their modification time.
+    A file that is missing or has another size than listed stops the run before anything is recorded. The
+    log comes first: a run that dies before the manifest moves on is repeated and replaces its own events.
+    Files from before ``fetched_since`` are not read: the source skips them by their modification time.
     """
     files = spark.read.format("binaryFile").load(mirror.folder)
-    if fetched_since:
-        files = files.where(F.col("modificationTime") >= F.lit(fetched_since))
+    files = files.where(F.col("modificationTime") >= F.lit(fetched_since))
     contents = files.select(F.substring_index("path", "/", -1).alias("file_name"), "content")
     checked = publish(check_fetched(reconciled, contents), scratch_path(spark, "fetched"), FETCH_RULES).data
 
@@ -79,9 +79,8 @@ def record_run(spark: SparkSession, mirror: Mirror, reconciled: DataFrame, run_t
         "content_sha256", F.coalesce("_hash", "content_sha256")
     )
     columns = ["file_name", "source_url", *STATE[:2], "content_sha256", *STATE[3:], "status"]
-    recorded = publish(moved_on.select(*columns), f"{mirror.state}/manifest", (), mirror.view, "Files of the source.")
-    append_snapshot(change_events(reconciled, run_time), mirror.log, run_id)
-    return recorded
+    append_snapshot(change_events(reconciled, run_time), mirror.log, run_id, again=True)
+    return publish(moved_on.select(*columns), f"{mirror.state}/manifest", (), mirror.view, "Files of the source.")
 
 
 def changed_listing(page: DataFrame, stored: DataFrame) -> DataFrame:

@@ -17,11 +17,11 @@ from strata.functions.naming import SnapshotName
 from strata.functions.text import normalize_name
 from strata.operators.conform import ConformSpec, conform_checked, conform_rules
 from strata.operators.contracts import KEY_FLAG, SCHEMA_FLAG, Contract, flag_contract
-from strata.operators.enrich import Lookup
+from strata.operators.enrich import Lookup, one_per_key
 from strata.operators.publish import Published, gated_view, publish, stored_query
 from strata.operators.quality import FAIL, WARN, Expectation, RuleOutcome, expect_all, flag_unique_key
 from strata.operators.rollup import range_stats
-from strata.operators.snapshots import explode_records, flag_payload, latest_snapshot, record_fields
+from strata.operators.snapshots import explode_parsed, flag_parsed, latest_snapshot, parse_payload, record_fields
 from strata.plans import sql_twins
 from strata.plans.answers import (
     LABEL_RULES,
@@ -92,6 +92,7 @@ POPULATION_GLOB = "population__fetched_*.json"
 POPULATION_BODY = "data array<struct<`Nation ID`: string, Nation: string, Year: bigint, Population: double>>"
 POPULATION_FIELDS = {"Nation ID": "nation_id", "Nation": "nation", "Year": "year", "Population": "population"}
 
+# Names of the published rules.
 TEXT_RULES = [Expectation("expected_schema", SCHEMA_FLAG, WARN), Expectation("non_null_key", KEY_FLAG, WARN)]
 SNAPSHOT_RULES = [
     *expect_all({f"{c}_not_null": f"{c} IS NOT NULL" for c in ("source_file", "fetched_at_utc", "raw_json")}, FAIL),
@@ -144,7 +145,7 @@ def text_bronze(spark: SparkSession, layout: Layout) -> Outcomes:
     def load(file_name: str, path: str, table: str) -> Callable[[], Published]:
         def task() -> Published:
             raw = scan_delimited(spark, path)
-            flagged = add_lineage(flag_contract(raw, CONTRACTS.get(file_name)), file_name, path)
+            flagged = add_lineage(flag_contract(raw, CONTRACTS.get(file_name)))
             return _publish(layout, f"{layout.bronze}.{table}", flagged, TEXT_RULES, f"Raw rows of {file_name}, all text.")
         return task
 
@@ -156,11 +157,13 @@ def population_bronze(spark: SparkSession, layout: Layout) -> list[RuleOutcome]:
     view = f"{layout.bronze}.population_raw"
     table = layout.location(view)
     files = snapshot_stream(spark, layout.population_folder, POPULATION_GLOB)
-    raw = flag_payload(identify(files, POPULATION_NAME), POPULATION_BODY).select(
+    parsed = parse_payload(identify(files, POPULATION_NAME), POPULATION_BODY, into="records")
+    raw = flag_parsed(parsed, "records").select(
         "source_file",
         "fetched_at_utc",
         F.current_timestamp().alias("bronze_ingested_at_utc"),
         "raw_json",
+        "records",
         F.col("path").alias("source_path"),
         F.col("modificationTime").alias("source_file_modified_at"),
         F.col("length").alias("source_file_size_bytes"),
@@ -189,7 +192,7 @@ def text_silver(spark: SparkSession, layout: Layout) -> Outcomes:
 def population_silver(spark: SparkSession, layout: Layout) -> Published:
     """The newest snapshot as one row per nation and year."""
     newest = latest_snapshot(spark.table(f"{layout.bronze}.population_raw"), partition="fetched_on")
-    records = explode_records(newest.select("source_file", "fetched_at_utc", "raw_json"), POPULATION_BODY)
+    records = explode_parsed(newest.select("source_file", "fetched_at_utc", "records"), "records")
     typed = records.select(*record_fields(POPULATION_FIELDS), "source_file", "fetched_at_utc")
     checked = flag_unique_key(typed, ["nation_id", "year"])
     return _publish(layout, f"{layout.silver}.fct_population", checked, POPULATION_RULES, "Newest population snapshot.")
@@ -237,13 +240,14 @@ def gold(spark: SparkSession, layout: Layout) -> Outcomes:
     best = labelled_best_years(yearly.data, series, series_lookups(spark, layout))
     put("bls_series_best_year", best, LABEL_RULES, "Best year or tied best years of every series.")
 
-    enriched = put("bls_series_period_population_by_year", observations_with_population(obs, population),
+    enriched = put("bls_series_period_population_by_year", observations_with_population(obs, population, expect_unique=True),
                    comment="Every observation with the population of its year.")
     put("bls_prs30006032_q01_population_by_year", one_series_and_period(enriched, TARGET_SERIES, TARGET_PERIOD),
         comment=f"{TARGET_SERIES} in {TARGET_PERIOD} with the population of the year.")
     return done
 
 
+# Names of the published rules.
 STRICT_RULES = (
     Expectation("recognized_period_codes_only", "_recognized_periods_only", FAIL),
     Expectation("complete_quarters_or_annual_only", "_complete_quarters_or_annual_only", WARN),
@@ -267,7 +271,7 @@ def gold_by_sql(spark: SparkSession, layout: Layout) -> Outcomes:
         "population_summary_sql_alternative": (sql_twins.range_stats_sql(population, FIRST_YEAR, LAST_YEAR), ()),
         "bls_series_best_year_sql_alternative": (best, LABEL_RULES),
         "bls_prs30006032_q01_population_by_year_sql_alternative": (
-            sql_twins.series_period_sql(obs, population, TARGET_SERIES, TARGET_PERIOD), ()),
+            sql_twins.series_period_sql(obs, one_per_key(population, "year"), TARGET_SERIES, TARGET_PERIOD), ()),
     }
     done = {
         table: _publish(layout, f"{layout.gold}.{table}", df, rules, "SQL version, for comparison.").outcomes

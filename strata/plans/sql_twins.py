@@ -4,29 +4,25 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
+#: Each period code by its place among the known ones: 1 to 4 quarters, 5 annual, 0 unknown. A year's
+#: method is chosen once; value and completeness follow from it.
 STRICT_YEARS = """
-    WITH flagged AS (
-        SELECT series_id, year, period, value,
-               period IN ('Q01', 'Q02', 'Q03', 'Q04') AS is_quarter
-        FROM {obs}
-    ), per_year AS (
-        SELECT series_id, year,
-               count(DISTINCT period) FILTER (WHERE is_quarter) AS quarters,
-               sum(value) FILTER (WHERE is_quarter) AS quarter_sum,
-               count_if(period = 'Q05') AS annuals,
-               max(value) FILTER (WHERE period = 'Q05') AS annual_value,
-               count_if(NOT is_quarter AND period <> 'Q05') AS strangers
-        FROM flagged
-        GROUP BY series_id, year
+    WITH placed AS (
+        SELECT series_id, year, value, find_in_set(period, 'Q01,Q02,Q03,Q04,Q05') AS place FROM {obs}
+    ), summed AS (
+        SELECT series_id, year, min(place) > 0 AS all_known,
+               bit_or(if(place BETWEEN 1 AND 4, shiftleft(1, place), 0)) AS quarters,
+               sum(value) FILTER (WHERE place BETWEEN 1 AND 4) AS of_quarters,
+               count_if(place = 5) AS annuals, max(value) FILTER (WHERE place = 5) AS of_year
+        FROM placed GROUP BY series_id, year
+    ), decided AS (
+        SELECT *, CASE quarters WHEN 30 THEN 'sum_q01_q04' WHEN 0 THEN if(annuals = 1, 'annual_average_q05', NULL) END AS method
+        FROM summed
     )
-    SELECT series_id, year,
-           CASE WHEN quarters = 4 THEN quarter_sum
-                WHEN quarters = 0 AND annuals = 1 THEN annual_value END AS yearly_value,
-           CASE WHEN quarters = 4 THEN 'sum_q01_q04'
-                WHEN quarters = 0 AND annuals = 1 THEN 'annual_average_q05' END AS value_method,
-           strangers = 0 AS _recognized_periods_only,
-           quarters = 4 OR (quarters = 0 AND annuals = 1) AS _complete_quarters_or_annual_only
-    FROM per_year
+    SELECT series_id, year, if(method = 'sum_q01_q04', of_quarters, if(method IS NULL, NULL, of_year)) AS yearly_value,
+           method AS value_method, all_known AS _recognized_periods_only,
+           method IS NOT NULL AS _complete_quarters_or_annual_only
+    FROM decided
 """
 
 BEST_YEARS = """
@@ -40,17 +36,18 @@ BEST_YEARS = """
 """
 
 LABELS = """
-    SELECT s.series_id, sector_name, measure_text, class_text, duration_text, seasonal_text,
-           sector_name IS NOT NULL AND measure_text IS NOT NULL AND class_text IS NOT NULL
-               AND duration_text IS NOT NULL AND seasonal_text IS NOT NULL AS _label_lookup_complete,
-           concat_ws(' | ', sector_name, measure_text, class_text, duration_text, seasonal_text)
-               AS human_readable_label
-    FROM {series} s
-    LEFT JOIN {sector} USING (sector_code)
-    LEFT JOIN {class_} USING (class_code)
-    LEFT JOIN {measure} USING (measure_code)
-    LEFT JOIN {duration} USING (duration_code)
-    LEFT JOIN {seasonal} USING (seasonal_code)
+    WITH texts AS (
+        SELECT series_id, sector_name, measure_text, class_text, duration_text, seasonal_text,
+               array(sector_name, measure_text, class_text, duration_text, seasonal_text) AS parts
+        FROM {series} NATURAL LEFT JOIN (SELECT sector_code, sector_name FROM {sector})
+            NATURAL LEFT JOIN (SELECT class_code, class_text FROM {class_})
+            NATURAL LEFT JOIN (SELECT measure_code, measure_text FROM {measure})
+            NATURAL LEFT JOIN (SELECT duration_code, duration_text FROM {duration})
+            NATURAL LEFT JOIN (SELECT seasonal_code, seasonal_text FROM {seasonal})
+    )
+    SELECT * EXCEPT (parts), forall(parts, text -> text IS NOT NULL) AS _label_lookup_complete,
+           array_join(parts, ' | ') AS human_readable_label
+    FROM texts
 """
 
 LABELLED_BEST_YEARS = "SELECT * FROM {best} LEFT JOIN {labels} USING (series_id)"
@@ -68,7 +65,7 @@ RANGE_STATS = """
            stddev(population) AS stddev_population,
            count(*) AS year_count
     FROM {population}
-    WHERE year BETWEEN :first AND :last
+    WHERE %s
     GROUP BY nation_id, nation
 """
 
@@ -98,5 +95,9 @@ def series_period_sql(obs: DataFrame, population: DataFrame, series_id: str, per
     return spark.sql(SERIES_PERIOD, args={"series_id": series_id, "period": period}, obs=obs, population=population)
 
 
-def range_stats_sql(population: DataFrame, first: int, last: int) -> DataFrame:
-    return population.sparkSession.sql(RANGE_STATS, args={"first": first, "last": last}, population=population)
+def range_stats_sql(population: DataFrame, first: int, last: int, day: str | None = None) -> DataFrame:
+    """Statistics per nation over years; on a stored ``day`` column as bounds of it, which a scan can use."""
+    years = "year BETWEEN :first AND :last"
+    if day:
+        years = f"`{day}` >= make_date(:first, 1, 1) AND `{day}` < make_date(:last + 1, 1, 1)"
+    return population.sparkSession.sql(RANGE_STATS % years, args={"first": first, "last": last}, population=population)

@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from threading import Condition
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 from strata.functions.naming import SnapshotName, base_name
 from strata.operators.quality import Expectation, RuleOutcome, enforce, outcomes_of, violation_counts
@@ -62,18 +63,56 @@ def start_ingest(df: DataFrame, table: str, checkpoint: str, rules: Sequence[Exp
     return (writer.partitionBy(*partition_by) if partition_by else writer).start()
 
 
+class _Counts(StreamingQueryListener):
+    """The rule counts of every micro-batch of one query, whatever number of reports Spark keeps."""
+
+    def __init__(self, names: Sequence[str]) -> None:
+        self.names = names
+        self.run_id: str | None = None
+        self.by_batch: dict[tuple[str, int], dict[str, int]] = {}
+        self.ended: set[str] = set()
+        self.changed = Condition()
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        counted = event.progress.observedMetrics.get("expectations")
+        if counted is not None:
+            with self.changed:
+                key = str(event.progress.runId), event.progress.batchId
+                self.by_batch[key] = {name: counted[name] for name in self.names}
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        with self.changed:
+            self.ended.add(str(event.runId))
+            self.changed.notify_all()
+
+    def totals(self, run_id: str, wait_s: float) -> dict[str, int]:
+        """Sums over the run's micro-batches; the end comes after the last report in the same queue."""
+        with self.changed:
+            if not self.changed.wait_for(lambda: run_id in self.ended, timeout=wait_s):
+                raise TimeoutError(f"no end of stream run {run_id} was reported in {wait_s} s")
+            own = [counts for (run, _), counts in self.by_batch.items() if run == run_id]
+            return {name: sum(counts[name] for counts in own) for name in self.names}
+
+
 def ingest_available(df: DataFrame, table: str, checkpoint: str, rules: Sequence[Expectation] = (),
-                     carrier: str = "source_file", partition_by: Sequence[str] = ()) -> list[RuleOutcome]:
-    """Run :func:`start_ingest` to its end and return the rules' counts.
+                     carrier: str = "source_file", partition_by: Sequence[str] = (), wait_s: float = 300.0) -> list[RuleOutcome]:
+    """Run :func:`start_ingest` to its end and return the rules' counts over all its micro-batches.
 
-    The counts cover the micro-batches whose progress Spark keeps
-    (``spark.sql.streaming.numRecentProgressUpdates``, 100 unless set).
+    Reports are collected by a listener as they come, so their number is not limited by
+    ``spark.sql.streaming.numRecentProgressUpdates``.
     """
-    query = start_ingest(df, table, checkpoint, rules, carrier, partition_by)
-    query.awaitTermination()
-    totals = {"_checked": 0, **{rule.name: 0 for rule in rules}}
-    for progress in query.recentProgress:
-        counted = (progress.get("observedMetrics") or {}).get("expectations")
-        for name in totals if counted else ():
-            totals[name] += counted[name]
-    return outcomes_of(rules, totals)
+    streams = df.sparkSession.streams
+    counts = _Counts(["_checked", *[rule.name for rule in rules]])
+    streams.addListener(counts)
+    try:
+        query = start_ingest(df, table, checkpoint, rules, carrier, partition_by)
+        query.awaitTermination()
+        return outcomes_of(rules, counts.totals(str(query.runId), wait_s))
+    finally:
+        streams.removeListener(counts)

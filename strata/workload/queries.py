@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from strata.functions.naming import SnapshotName, base_name, folder_name
 from strata.functions.text import normalize_name
 from strata.operators import compare, conform, contracts, enrich, manifest, present, publish, quality, rollup, snapshots
-from strata.plans import answers, sql_twins
+from strata.plans import answers, productivity, sql_twins
 from strata.session import scratch_path, written
 from strata.sources import delimited, listing
 from strata.streaming import snapshots as streams
@@ -348,6 +348,92 @@ def publish_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).data
 
 
+GATE_RULES = [
+    quality.Expectation("order_id_not_null", "order_id IS NOT NULL", quality.FAIL),
+    quality.Expectation("priority_filled", "trim(priority) <> ''", quality.WARN),
+    quality.Expectation("customer_known", "customer_id >= 0", quality.FAIL),
+]
+
+
+@query(
+    "publish_gate_outcomes",
+    with_parts(
+        "SELECT *, (SELECT count(*) FROM typed WHERE order_id IS NULL) = 0 AS published FROM ("
+        + _report_sql(
+            "typed", ("order_id_not_null", "fail", "order_id IS NOT NULL"), ("priority_filled", "warn", "priority <> ''"),
+            ("customer_known", "fail", "customer_id >= 0"),
+        ) + ") r",
+        part.TYPED_ORDERS,
+    ),
+)
+def publish_gate_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a gate that a failing rule closes has counted, and that readers got nothing."""
+    try:
+        outcomes = publish.publish(_typed_orders(spark, sf_dir), scratch_path(spark, "gated-orders"), GATE_RULES).outcomes
+        published = True
+    except quality.GateError as stopped:
+        outcomes, published = stopped.outcomes, False
+    rows = [(o.name, o.mode, o.checked, o.violations, published) for o in outcomes]
+    return spark.createDataFrame(rows, "rule string, mode string, checked bigint, violations bigint, published boolean")
+
+
+@query(
+    "gated_view_by_name",
+    with_parts("SELECT series_id, year, yearly_value, value_method FROM yearly", part.OBS, part.ROLLUP, part.YEARLY),
+)
+def gated_view_by_name(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A checked intermediate that the next step reads by its name."""
+    yearly = answers.series_years(views.observations(spark, sf_dir))
+    rules = [quality.Expectation("year_known", "year IS NOT NULL", quality.FAIL)]
+    publish.gated_view(yearly, scratch_path(spark, "gated-years"), rules, "strata_gated_years")
+    return spark.table("strata_gated_years").select("series_id", "year", "yearly_value", "value_method")
+
+
+@query(
+    "expect_report_contract",
+    _report_sql(
+        "customer", ("expected_schema", "warn", "TRUE"), ("non_null_key", "warn", "c_custkey % 13 <> 0 AND c_custkey % 7 <> 0"),
+    ),
+)
+def expect_report_contract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The warnings of raw text tables: their layout, and keys that are missing or blank."""
+    return quality.expect_report(contract_flags(spark, sf_dir), productivity.TEXT_RULES)
+
+
+@query(
+    "expect_report_population",
+    with_parts(
+        _report_sql(
+            "(SELECT *, count(*) OVER (PARTITION BY nation_id, year) AS copies FROM ("
+            "SELECT * FROM records UNION ALL SELECT snapshot_id, fetched_at_utc, NULL, NULL, NULL, NULL "
+            "FROM bodies WHERE kind <> 'whole') r WHERE fetched_at_utc = (SELECT max(o_orderdate) FROM orders)) t",
+            ("nation_id_not_null", "fail", "nation_id IS NOT NULL"), ("year_not_null", "fail", "year IS NOT NULL"),
+            ("population_not_null", "fail", "population IS NOT NULL"), ("unique_nation_year", "fail", "copies = 1"),
+        ),
+        part.BODIES,
+    ),
+)
+def expect_report_population(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The failing rules of the typed population, counted for the newest snapshot."""
+    return quality.expect_report(typed_snapshot(spark, sf_dir), productivity.POPULATION_RULES)
+
+
+@query(
+    "expect_report_strict",
+    with_parts(
+        _report_sql(
+            "strict_yearly", ("recognized_period_codes_only", "fail", "_recognized_periods_only"),
+            ("complete_quarters_or_annual_only", "warn", "value_method IS NOT NULL"),
+        ),
+        part.OBS, part.ROLLUP, part.YEARLY, part.STRICT,
+    ),
+)
+def expect_report_strict(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rules of the strict years as the SQL version computes them."""
+    strict = sql_twins.strict_years_sql(views.observations(spark, sf_dir))
+    return quality.expect_report(strict, productivity.STRICT_RULES)
+
+
 # ---------------------------------------------------------------- enrichment and statistics
 
 
@@ -394,11 +480,48 @@ def series_period_by_year(spark: SparkSession, sf_dir: str) -> DataFrame:
     return answers.one_series_and_period(enrich_by_year(spark, sf_dir), SERIES, PERIOD)
 
 
+@query(
+    "series_period_sql",
+    with_parts(
+        "SELECT o.series_id, o.period, o.year, o.value, p.population "
+        f"FROM obs o LEFT JOIN population p ON o.year = p.year WHERE series_id = '{SERIES}' AND period = '{PERIOD}'",
+        part.OBS, part.POPULATION,
+    ),
+)
+def series_period_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
+    population = enrich.one_per_key(views.yearly_population(spark, sf_dir), "year")
+    return sql_twins.series_period_sql(views.observations(spark, sf_dir), population, SERIES, PERIOD)
+
+
+@query(
+    "series_period_diff",
+    with_parts(
+        f"""
+        , one AS (
+            SELECT o.series_id, o.period, o.year, o.value, CAST(round(p.population) AS BIGINT) AS population
+            FROM obs o LEFT JOIN population p ON o.year = p.year WHERE series_id = '{SERIES}' AND period = '{PERIOD}'),
+        late AS (SELECT series_id, period, year, value, CASE WHEN year < 2000 THEN population END AS population FROM one)
+        SELECT 'pyspark_only' AS mismatch_type, * FROM (SELECT * FROM one EXCEPT SELECT * FROM late) a
+        UNION ALL SELECT 'sql_only', * FROM (SELECT * FROM late EXCEPT SELECT * FROM one) b
+        """,
+        part.OBS, part.POPULATION,
+    ),
+)
+def series_period_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Both versions of the answer compared row by row; the SQL one was given a lookup that ends in 1999."""
+    obs = written(views.observations(spark, sf_dir), "observations")
+    people = views.yearly_population(spark, sf_dir).select("year", F.round("population").cast("bigint").alias("population"))
+    people = written(people, "population")
+    frame = answers.one_series_and_period(answers.observations_with_population(obs, people, True), SERIES, PERIOD)
+    by_sql = sql_twins.series_period_sql(obs, people.where("year < 2000"), SERIES, PERIOD)
+    return compare.two_way_diff(frame, by_sql, "pyspark_only", "sql_only")
+
+
 def _priorities(spark: SparkSession, sf_dir: str) -> DataFrame:
     return views.table(spark, sf_dir, "orders").select(
         F.col("o_orderpriority").alias("nation_id"),
         F.col("o_orderstatus").alias("nation"),
-        F.year("o_orderdate").alias("year"),
+        F.col("o_orderdate").alias("day"),
         F.col("o_totalprice").alias("population"),
     )
 
@@ -417,7 +540,7 @@ def _rounded(df: DataFrame) -> DataFrame:
     """,
 )
 def range_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _rounded(rollup.range_stats(_priorities(spark, sf_dir), 1996, 1998))
+    return _rounded(rollup.range_stats(_priorities(spark, sf_dir), 1996, 1998, day="day"))
 
 
 RANGE_GROUPED = """
@@ -431,12 +554,12 @@ RANGE_GROUPED = """
 
 @query("range_stats_grouped", RANGE_GROUPED)
 def range_stats_grouped(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _rounded(rollup.range_stats_grouped(_priorities(spark, sf_dir), 1996, 1998))
+    return _rounded(rollup.range_stats_grouped(_priorities(spark, sf_dir), 1996, 1998, day="day"))
 
 
 @query("range_stats_sql", RANGE_GROUPED)
 def range_stats_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _rounded(sql_twins.range_stats_sql(_priorities(spark, sf_dir), 1996, 1998))
+    return _rounded(sql_twins.range_stats_sql(_priorities(spark, sf_dir), 1996, 1998, day="day"))
 
 
 # ---------------------------------------------------------------- snapshots
@@ -445,14 +568,14 @@ def range_stats_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     "latest_snapshot",
     """
-    SELECT event_id, user_id, event_type, value, props, date_trunc('day', ts) AS fetched_at_utc
-    FROM events WHERE date_trunc('day', ts) = (SELECT date_trunc('day', max(ts)) FROM events)
+    SELECT event_id, user_id, event_type, value, props, ts AS fetched_at_utc FROM events
+    WHERE date_trunc('day', ts) = (SELECT date_trunc('day', max(ts)) FROM events)
     """,
 )
 def latest_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
-    day = F.date_trunc("day", "ts").cast("timestamp_ntz")
-    events = views.table(spark, sf_dir, "events").withColumn("fetched_at_utc", day).drop("ts")
-    return snapshots.latest_snapshot(events)
+    """All events of the last day; the comparison is on the stored time, so older row groups are skipped."""
+    events = views.table(spark, sf_dir, "events").withColumnRenamed("ts", "fetched_at_utc")
+    return snapshots.latest_snapshot(events, unit="day")
 
 
 @query("top1_snapshot", "SELECT * FROM events ORDER BY ts DESC, event_id DESC LIMIT 1")
@@ -506,8 +629,8 @@ def json_explode_inner(spark: SparkSession, sf_dir: str) -> DataFrame:
     ),
 )
 def payload_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
-    flagged = snapshots.flag_payload(views.population_bodies(spark, sf_dir), views.POPULATION_BODY)
-    return flagged.select(
+    parsed = snapshots.parse_payload(views.population_bodies(spark, sf_dir), views.POPULATION_BODY)
+    return snapshots.flag_parsed(parsed).select(
         "snapshot_id", "payload_schema_valid", "population_data_not_empty",
         snapshots.is_json(F.col("raw_json")).alias("is_json"),
     )
@@ -608,16 +731,16 @@ def stream_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     SELECT 'fetched-1' AS snapshot, o_orderkey, o_totalprice FROM orders
     UNION ALL SELECT 'fetched-2', o_orderkey, o_totalprice * 2 FROM orders
-    UNION ALL SELECT 'fetched-3', o_orderkey, o_totalprice FROM orders WHERE o_orderstatus <> 'F'
+    UNION ALL SELECT 'fetched-3', o_orderkey, o_totalprice * 3 FROM orders
     """,
 )
 def snapshot_append(spark: SparkSession, sf_dir: str) -> DataFrame:
-    orders = views.table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice", "o_orderstatus")
+    orders = views.table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice")
     location = scratch_path(spark, "fetches")
     fetches = {
         "fetched-1": orders,
         "fetched-2": orders.withColumn("o_totalprice", F.col("o_totalprice") * 2),
-        "fetched-3": orders.where("o_orderstatus <> 'F'"),
+        "fetched-3": orders.withColumn("o_totalprice", F.col("o_totalprice") * 3),
     }
     paths = [publish.append_snapshot(df, location, name) for name, df in fetches.items()]
     landed = spark.read.parquet(*paths)
@@ -762,13 +885,16 @@ def normalize_names(spark: SparkSession, sf_dir: str) -> DataFrame:
     """,
 )
 def discover_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One landing folder per event type; the folders are found again by listing the files."""
+    """One landing folder per event type, found again by listing the files; those of one type are ignored by name."""
     landing = scratch_path(spark, "landing")
     lines = views.table(spark, sf_dir, "events").select("event_type", F.to_json(F.struct("*")).alias("line"))
-    lines.write.partitionBy("event_type").text(landing)
-    found = listing.discover_files(spark, landing, recursive=True)
+    for part_of_run in ("event_type <> 'error'", "event_type = 'error'"):
+        lines.where(part_of_run).write.mode("append").partitionBy("event_type").text(landing)
     dataset = folder_name(F.col("path"))
-    by_folder = found.withColumn("dataset", dataset).where("dataset <> 'error'").groupBy("dataset")
+    errors = listing.discover_files(spark, landing, recursive=True).where(dataset == "error")
+    unwanted = [row.file_name for row in errors.select("file_name").collect()]
+    found = listing.discover_files(spark, landing, unwanted, recursive=True)
+    by_folder = found.withColumn("dataset", dataset).groupBy("dataset")
     sizes = by_folder.agg((F.sum("size_bytes") > 0).alias("has_content"))
     return sizes.withColumn("table_name", normalize_name(F.col("dataset"), "raw_"))
 
@@ -790,6 +916,60 @@ def scan_delimited(spark: SparkSession, sf_dir: str) -> DataFrame:
     return delimited.scan_delimited(spark, path)
 
 
+@query(
+    "scan_lineage",
+    """
+    SELECT CAST(o_orderkey AS VARCHAR) AS o_orderkey, o_orderpriority AS source_folder, TRUE AS is_text_file,
+           TRUE AS name_ends_path FROM orders
+    """,
+)
+def scan_lineage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of a folder of text files with the file each comes from; the reading time is left out."""
+    path = scratch_path(spark, "orders-by-priority")
+    orders = views.table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus", "o_orderpriority")
+    delimited.write_delimited(orders, path, partition_by=["o_orderpriority"])
+    traced = delimited.add_lineage(delimited.scan_delimited(spark, path))
+    return traced.select(
+        "o_orderkey", F.url_decode(folder_name(F.col("_source_path"))).alias("source_folder"),
+        F.col("_source_file").endswith(".csv").alias("is_text_file"),
+        F.col("_source_path").endswith(F.col("_source_file")).alias("name_ends_path"),
+    )
+
+
+@query(
+    "stream_expect_report",
+    """
+    SELECT rule, CAST(sum(checked) AS BIGINT) AS checked, CAST(sum(violations) AS BIGINT) AS violations FROM (
+        SELECT 'raw_json_not_null' AS rule, count(DISTINCT date_trunc('day', ts)) AS checked, 0 AS violations FROM events
+        UNION ALL
+        SELECT 'many_events', count(*), sum(CASE WHEN n >= 100 THEN 0 ELSE 1 END)
+        FROM (SELECT date_trunc('day', ts) AS day, count(*) AS n FROM events GROUP BY 1) d
+    ) r GROUP BY rule
+    """,
+)
+def stream_expect_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rule counts of two incremental runs, every file a micro-batch of its own."""
+    landing, raw, checkpoint = (scratch_path(spark, name) for name in ("landing", "raw", "checkpoint"))
+    events = views.table(spark, sf_dir, "events")
+    name = EVENT_SNAPSHOT.name_for(F.date_trunc("day", "ts"))
+    bodies = events.groupBy(name.alias("snapshot")).agg(F.count("*").cast("string").alias("line"))
+    rules = [
+        quality.Expectation("raw_json_not_null", "raw_json IS NOT NULL", quality.FAIL),
+        quality.Expectation("many_events", "CAST(trim(raw_json) AS INT) >= 100"),
+    ]
+    totals: dict[str, list[int]] = {rule.name: [0, 0] for rule in rules}
+    half = EVENT_SNAPSHOT.name_for(F.lit("2024-01-16").cast("timestamp_ntz"))
+    for arrived in (F.col("snapshot") < half, F.col("snapshot") >= half):
+        bodies.where(arrived).repartition("snapshot").write.mode("append").partitionBy("snapshot").text(landing)
+        files = streams.snapshot_stream(spark, landing, "*.txt", recursive=True, max_files=1)
+        found = streams.identify(files, EVENT_SNAPSHOT, folder_name(F.col("path"))).select("source_file", "raw_json")
+        for outcome in streams.ingest_available(found, raw, checkpoint, rules):
+            totals[outcome.name][0] += outcome.checked
+            totals[outcome.name][1] += outcome.violations
+    rows = [(rule, *counts) for rule, counts in totals.items()]
+    return spark.createDataFrame(rows, "rule string, checked bigint, violations bigint")
+
+
 # ---------------------------------------------------------------- comparison and presentation
 
 
@@ -863,37 +1043,47 @@ def twin_diff_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return compare.diff_counts(by_frame, by_sql, "pyspark_minus_sql", "sql_minus_pyspark")
 
 
+#: A fault put into one layer by a rule on the key, so that the traces have gaps to find.
+FAULTY = "CAST(substr(series_id, 2) AS BIGINT) % 19 = 0 AND year % 2 = 0"
+
+
 @query(
     "layer_trace",
     with_parts(
-        """
+        f"""
         , cases AS (
             SELECT DISTINCT series_id, year,
                    CASE WHEN has_all_four_quarters THEN 'normal_quarterly'
                         WHEN quarter_count > 0 THEN 'incomplete_year' ELSE 'q05_only' END AS test_case
             FROM yearly
+        ), layers AS (
+            SELECT 'bronze' AS layer, series_id, year, period, value FROM obs
+            UNION ALL
+            SELECT 'silver', series_id, year, period, value + CASE WHEN {FAULTY} THEN 0.25 ELSE 0 END FROM obs
         ), counted AS (
-            SELECT series_id, year, count(*) FILTER (WHERE period IN ('Q01', 'Q02', 'Q03', 'Q04')) AS n,
-                   CAST(sum(value) FILTER (WHERE period IN ('Q01', 'Q02', 'Q03', 'Q04')) AS DECIMAL(28,3)) AS s,
+            SELECT layer, series_id, year, count(*) FILTER (WHERE period IN ('Q01', 'Q02', 'Q03', 'Q04')) AS n,
+                   sum(value) FILTER (WHERE period IN ('Q01', 'Q02', 'Q03', 'Q04')) AS s,
                    max(value) FILTER (WHERE period = 'Q05') AS a
-            FROM obs GROUP BY series_id, year
+            FROM layers GROUP BY layer, series_id, year
         ), valued AS (
             SELECT *, CAST(CASE WHEN n = 4 THEN s WHEN n = 0 THEN a END AS DECIMAL(28,3)) AS v FROM counted
         )
         SELECT c.test_case, v.series_id, v.year, v.n AS bronze_quarter_count,
-               round(CAST(v.v AS DOUBLE), 3) AS bronze_yearly_value, v.n AS silver_quarter_count,
-               v.v AS silver_yearly_value, b.yearly_value AS gold_yearly_value,
-               CASE WHEN v.v IS NOT NULL THEN CAST(0 AS DOUBLE) END AS bronze_vs_silver_diff,
-               round(CAST(abs(v.v - b.yearly_value) AS DOUBLE), 3) AS silver_vs_gold_diff,
+               round(CAST(v.v AS DOUBLE), 3) AS bronze_yearly_value, w.n AS silver_quarter_count,
+               w.v AS silver_yearly_value, b.yearly_value AS gold_yearly_value,
+               round(CAST(abs(v.v - w.v) AS DOUBLE), 3) AS bronze_vs_silver_diff,
+               round(CAST(abs(w.v - b.yearly_value) AS DOUBLE), 3) AS silver_vs_gold_diff,
                round(CAST(abs(v.v - b.yearly_value) AS DOUBLE), 3) AS bronze_vs_gold_diff
         FROM valued v JOIN cases c ON c.series_id = v.series_id AND c.year = v.year
+        JOIN valued w ON w.layer = 'silver' AND w.series_id = v.series_id AND w.year = v.year
         LEFT JOIN best b ON b.series_id = v.series_id AND b.best_year = v.year
+        WHERE v.layer = 'bronze'
         """,
         part.OBS, part.ROLLUP, part.YEARLY, part.BEST,
     ),
 )
 def layer_trace(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every series and year is a case, named by the kind of year it is."""
+    """Every series and year is a case, named by the kind of year it is; the typed layer holds faults."""
     obs = written(views.observations(spark, sf_dir), "observations")
     yearly = answers.series_years(obs)
     kind = (
@@ -902,10 +1092,13 @@ def layer_trace(spark: SparkSession, sf_dir: str) -> DataFrame:
         .otherwise("q05_only")
     )
     cases = yearly.select("series_id", "year", kind.alias("test_case"))
-    traced = compare.layer_trace(cases, views.raw_observations(obs), obs, answers.best_years(yearly))
+    shift = F.when(F.expr(FAULTY), F.expr("0.25BD")).otherwise(F.expr("0BD"))
+    silver = obs.withColumn("value", (F.col("value") + shift).cast("decimal(18,3)"))
+    traced = compare.layer_trace(cases, views.raw_observations(obs), silver, answers.best_years(yearly))
     return traced.withColumns(
         {
             "bronze_yearly_value": F.round("bronze_yearly_value", 3),
+            "silver_yearly_value": F.col("silver_yearly_value").cast("decimal(28,3)"),
             "silver_vs_gold_diff": F.col("silver_vs_gold_diff").cast("double"),
         }
     )
@@ -947,7 +1140,12 @@ def trace_cases(spark: SparkSession, sf_dir: str) -> DataFrame:
     return traced.withColumn("quarterly_sum", F.round("quarterly_sum", 3)).orderBy("test_case", "series_id", "year")
 
 
-YEAR_CASES = "(1, 'value and population', 1997), (2, 'value, no population', 1995), (3, 'population only', 2002)"
+YEAR_CASES = (
+    "(1, 'value and population', 1997), (2, 'value, no population', 1995), (3, 'population only', 2002), "
+    "(4, 'stale answer', 1996), (5, 'value and population', 1999), (6, 'neither', 1900)"
+)
+#: Years whose published answer is out of date, so that the trace has gaps to find.
+STALE = "year % 2 = 0"
 
 
 @query(
@@ -955,28 +1153,38 @@ YEAR_CASES = "(1, 'value and population', 1997), (2, 'value, no population', 199
     with_parts(
         f"""
         , cases(test_case, test_name, year) AS (VALUES {YEAR_CASES}),
-        one AS (SELECT * FROM obs WHERE series_id = '{SERIES}' AND period = '{PERIOD}')
-        SELECT c.test_case, c.test_name, c.year,
-               CAST(o.value AS DOUBLE) AS bronze_bls_value, o.value AS silver_bls_value,
-               o.value AS generic_table_gold_value, o.value AS specific_table_gold_value,
-               CAST(round(p.population) AS BIGINT) AS bronze_population,
-               CASE WHEN o.year IS NOT NULL THEN p.population END AS generic_gold_population,
-               CASE WHEN o.year IS NOT NULL THEN p.population END AS specific_gold_population,
-               CASE WHEN o.year IS NOT NULL THEN CAST(0 AS DOUBLE) END AS bronze_vs_silver_value_diff,
-               CASE WHEN o.year IS NOT NULL THEN CAST(0 AS DOUBLE) END AS silver_vs_generic_table_gold_value_diff,
-               CASE WHEN o.year IS NOT NULL THEN CAST(0 AS DOUBLE) END AS generic_vs_specific_table_gold_value_diff,
-               CASE WHEN p.year IS NULL THEN CAST(0 AS DOUBLE) WHEN o.year IS NOT NULL THEN CAST(0 AS DOUBLE) END
+        silver AS (SELECT * FROM obs WHERE series_id = '{SERIES}' AND period = '{PERIOD}'),
+        bodies_of_years AS (SELECT year, CAST(round(population) AS BIGINT) AS people FROM population),
+        generic AS (SELECT s.year, s.value, b.people FROM silver s LEFT JOIN bodies_of_years b ON b.year = s.year),
+        specific AS (
+            SELECT year, CAST(value + CASE WHEN {STALE} THEN 0.125 ELSE 0 END AS DECIMAL(18,3)) AS value,
+                   people + CASE WHEN {STALE} THEN 7 ELSE 0 END AS people FROM generic)
+        SELECT c.test_case, c.test_name, c.year, CAST(s.value AS DOUBLE) AS bronze_bls_value, s.value AS silver_bls_value,
+               g.value AS generic_table_gold_value, p.value AS specific_table_gold_value,
+               b.people AS bronze_population, g.people AS generic_gold_population,
+               CAST(p.people AS BIGINT) AS specific_gold_population,
+               abs(CAST(s.value AS DOUBLE) - CAST(s.value AS DOUBLE)) AS bronze_vs_silver_value_diff,
+               CAST(abs(s.value - g.value) AS DOUBLE) AS silver_vs_generic_table_gold_value_diff,
+               CAST(abs(g.value - p.value) AS DOUBLE) AS generic_vs_specific_table_gold_value_diff,
+               CASE WHEN b.people IS NULL AND g.people IS NULL THEN 0 ELSE CAST(abs(b.people - g.people) AS DOUBLE) END
                    AS bronze_vs_generic_gold_population_diff,
-               CAST(0 AS DOUBLE) AS generic_vs_specific_gold_population_diff
-        FROM cases c LEFT JOIN one o ON o.year = c.year LEFT JOIN population p ON p.year = c.year
+               CASE WHEN g.people IS NULL AND p.people IS NULL THEN 0 ELSE CAST(abs(g.people - p.people) AS DOUBLE) END
+                   AS generic_vs_specific_gold_population_diff
+        FROM cases c LEFT JOIN silver s ON s.year = c.year LEFT JOIN bodies_of_years b ON b.year = c.year
+        LEFT JOIN generic g ON g.year = c.year LEFT JOIN specific p ON p.year = c.year
         """,
         part.OBS, part.POPULATION,
     ),
 )
 def enrichment_trace(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One series and period in the text layer, the typed layer and both answers."""
+    """One series and period in the text layer, the typed layer, the reusable table and a published answer.
+
+    The two answers take different ways: one is cut from the enriched observations here, the other is
+    read back from what was published, some years of which are stale.
+    """
     obs = written(views.observations(spark, sf_dir), "observations")
     population = views.yearly_population(spark, sf_dir)
+    people = population.select("year", F.round("population").cast("bigint").alias("population"))
     bodies = population.select(
         F.to_json(F.struct(F.array(F.struct(F.col("year").alias("Year"), F.col("population").alias("Population")))
                            .alias("data"))).alias("raw_json")
@@ -988,12 +1196,18 @@ def enrichment_trace(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw = views.raw_observations(obs).where((F.trim("series_id") == SERIES) & (F.trim("period") == PERIOD))
     from_text = raw.select(F.trim("year").cast("int").alias("year"), F.trim("value").cast("double").alias("value"))
     chosen = obs.where((F.col("series_id") == SERIES) & (F.col("period") == PERIOD))
-    enriched = answers.observations_with_population(obs, population)
-    specific = answers.one_series_and_period(enriched, SERIES, PERIOD)
+    enriched = answers.observations_with_population(obs, people, expect_unique=True)
+    generic = enriched.where((F.col("series_id") == SERIES) & (F.col("period") == PERIOD))
+    stale = F.expr(STALE)
+    old = answers.one_series_and_period(enriched, SERIES, PERIOD).withColumns({
+        "value": (F.col("value") + F.when(stale, F.expr("0.125BD")).otherwise(F.expr("0BD"))).cast("decimal(18,3)"),
+        "population": F.col("population") + F.when(stale, 7).otherwise(0),
+    })
+    specific = publish.publish(old, scratch_path(spark, "one-series")).data
     cases = spark.sql(f"SELECT * FROM VALUES {YEAR_CASES} AS t(test_case, test_name, year)")
-    traced = compare.enrichment_trace(cases, from_text, from_bodies, chosen, specific, specific)
+    traced = compare.enrichment_trace(cases, from_text, from_bodies, chosen, generic, specific)
     gaps = [name for name in traced.columns if name.endswith("_diff")]
-    return traced.withColumns({name: F.round(F.col(name).cast("double"), 0) for name in gaps})
+    return traced.withColumns({name: F.col(name).cast("double") for name in gaps})
 
 
 @query(
@@ -1027,9 +1241,9 @@ def sort_if_present(spark: SparkSession, sf_dir: str) -> DataFrame:
     "render_rows",
     with_parts(
         """
-        SELECT '| ' || coalesce(b.series_id, '') || ' | ' || coalesce(l.sector_name, '') || ' | ' || coalesce(l.class_text, '')
-               || ' | ' || coalesce(l.seasonal_text, '') || ' | ' || coalesce(l.measure_text, '')
-               || ' | ' || coalesce(l.duration_text, '') || ' | ' || b.value_method || ' | ' || b.best_year
+        SELECT '| ' || coalesce(b.series_id, '') || ' | ' || coalesce(l.sector_name, '') || ' | ' || coalesce(l.measure_text, '')
+               || ' | ' || coalesce(l.class_text, '') || ' | ' || coalesce(l.duration_text, '')
+               || ' | ' || coalesce(l.seasonal_text, '') || ' | ' || b.value_method || ' | ' || b.best_year
                || ' | ' || b.yearly_value || ' | ' || coalesce(replace(l.human_readable_label, '|', '\\|'), '')
                || ' | ' || CASE l._label_lookup_complete WHEN TRUE THEN 'True' WHEN FALSE THEN 'False' ELSE '' END || ' |' AS line
         FROM best b LEFT JOIN labelled l ON l.series_id = b.series_id

@@ -6,6 +6,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from strata.operators import compare, enrich, present
+from strata.operators.enrich import AmbiguousLookup
+from strata.plans.answers import observations_with_population
 
 
 def test_label_lookup(rows):
@@ -68,6 +70,29 @@ def test_layer_trace_shows_a_gap(rows):
     assert traced["two"].silver_vs_gold_diff is None
 
 
+def test_enrichment_trace_shows_gaps(rows):
+    years = "year int, value decimal(18,3), population bigint"
+    bronze = rows([(2000, 1.0), (2001, 2.0)], "year int, value double")
+    people = rows([(2000, 10), (2002, 30)], "year int, population bigint")
+    silver = rows([(2000, Decimal("1.500")), (2001, Decimal(2))], "year int, value decimal(18,3)")
+    generic = rows([(2000, Decimal("1.500"), 10), (2001, Decimal(2), None)], years)
+    specific = rows([(2000, Decimal("1.125"), 13)], years)
+    cases = rows([("a", "both", 2000), ("b", "stale", 2001), ("c", "people", 2002)], "test_case string, test_name string, year int")
+    found = {r.test_case: r for r in compare.enrichment_trace(cases, bronze, people, silver, generic, specific).collect()}
+    a, b, c = found["a"], found["b"], found["c"]
+    assert a.bronze_vs_silver_value_diff == 0.5 and a.silver_vs_generic_table_gold_value_diff == 0
+    assert float(a.generic_vs_specific_table_gold_value_diff) == 0.375 and a.generic_vs_specific_gold_population_diff == 3
+    assert b.generic_vs_specific_table_gold_value_diff is None and b.generic_vs_specific_gold_population_diff == 0
+    assert c.bronze_vs_generic_gold_population_diff is None and c.bronze_vs_silver_value_diff is None
+
+
+def test_two_nations_of_one_year_stop_the_enriched_table(rows):
+    obs = rows([("s", "Q01", 2000, Decimal(1))], "series_id string, period string, year int, value decimal(18,3)")
+    people = rows([(2000, 1.0), (2000, 2.0)], "year int, population double")
+    with pytest.raises(AmbiguousLookup):
+        observations_with_population(obs, people, expect_unique=True)
+
+
 def test_sort_if_present(rows):
     frame = rows([(2, "a"), (1, "b"), (1, "a")], "n int, t string").withColumn("m", F.create_map(F.lit("k"), "n"))
     assert [(r.n, r.t) for r in present.sort_if_present(frame, ["missing", "n"]).collect()] == [(1, "a"), (1, "b"), (2, "a")]

@@ -1,12 +1,13 @@
 """A landing folder followed through several runs of its source."""
 
-from datetime import datetime
+from datetime import datetime, timedelta, timezone
 
 import pytest
 from pyspark.sql import functions as F
 
 from strata.operators.manifest import content_hash
 from strata.operators.quality import GateError
+from strata.plans import mirror as plan
 from strata.plans.mirror import EmptyListing, Mirror, changed_listing, compare_listing, read_manifest, record_run
 
 
@@ -26,6 +27,28 @@ def mirror(spark, tmp_path):
                   "control.mirror_manifest")
 
 
+SINCE = datetime.now(timezone.utc) - timedelta(minutes=5)
+
+
+def test_a_run_that_dies_before_the_manifest_keeps_its_events(spark, rows, mirror, monkeypatch):
+    whole = plan.publish
+
+    def dies(df, location, *rest):
+        if location.endswith("/manifest"):
+            raise OSError("gone")
+        return whole(df, location, *rest)
+
+    monkeypatch.setattr(plan, "publish", dies)
+    with pytest.raises(OSError, match="gone"):
+        run(spark, rows, mirror, 2, {"a": (1, "aaa")})
+    monkeypatch.setattr(plan, "publish", whole)
+    assert read_manifest(spark, mirror).isEmpty()
+    run(spark, rows, mirror, 2, {"a": (1, "aaa")})
+    events = spark.read.parquet(f"{mirror.log}/*").collect()
+    assert [(e.file_name, e.event_type) for e in events] == [("a", "new")]
+    assert [r.file_name for r in read_manifest(spark, mirror).collect()] == ["a"]
+
+
 def run(spark, rows, mirror, day, files, fetch=True):
     """One run of the caller: compare, fetch, drop, record; the actions by file."""
     at = F.lit(datetime(2026, 1, day))
@@ -36,7 +59,7 @@ def run(spark, rows, mirror, day, files, fetch=True):
         if action in ("new", "changed") and fetch:
             with open(path, "w") as file:
                 file.write(files[name][1])
-    record_run(spark, mirror, compared, at, f"run-{day}")
+    record_run(spark, mirror, compared, at, f"run-{day}", SINCE)
     return actions
 
 

@@ -19,7 +19,7 @@ def duck():
     return connect(SF_DIR)
 
 
-@pytest.mark.parametrize("name", sorted(QUERIES))
+@pytest.mark.parametrize("name", sorted(ORACLES))
 def test_query_agrees_with_sql(spark, duck, name):
     result = QUERIES[name](spark, SF_DIR)
     assert differences(result, duck, ORACLES[name]) == []
