@@ -142,8 +142,11 @@ class Tagger:
 
 
 def summary(marginals: np.ndarray) -> np.ndarray:
-    """What a document score is made of: one, the highest marginal, and how many toxic tokens are expected."""
-    return np.array([1.0, marginals.max() if len(marginals) else 0.0, np.log1p(marginals.sum())])
+    """What a document score is made of: one, the highest marginal, and the marginals of the tokens tagged toxic.
+
+    Tokens below one half are left out of the sum, so that a text is not toxic for being long.
+    """
+    return np.array([1.0, marginals.max() if len(marginals) else 0.0, np.log1p(marginals[marginals >= 0.5].sum())])
 
 
 def fit_field(texts: list[str], labels: np.ndarray, prevalence: float) -> Tagger:
