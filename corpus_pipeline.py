@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from strata.llm import decontaminate, language_id, line_dedup, ngram_join, packing
-from strata.llm.common import table
+from strata.llm.common import ship, table
 from strata.session import written
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
@@ -55,6 +55,7 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship(spark)
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
         docs = written(stage(spark, docs, sf_dir), name.replace(" ", "-"))

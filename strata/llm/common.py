@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
+import os
+import tempfile
+import zipfile
 from collections.abc import Callable, Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -11,6 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+import strata
 from strata.session import written
 
 #: Text bytes handled at a time in a Python worker; a single longer text is a slice of its own.
@@ -21,6 +26,27 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this package to the Python workers, once per application, if they would not find it themselves.
+
+    They do where it is installed, on PYTHONPATH, or in the folder a local session was started from.
+    """
+    home = Path(strata.__file__).resolve().parents[1]
+    known = [Path(p).resolve() for p in (os.getcwd(), *os.environ.get("PYTHONPATH", "").split(os.pathsep)) if p]
+    context = spark.sparkContext
+    if home in known or home.name == "site-packages" or context.applicationId in _SHIPPED:
+        return
+    archive = Path(tempfile.mkdtemp(prefix="strata-"), "strata-package.zip")  # Spark serves it from here to the executors
+    with zipfile.ZipFile(archive, "w") as packed:
+        for source in sorted((home / "strata").rglob("*.py")):
+            packed.write(source, source.relative_to(home))
+    context.addPyFile(str(archive))
+    _SHIPPED.add(context.applicationId)
+
+
 def remainder(key: Column, modulus: int) -> Column:
     """crc32 of the key written as text, modulo ``modulus``; null for a null key."""
     return F.crc32(key.cast("string").cast("binary")) % modulus

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.llm import decontaminate, embedding_dedup, language_id, line_dedup, lm, ngram_join, packing, quality, token_store, toxicity
-from strata.llm.common import remainder, table
+from strata.llm.common import remainder, ship, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -17,7 +17,11 @@ ORACLES: dict[str, str] = {}
 
 def query(name: str, oracle: str | None = None) -> Callable[[Query], Query]:
     def register(run: Query) -> Query:
-        QUERIES[name] = run
+        def shipped(spark: SparkSession, sf_dir: str) -> DataFrame:
+            ship(spark)
+            return run(spark, sf_dir)
+
+        QUERIES[name] = shipped
         if oracle:
             ORACLES[name] = oracle
         return run
