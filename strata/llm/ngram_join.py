@@ -31,7 +31,7 @@ from strata.session import written
 
 WORDS, PERCENT = 5, 80
 #: Counters of the frequency sketch, and how many of them travel together.
-SKETCH, CHUNK = 1 << 20, 1 << 12
+SKETCH, CHUNK = 1 << 21, 1 << 13
 #: Rows of one prefix shingle that are compared in one task; ids that may be broadcast.
 TILE, BROADCAST_IDS = 2048, 1_000_000
 _M = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x85EBCA77C2B2AE63, 0x27D4EB2F165667C5], np.uint64)
@@ -88,7 +88,8 @@ SKETCHED = T.StructType([
 def frequency_classes(docs: DataFrame, words: int) -> np.ndarray:
     """A class for each counter of the sketch: 0 for what is not frequent, more the more frequent.
 
-    Counted over all documents; a task hands on its counters once, and they are added in two steps so
+    Frequent is a counter that stands out of the rare shingles that share it by twice their standard deviation, so
+    what goes unnoticed grows with the square root of the corpus only. Counted over all documents; a task hands on its counters once, and they are added in two steps so
     that no step meets more than a part of the tasks.
     """
     def run(batches):
@@ -99,7 +100,8 @@ def frequency_classes(docs: DataFrame, words: int) -> np.ndarray:
                 if found:
                     counts += np.bincount((np.concatenate(found) & np.uint64(SKETCH - 1)).astype(np.int64), minlength=SKETCH)
         salt = TaskContext.get().partitionId() % 64
-        pieces = [row.astype("<i4").tobytes() for row in counts.reshape(-1, CHUNK)] if counts.any() else []
+        counts = np.minimum(counts, 65_535).astype("<i4")
+        pieces = [row.tobytes() for row in counts.reshape(-1, CHUNK)] if counts.any() else []
         yield pa.RecordBatch.from_arrays([
             pa.array(range(len(pieces)), pa.int32()), pa.array([salt] * len(pieces), pa.int32()), pa.array(pieces, pa.binary())],
             SKETCHED.names)
@@ -114,7 +116,8 @@ def frequency_classes(docs: DataFrame, words: int) -> np.ndarray:
     counts = np.zeros((SKETCH // CHUNK, CHUNK))
     for row in once.groupBy("chunk").applyInArrow(add, SKETCHED).collect():
         counts[row["chunk"]] = np.frombuffer(row["counts"], "<i4")
-    noise = 2 * counts.mean() + 20
+    usual = float(np.median(counts))
+    noise = usual + 2 * np.sqrt(usual) + 2
     level = np.where(counts > noise, 1 + 4 * np.log2(np.maximum(counts, 1) / noise), 0)
     return np.minimum(level, 255).astype(np.uint8).ravel()
 
@@ -273,6 +276,12 @@ def may_link(n: int, m: int, a: list[np.ndarray], b: list[np.ndarray], percent:
     return True
 
 
+def only(rows: DataFrame, pairs: DataFrame, label: str) -> DataFrame:
+    """The rows whose doc_id is in a pair; the ids are counted first and broadcast if they are few."""
+    wanted = written(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), label)
+    return rows.join(F.broadcast(wanted) if wanted.count() <= BROADCAST_IDS else wanted, "doc_id", "left_semi")
+
+
 def verified(pairs: DataFrame, measured: DataFrame, docs: DataFrame, words: int, percent: int, label: str) -> DataFrame:
     """The pairs that link: filtered by the prefixes of every order, then counted on the whole sets."""
     sides = lambda s: measured.select(F.col("doc_id").alias(s), *[F.col(c).alias(f"{c}_{s}") for c in ("n", "first", "second")])
@@ -286,10 +295,9 @@ def verified(pairs: DataFrame, measured: DataFrame, docs: DataFrame, words: int,
                 keep.append(may_link(n, m, [fa, sa], [fb, sb], percent))
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
+    measured = only(measured, pairs, f"{label}-asked")
     left = written(pairs.join(sides("a"), "a").join(sides("b"), "b").mapInArrow(allowed, PAIRS).distinct(), f"{label}-allowed")
-    wanted = left.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-    count = left.count()
-    chosen = docs.join(F.broadcast(wanted) if count <= BROADCAST_IDS else wanted, "doc_id", "left_semi")
+    chosen = only(docs, left, f"{label}-wanted")
 
     def sets(part: pa.RecordBatch) -> pa.RecordBatch:
         found = [np.unique(shingles(text, words)).tobytes() for text in part.column("text").to_pylist()]
