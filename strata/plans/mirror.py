@@ -12,6 +12,7 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from strata.operators.enrich import one_per_key
 from strata.operators.manifest import STATE, change_events, check_fetched, content_changes, reconcile
 from strata.operators.publish import Published, append_snapshot, publish
 from strata.operators.quality import FAIL, Expectation
@@ -52,11 +53,11 @@ def read_manifest(spark: SparkSession, mirror: Mirror) -> DataFrame:
 def compare_listing(spark: SparkSession, mirror: Mirror, page: DataFrame, run_time: Column) -> DataFrame:
     """What happened to every file according to ``page`` (page_id, html), the newest listing.
 
-    The result is written out: it must stay what it was while files are fetched and dropped.
+    A name that is listed twice is an error, as two rows of it would multiply. The result is written out: it must stay what it was while files are fetched and dropped.
     """
     if not empty_listings(page).isEmpty():
         raise EmptyListing(f"no file is listed at {mirror.base_url}")
-    listed = listing_rows(page, mirror.base_url).drop("page_id")
+    listed = one_per_key(listing_rows(page, mirror.base_url).drop("page_id"), "file_name")
     local = discover_files(spark, mirror.folder).select("file_name", F.col("size_bytes").alias("local_size_bytes"))
     return written(reconcile(read_manifest(spark, mirror), listed, local, run_time), "reconciled")
 

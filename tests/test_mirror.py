@@ -5,6 +5,7 @@ from datetime import datetime, timedelta, timezone
 import pytest
 from pyspark.sql import functions as F
 
+from strata.operators.enrich import AmbiguousLookup
 from strata.operators.manifest import content_hash
 from strata.operators.quality import GateError
 from strata.plans import mirror as plan
@@ -85,6 +86,12 @@ def test_a_file_that_did_not_arrive_stops_the_run(spark, rows, mirror):
     assert read_manifest(spark, mirror).isEmpty()
 
 
+def test_a_file_listed_twice_is_an_error(spark, rows, mirror):
+    pages = [(1, listing({"a": (1, "x")})), (2, listing({"a": (2, "y"), "b": (1, "z")}))]
+    with pytest.raises(AmbiguousLookup):
+        compare_listing(spark, mirror, rows(pages, "page_id int, html string"), F.current_timestamp())
+
+
 def test_empty_listing(spark, rows, mirror):
     with pytest.raises(EmptyListing):
         compare_listing(spark, mirror, rows([(1, "<html></html>")], "page_id int, html string"), F.current_timestamp())

@@ -54,6 +54,21 @@ def test_newest_snapshot_prunes_folders_and_shuffles_no_body(stored):
     assert "PartitionFilters: [isnotnull(fetched_on" in plan_of(newest)
 
 
+def test_year_bounds_and_the_newest_day_reach_the_scan(spark, stored):
+    days = stored("raw").select("fetched_at_utc", F.lit("n").alias("nation_id"), F.lit("m").alias("nation"), F.lit(1.0).alias("population"))
+    plan = plan_of(rollup.range_stats(days, 2025, 2026, day="fetched_at_utc"))
+    assert "GreaterThanOrEqual(fetched_at_utc" in plan
+    newest = snapshots.latest_snapshot(stored("raw").drop("fetched_on"), unit="day")
+    assert newest.count() == 2
+    assert "DataFilters: [isnotnull(fetched_at_utc" in plan_of(newest)
+
+
+def test_a_body_is_parsed_once(rows):
+    frame = rows([(1, '{"data": [{"Year": 1}]}')], "k int, raw_json string")
+    flagged = snapshots.flag_parsed(snapshots.parse_payload(frame, "data array<struct<Year: bigint>>"))
+    assert plan_of(flagged.drop("_records")).count("from_json") == 1
+
+
 def test_series_and_period_reach_the_scan_and_the_lookup_is_broadcast(stored):
     chosen = one_series_and_period(observations_with_population(stored("obs"), stored("population")), "s5", "Q01")
     plan = plan_of(chosen)
