@@ -9,8 +9,7 @@ they are. Rows that repeat a doc_id count as one document read again: they keep
 long lines are compared whole. Only doc_id and text are read.
 
 Tokens are 64-bit numbers. They are ordered by rarity: a fixed-size table holds how frequent the tokens of each
-hash bucket are over all lines, as the logarithm of a count; rare buckets come first, then the number decides. Any such
-order is exact. Equal sets are one line first. A prefix token's lines are compared with the earliest of them only;
+hash bucket are over all lines; rare buckets come first, then the number decides. Any such order is exact. Equal sets are one line first. A prefix token's lines are compared with the earliest of them only;
 lines that this leaves undecided are then compared with every earlier line of the token.
 """
 
@@ -18,6 +17,7 @@ from __future__ import annotations
 
 import json
 import math
+import statistics
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -27,7 +27,8 @@ from strata.session import written
 
 SHINGLE, PERCENT = 5, 80
 #: Buckets of the rarity table, and lines that may be broadcast (16 bytes each) to pick them out of the texts.
-BUCKETS, BROADCAST_LINES = 1 << 16, 400_000
+BUCKETS, BROADCAST_LINES = 1 << 17, 400_000
+_WHITE = " \t\x0b\f\r"
 _BITS = (1 << 56) - 1
 
 
@@ -40,32 +41,49 @@ def lines_of(docs: DataFrame) -> DataFrame:
     """``(doc_id, line_no, line)`` for lines with words."""
     cut = docs.where("doc_id IS NOT NULL AND text IS NOT NULL").select(
         "doc_id", F.posexplode(F.split("text", "\n", -1)).alias("line_no", "line"))
-    return cut.where(F.col("line").rlike(r"[^ \t\x0B\f\r]"))
+    return cut.where(has_words(F.col("line")))
+
+
+def has_words(line: Column) -> Column:
+    return F.ltrim(line, F.lit(_WHITE)) != ""
+
+
+def words_of(line: str) -> Column:
+    """Words of a line; one without other white space than single blanks between words is cut the short way."""
+    text = F.col(line)
+    odd = text.rlike(r"[\t\x0B\f\r]|  ") | text.startswith(" ") | text.endswith(" ")
+    slow = F.split(F.btrim(text, F.lit(_WHITE)), r"[ \t\x0B\f\r]+")
+    return F.when(odd, slow).otherwise(F.split(text, " "))
 
 
 def token_numbers(line: str) -> Column:
     """Numbers of all tokens of a line, repeated ones included."""
-    bare = F.regexp_replace(line, r"^[ \t\x0B\f\r]+", "")
-    words = F.transform(F.split(bare, r"[ \t\x0B\f\r]+", 0), lambda word: F.xxhash64(word))
-    return bind(words, lambda h: F.transform(
-        F.sequence(F.lit(0), F.greatest(F.size(h) - SHINGLE, F.lit(0))),
-        lambda i: F.xxhash64(*[F.get(h, i + k) for k in range(SHINGLE)])))
+    hashes = F.transform(words_of(line), lambda word: F.xxhash64(word))
+    return bind(hashes, lambda h: F.transform(
+        F.slice(h, F.lit(1), F.greatest(F.size(h) - SHINGLE + 1, F.lit(1))),
+        lambda first, i: F.xxhash64(first, *[F.get(h, i + k) for k in range(1, SHINGLE)])))
 
 
 def rarity_levels(lines: DataFrame) -> list[int]:
-    """For each bucket of token numbers, twice the logarithm of how often its tokens occur in all lines."""
-    levels = [0] * BUCKETS
+    """A level for each bucket of token numbers: 0 unless its tokens are frequent in all lines, more the more frequent.
+
+    Frequent is a bucket that stands out of the rare tokens in it by twice their standard deviation, so what
+    goes unnoticed grows with the square root of the corpus only.
+    """
+    counts = [0] * BUCKETS
     counted = lines.select(F.explode(token_numbers("line")).alias("token")).groupBy(
         F.col("token").bitwiseAND(F.lit(BUCKETS - 1)).alias("bucket")).count()
     for row in counted.collect():
-        levels[row["bucket"]] = min(127, int(2 * math.log2(row["count"])))
-    return levels
+        counts[row["bucket"]] = row["count"]
+    usual = statistics.median(counts)
+    noise = usual + 2 * math.sqrt(usual) + 2
+    return [min(127, int(1 + 4 * math.log2(count / noise))) if count > noise else 0 for count in counts]
 
 
 def ordered_tokens(line: str, levels: list[int]) -> Column:
     """The different tokens of a line as numbers that sort rarest first."""
-    table = F.from_json(F.lit(json.dumps(levels)), "array<bigint>")
-    level = lambda token: F.get(table, token.bitwiseAND(F.lit(BUCKETS - 1)).cast("int"))
+    table = F.from_json(F.lit(json.dumps(levels)), "array<tinyint>")
+    level = lambda token: F.get(table, token.bitwiseAND(F.lit(BUCKETS - 1)).cast("int")).cast("long")
     keys = F.transform(token_numbers(line), lambda token: F.shiftleft(level(token), 56).bitwiseOR(
         token.bitwiseAND(F.lit(_BITS))))
     return F.sort_array(F.array_distinct(keys))
@@ -142,7 +160,7 @@ def kept_by_document(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
 
 def numbers_with_words(text: str) -> Column:
     """Numbers of the lines of a text that have words."""
-    numbered = F.transform(F.split(text, "\n", -1), lambda line, i: F.when(line.rlike(r"[^ \t\x0B\f\r]"), i))
+    numbered = F.transform(F.split(text, "\n", -1), lambda line, i: F.when(has_words(line), i))
     return F.filter(numbered, lambda i: i.isNotNull())
 
 
@@ -168,7 +186,7 @@ def remove_repeated_lines(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     key, lines = free_name(docs.columns, "strata_doc"), free_name(docs.columns, "strata_kept")
     joined = docs.join(kept.select(F.col("doc_id").alias(key), F.col("kept").alias(lines)),
                        F.col("doc_id").cast("long") == F.col(key), "left")
-    blank = lambda line: ~line.rlike(r"[^ \t\x0B\f\r]")
+    blank = lambda line: ~has_words(line)
     left = F.array_join(F.filter(
         F.split("text", "\n", -1), lambda line, i: blank(line) | F.array_contains(F.col(lines), i)), "\n")
     alone = F.col("doc_id").isNull() | F.col("text").isNull() | ~F.col("text").rlike(r"[^ \t\x0B\f\r\n]")
