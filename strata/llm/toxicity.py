@@ -10,10 +10,11 @@ from __future__ import annotations
 
 import re
 from collections import Counter
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -54,19 +55,17 @@ def features(name: str) -> list[int]:
 
 def toxic_cues(texts: list[set[str]], labels: np.ndarray) -> set[str]:
     """Cues that tell toxic texts: among pure ones, always the one that explains most texts still unexplained."""
-    by_cue: tuple[dict, Counter] = ({}, Counter())
-    for i, (held, label) in enumerate(zip(texts, labels)):
-        for cue in {c for name in held for c in cues(name)}:
-            if label:
-                by_cue[0].setdefault(cue, set()).add(i)
-            else:
-                by_cue[1][cue] += 1
+    counts = (Counter(), Counter())
+    for held, label in zip(texts, labels):
+        counts[int(label)].update({c for name in held for c in cues(name)})
     n_toxic, n_clean = int(labels.sum()), int((1 - labels).sum())
-    pure = {
-        cue: found for cue, found in by_cue[0].items()
-        if len(found) >= LEAST_TEXTS
-        and (len(found) + 0.5) / (n_toxic + 1) >= PURITY * (by_cue[1][cue] + 0.5) / (n_clean + 1)
-    }
+    pure: dict[str, set[int]] = {
+        cue: set() for cue, n in counts[1].items()
+        if n >= LEAST_TEXTS and (n + 0.5) / (n_toxic + 1) >= PURITY * (counts[0][cue] + 0.5) / (n_clean + 1)}
+    for i in np.flatnonzero(labels):
+        for cue in {c for name in texts[i] for c in cues(name)}:
+            if cue in pure:
+                pure[cue].add(int(i))
     chosen: set[str] = set()
     left = set().union(*pure.values()) if pure else set()
     ordered = sorted(pure, key=lambda cue: (-len(pure[cue]), -len(cue), cue))
@@ -151,7 +150,8 @@ def summary(marginals: np.ndarray) -> np.ndarray:
 
 def fit_field(texts: list[str], labels: np.ndarray, prevalence: float) -> Tagger:
     """Fit on labelled texts: tag tokens by cues, then gradient steps on the chain likelihood."""
-    tokens = [[word(token) for token in text.split()] for text in texts]
+    one: dict[str, str] = {}  # equal words are one object, however often they occur
+    tokens = [[one.setdefault(name, name) for name in map(word, text.split())] for text in texts]
     found = toxic_cues([set(names) for names in tokens], labels)
     number: dict[str, int] = {}
     chains = [np.array([number.setdefault(name, len(number)) for name in names], np.int64) for names in tokens]
@@ -207,9 +207,9 @@ def learn_tagger(docs: DataFrame, labels: DataFrame, sample: dict[int, int] | No
     prevalence = counts.get(1, 0) / total if total else 0.0
     if len(counts) < 2:
         return prevalence
-    picked = known.withColumn("pick", F.xxhash64("doc_id", F.lit("toxicity")))
-    picked = picked.withColumn("rank", F.row_number().over(Window.partitionBy("label").orderBy("pick")))
-    picked = picked.where(" OR ".join(f"(label = {label} AND rank <= {most})" for label, most in sample.items()))
+    hashed = known.withColumn("pick", F.xxhash64("doc_id", F.lit("toxicity")))
+    tops = [hashed.where(F.col("label") == label).orderBy("pick").limit(most) for label, most in sample.items()]
+    picked = reduce(DataFrame.unionByName, tops)
     rows = documents_only(docs).where("text IS NOT NULL").join(F.broadcast(picked), "doc_id").select("text", "label")
     different: dict[str, int] = {}
     for row in rows.collect():
