@@ -140,13 +140,13 @@ def kept_lines(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     pair = ["doc_id", "line_no", "early_doc", "early_line"]
     tried = written(buckets.where((F.col("rank") > 1) & close_enough(percent)).select(*pair).distinct(), "line-star")
     removed = written(verified(tried, docs, levels, percent, "line-star"), "line-removed")
-    shared = buckets.where("rank > 1 OR more")
+    shared = buckets.where("rank > 2 OR (rank = 2 AND more)")  # the first line was compared, two lines have no other pair
     earlier = shared.select(
         "token", F.col("doc_id").alias("early_doc"), F.col("line_no").alias("early_line"), F.col("n").alias("m"),
         F.col("at").alias("place"), F.col("rank").alias("early_rank"))
     open_ = shared.where("rank > 2").select("token", "doc_id", "line_no", "n", "at", "rank").join(
         removed, ["doc_id", "line_no"], "left_anti")
-    more = open_.join(earlier.where("early_rank > 1"), "token").where(
+    more = open_.join(earlier, "token").where(
         (F.col("early_rank") < F.col("rank")) & close_enough(percent)).select(*pair).distinct()
     also = verified(written(more, "line-between"), docs, levels, percent, "line-between")
     return buckets.where("at = 0").select("doc_id", "line_no").join(
