@@ -26,8 +26,8 @@ from strata.session import written
 HEAD = 60_000
 #: Words the neural model tells apart, classes of other words (by their last two bytes), vector size.
 MODEL_WORDS, CLASSES, DIMENSIONS = 1600, 200, 24
-#: Share of the positions of every training document that a round uses, rounds, noise words a batch.
-POSITIONS, ROUNDS, NOISE, BATCH = 0.08, 2, 96, 2048
+#: Share of the positions of every training document that a round uses (all of them), rounds, noise words a batch.
+POSITIONS, ROUNDS, NOISE, BATCH = 1.0, 1, 96, 2048
 END = b"\n"
 _FLUSH = 150_000
 
@@ -111,6 +111,8 @@ class LogBilinear:
         self.context, self.output, self.mixing = tables
         self.vectors, self.bias = self.output[:, :-1], self.output[:, -1]
         self.normaliser: dict = {}
+        #: Positions it was trained on, repeated rounds included.
+        self.positions = 0
 
     @staticmethod
     def fresh(unigram: np.ndarray, dimensions: int = DIMENSIONS, seed: int = 7) -> list[np.ndarray]:
@@ -199,10 +201,10 @@ class Trainer:
         self.seen = 0
 
     def add(self, table: int, rows: np.ndarray, slope: np.ndarray) -> None:
-        where, at = np.unique(rows, return_inverse=True)
-        order = np.argsort(at, kind="stable")
-        cuts = np.searchsorted(at[order], np.arange(len(where)))
-        total = np.add.reduceat(slope[order], cuts, axis=0)
+        order = np.argsort(rows, kind="stable")
+        ordered = rows[order]
+        cuts = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]]))
+        where, total = ordered[cuts], np.add.reduceat(slope[order], cuts, axis=0)
         self.grown[table][where] += total ** 2
         self.tables[table][where] += self.RATE * total / np.sqrt(self.grown[table][where])
 
@@ -232,13 +234,13 @@ class Trainer:
 def train(docs: DataFrame, words: Vocabulary, rounds: int = ROUNDS) -> LogBilinear:
     """Rounds of local training and averaging.
 
-    In a round every task starts from the shared tables and learns from a fixed share of the positions of
+    In a round every task starts from the shared tables and learns from every position of
     every document it reads; the tables are then averaged, weighted by positions, row by row with
     partial merging. What is averaged grows with the number of tasks, so with the corpus; what
     the driver gets is one model.
     """
     spark = docs.sparkSession
-    tables = LogBilinear.fresh(words.unigram)
+    tables, positions = LogBilinear.fresh(words.unigram), 0
     shared_words = spark.sparkContext.broadcast(words)
     width = DIMENSIONS + 1
     names = [f"v{i}" for i in range(width)]
@@ -270,13 +272,16 @@ def train(docs: DataFrame, words: Vocabulary, rounds: int = ROUNDS) -> LogBiline
 
         parts = documents_only(docs).mapInArrow(run, schema)
         means = parts.groupBy("t", "r").agg(
-            *[(F.sum(F.col(name) * F.col("n")) / F.sum("n")).alias(name) for name in names]).collect()
+            F.sum("n").alias("n"), *[(F.sum(F.col(name) * F.col("n")) / F.sum("n")).alias(name) for name in names]).collect()
         tables = [table.copy() for table in tables]
         for row in means:
             table = tables[row["t"]]
             table[row["r"]] = [row[name] for name in names][:table.shape[1]]
+        positions += int(means[0]["n"]) if means else 0
         start.unpersist()
-    return LogBilinear(tables)
+    model = LogBilinear(tables)
+    model.positions = positions
+    return model
 
 
 SCORED = T.StructType([

@@ -81,6 +81,14 @@ def test_language_model_counts_exactly_and_learns_context(docs, monkeypatch):
     assert empty[0].n_known == 0 and empty[0].train_tokens == 0 and math.isfinite(empty[0].score)
 
 
+def test_every_training_position_is_a_target(docs):
+    texts = [*(f"a b c w{i}" for i in range(50)), *EDGE_TEXTS]
+    frame = docs(texts).repartition(3)
+    counts = lm.count_words(frame)
+    total = sum(len((text or "").encode().split()) + 1 for text in texts)
+    assert lm.train(frame, lm.learn_vocabulary(counts)).positions == total
+
+
 def test_model_probabilities_sum_to_one():
     unigram = np.array([0.5, 0.3, 0.15, 0.05])
     model = lm.LogBilinear(lm.LogBilinear.fresh(unigram))
