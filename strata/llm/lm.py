@@ -4,10 +4,16 @@ Tokens are lower-cased (A-Z) words and one end token a document. Null and empty
 token alone. A null doc_id is carried along. Without training text every token is unseen (N = V = 0). Counts
 cover every training token; only doc_id and text are read. Rows that repeat are scored and
 counted each time.
+
+The model's rows are all words from a count on that grows with the square root of the training tokens
+(``least_count``), so the rows and the share of the tokens they cover both grow with the corpus; each is told apart as
+context and as target. Rarer words share classes, whose number grows with the words counted, and have their unigram
+share of the class. Rows lie in groups of equal frequency, p(row) = p(group) p(row | group), both from the vectors.
 """
 
 from __future__ import annotations
 
+import math
 import uuid
 import zlib
 from collections import Counter
@@ -24,8 +30,11 @@ from strata.session import written
 
 #: Words that tasks hold in memory with their counts; the rest is looked up by a join.
 HEAD = 60_000
-#: Words the neural model tells apart, classes of other words (by their last two bytes), vector size.
+#: Least words the neural model tells apart, least classes of other words (by their last three bytes), vector size.
 MODEL_WORDS, CLASSES, DIMENSIONS = 1600, 200, 24
+#: Root of the training tokens for one more occurrence that a model word needs; tokens that make a training task;
+#: rows of the model that are averaged together.
+ROOT, TASK_TOKENS, BLOCK = 100, 500_000, 256
 #: Share of the positions of every training document that a round uses (all of them), rounds, noise words a batch.
 POSITIONS, ROUNDS, NOISE, BATCH = 1.0, 1, 96, 2048
 END = b"\n"
@@ -39,8 +48,13 @@ def tokens_of(text: str | None) -> list[bytes]:
     return text.encode().lower().split() if text else []
 
 
-def word_class(word: bytes) -> int:
-    return zlib.crc32(word[-2:]) % CLASSES
+def word_class(word: bytes, classes: int = CLASSES) -> int:
+    return zlib.crc32(word[-3:]) % classes
+
+
+def least_count(total: int) -> int:
+    """Occurrences from which on a word has a row of its own."""
+    return max(2, math.isqrt(total) // ROOT)
 
 
 def count_words(docs: DataFrame) -> DataFrame:
@@ -69,6 +83,7 @@ class Vocabulary:
     head: dict[bytes, int]
     rows: dict[bytes, int]
     unigram: np.ndarray
+    group: np.ndarray
     class_counts: np.ndarray
     class_types: np.ndarray
     total: int
@@ -77,79 +92,107 @@ class Vocabulary:
     def row(self, word: bytes) -> int:
         """Row of the model's tables: a model word or the class of another word."""
         row = self.rows.get(word)
-        return len(self.rows) + word_class(word) if row is None else row
+        return len(self.rows) + word_class(word, len(self.class_counts)) if row is None else row
 
 
 def learn_vocabulary(counts: DataFrame) -> Vocabulary:
-    """Totals of the written ``counts`` and its ``HEAD`` most frequent words."""
+    """Totals of the written ``counts``, its model words and at least its ``HEAD`` most frequent words."""
     total, types = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
-    top = counts.orderBy(F.desc("c"), "word").limit(HEAD).collect()
+    modelled = max(MODEL_WORDS, counts.where(F.col("c") >= least_count(total)).count())
+    top = counts.orderBy(F.desc("c"), "word").limit(max(HEAD, modelled)).collect()
     head = {bytes(row["word"]): row["c"] for row in top}
-    words = list(head)[:MODEL_WORDS]
+    words = list(head)[:modelled]
     if END not in words:
-        words = [END, *words[:MODEL_WORDS - 1]]
+        words = [END, *words[:modelled - 1]]
     rows = {word: i for i, word in enumerate(words)}
-    listed = counts.sparkSession.createDataFrame([(bytearray(word),) for word in words], "word binary")
+    classes = max(CLASSES, math.isqrt(types))
+    listed = counts.sparkSession.createDataFrame(pa.table({"word": pa.array(words, pa.binary())}))
     tail = counts.join(F.broadcast(listed), "word", "left_anti")
-    grouped = tail.select(class_column().alias("k"), "c")
-    class_counts, class_types = np.zeros(CLASSES), np.zeros(CLASSES)
+    grouped = tail.select(class_column(classes).alias("k"), "c")
+    class_counts, class_types = np.zeros(classes), np.zeros(classes)
     for row in grouped.groupBy("k").agg(F.sum("c").alias("c"), F.count("*").alias("t")).collect():
         class_counts[row["k"]], class_types[row["k"]] = row["c"], row["t"]
     unigram = np.array([*[head.get(word, 0) for word in words], *class_counts], np.float64) + 1
-    return Vocabulary(head, rows, unigram / unigram.sum(), class_counts, class_types, total, types)
+    unigram /= unigram.sum()
+    return Vocabulary(head, rows, unigram, frequency_groups(unigram), class_counts, class_types, total, types)
+
+
+def frequency_groups(unigram: np.ndarray) -> np.ndarray:
+    """The group of each row: runs of rows of about equal frequency, about the root of the rows many."""
+    before = np.cumsum(unigram) - unigram
+    return np.unique((before * math.isqrt(len(unigram))).astype(np.int64), return_inverse=True)[1]
 
 
-def class_column():
+def class_column(classes: int):
     """``word_class`` as an expression."""
-    return (F.crc32(F.expr("substring(word, greatest(octet_length(word) - 1, 1), 2)")) % CLASSES).cast("int")
+    return (F.crc32(F.expr("substring(word, greatest(octet_length(word) - 2, 1), 3)")) % classes).cast("int")
 
 
 class LogBilinear:
-    """p(row | two rows before) from bilinear scores: (a * r[w1] + b * r[w2]) . q[w] + bias[w]."""
+    """p(row | two rows before) from bilinear scores: (a * r[w1] + b * r[w2]) . q[w] + bias[w].
 
-    def __init__(self, tables: list[np.ndarray]):
-        self.context, self.output, self.mixing = tables
+    The same form, with vectors of their own, tells groups; scores of rows are normalised within their group.
+    """
+
+    def __init__(self, tables: list[np.ndarray], group: np.ndarray | None = None):
+        self.context, self.output, self.mixing, self.groups = tables
         self.vectors, self.bias = self.output[:, :-1], self.output[:, -1]
-        self.normaliser: dict = {}
+        self.group = np.zeros(len(self.output), np.int64) if group is None else group
+        self.edges = np.searchsorted(self.group, np.arange(len(self.groups) + 1))
         #: Positions it was trained on, repeated rounds included.
         self.positions = 0
 
     @staticmethod
-    def fresh(unigram: np.ndarray, dimensions: int = DIMENSIONS, seed: int = 7) -> list[np.ndarray]:
+    def fresh(unigram: np.ndarray, group: np.ndarray | None = None, dimensions: int = DIMENSIONS, seed: int = 7) -> list[np.ndarray]:
         random = np.random.default_rng(seed)
         size = len(unigram)
         context = random.normal(0, 0.3, (size + 1, dimensions))
-        output = np.hstack([random.normal(0, 0.05, (size, dimensions)), np.log(unigram)[:, None]])
-        return [context.astype(np.float32), output.astype(np.float32), np.array([[1.0] * dimensions, [0.7] * dimensions], np.float32)]
+        shares = [unigram, np.ones(1) if group is None else np.bincount(group, unigram)]
+        rows, groups = [np.hstack([random.normal(0, 0.05, (len(x), dimensions)), np.log(x)[:, None]]) for x in shares]
+        mixing = np.array([[1.0] * dimensions, [0.7] * dimensions])
+        return [table.astype(np.float32) for table in (context, rows, mixing, groups)]
 
     def predicted(self, near: np.ndarray, far: np.ndarray) -> np.ndarray:
         return self.mixing[0] * self.context[near] + self.mixing[1] * self.context[far]
 
-    def log_normalisers(self, near: np.ndarray, far: np.ndarray) -> np.ndarray:
-        """log of the sum over all rows for each context, by batched products; contexts seen before are remembered."""
-        size = len(self.context)
-        if len(self.normaliser) == 0:
-            self.normaliser = {"table": np.full(size * size, np.nan, np.float32)}
-        table = self.normaliser["table"]
-        key = near.astype(np.int64) * size + far
-        missing = np.unique(key[np.isnan(table[key])])
-        for i in range(0, len(missing), 2048):
-            keys = missing[i:i + 2048]
-            scores = self.predicted(keys // size, keys % size) @ self.vectors.T + self.bias
-            most = scores.max(axis=1, keepdims=True)
-            table[keys] = most[:, 0] + np.log(np.exp(scores - most).sum(axis=1))
-        return table[key]
-
     def log_probabilities(self, near: np.ndarray, far: np.ndarray, rows: np.ndarray) -> np.ndarray:
         """Normalised natural log-probabilities."""
         out = np.empty(len(rows))
-        for i in range(0, len(rows), 100_000):
-            cut = slice(i, i + 100_000)
-            scores = np.einsum("ij,ij->i", self.predicted(near[cut], far[cut]), self.vectors[rows[cut]]) + self.bias[rows[cut]]
-            out[cut] = scores - self.log_normalisers(near[cut], far[cut])
+        for i in range(0, len(rows), 400_000):
+            cut = slice(i, i + 400_000)
+            out[cut] = self._log_probabilities(near[cut], far[cut], rows[cut])
+        return out
+
+    def _log_probabilities(self, near: np.ndarray, far: np.ndarray, rows: np.ndarray) -> np.ndarray:
+        size = len(self.context)
+        keys, at = np.unique(near.astype(np.int64) * size + far, return_inverse=True)
+        ahead, group = self.predicted(keys // size, keys % size), self.group[rows]
+        whole = np.empty(len(keys), np.float32)
+        for i in range(0, len(keys), 4096):
+            whole[i:i + 4096] = log_sums(ahead[i:i + 4096] @ self.groups[:, :-1].T + self.groups[:, -1])
+        ahead = ahead[at]
+        out = np.einsum("ij,ij->i", ahead, self.groups[group, :-1]) + self.groups[group, -1] - whole[at]
+        order = np.argsort(group, kind="stable")
+        ends = np.searchsorted(group[order], np.arange(len(self.groups) + 1))
+        for g in np.flatnonzero((np.diff(ends) > 0) & (np.diff(self.edges) > 1)):
+            low, high = self.edges[g], self.edges[g + 1]
+            vectors, bias = self.vectors[low:high].T, self.bias[low:high]
+            step = max(1, 2_000_000 // (high - low))
+            for i in range(ends[g], ends[g + 1], step):
+                pick = order[i:min(i + step, ends[g + 1])]
+                scores = ahead[pick] @ vectors + bias
+                own = scores[np.arange(len(pick)), rows[pick] - low]
+                out[pick] += own - log_sums(scores)
         return out
 
 
+def log_sums(scores: np.ndarray) -> np.ndarray:
+    """log of the sum of exponentials of each row; ``scores`` is overwritten."""
+    most = scores.max(axis=1, keepdims=True)
+    scores -= most
+    return most[:, 0] + np.log(np.exp(scores, out=scores).sum(axis=1))
+
+
 def contexts(rows: np.ndarray, starts: np.ndarray, begin: int) -> tuple[np.ndarray, np.ndarray]:
     """The rows one and two before each position; ``begin`` before the first of a document."""
     near = np.concatenate([[begin], rows[:-1]])
@@ -168,7 +211,7 @@ class Reader:
         self.words, self.known = words, dict(words.rows)
 
     def row(self, word: bytes) -> int:
-        if len(self.known) > 300_000:
+        if len(self.known) > 300_000 + len(self.words.rows):
             self.known = dict(self.words.rows)
         row = self.words.row(word)
         if len(word) <= 64:
@@ -193,10 +236,14 @@ class Trainer:
 
     RATE = 0.15
 
-    def __init__(self, tables: list[np.ndarray], unigram: np.ndarray, seed: int):
+    def __init__(self, tables: list[np.ndarray], unigram: np.ndarray, group: np.ndarray, seed: int):
         self.tables = [t.astype(np.float32).copy() for t in tables]
         self.grown = [np.full(t.shape, 0.1, np.float32) for t in tables]
-        self.unigram, self.cumulative = unigram, np.cumsum(unigram)
+        self.touched = [np.zeros(len(t), bool) for t in tables]
+        self.group = group
+        shares = {1: unigram, 3: np.bincount(group, unigram)}
+        self.cumulative = {table: np.cumsum(share) for table, share in shares.items()}
+        self.expected = {table: np.log(NOISE * share).astype(np.float32) for table, share in shares.items()}
         self.random = np.random.default_rng(seed)
         self.seen = 0
 
@@ -205,53 +252,92 @@ class Trainer:
         ordered = rows[order]
         cuts = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]]))
         where, total = ordered[cuts], np.add.reduceat(slope[order], cuts, axis=0)
-        self.grown[table][where] += total ** 2
-        self.tables[table][where] += self.RATE * total / np.sqrt(self.grown[table][where])
-
-    def step(self, near: np.ndarray, far: np.ndarray, rows: np.ndarray) -> None:
-        """Tell observed rows from ``NOISE`` rows drawn once for the batch from the unigram distribution."""
-        context, output, mixing = self.tables
-        noise = np.searchsorted(self.cumulative, self.random.random(NOISE) * self.cumulative[-1])
-        noise = np.minimum(noise, len(self.unigram) - 1)
-        ahead = mixing[0] * context[near] + mixing[1] * context[far]
-        per_word = np.log(NOISE * self.unigram).astype(np.float32)
-        score = np.einsum("ij,ij->i", ahead, output[rows, :-1]) + output[rows, -1] - per_word[rows]
-        against = ahead @ output[noise, :-1].T + output[noise, -1] - per_word[noise]
+        grown = self.grown[table][where] + total ** 2
+        self.grown[table][where] = grown
+        self.tables[table][where] += self.RATE * total / np.sqrt(grown)
+        self.touched[table][where] = True
+
+    def tell(self, table: int, rows: np.ndarray, ahead: np.ndarray) -> np.ndarray:
+        """Tell ``rows`` of an output table from ``NOISE`` of its rows drawn once for the batch; the slope of ``ahead``."""
+        output, cumulative, expected = self.tables[table], self.cumulative[table], self.expected[table]
+        noise = np.searchsorted(cumulative, self.random.random(NOISE) * cumulative[-1])
+        noise = np.minimum(noise, len(output) - 1)
+        own_rows, drawn_rows = output[rows], output[noise]
+        score = np.einsum("ij,ij->i", ahead, own_rows[:, :-1]) + own_rows[:, -1] - expected[rows]
+        against = ahead @ drawn_rows[:, :-1].T + (drawn_rows[:, -1] - expected[noise])
         miss = 1 / (1 + np.exp(np.clip(score, -30, 30)))
         false = -1 / (1 + np.exp(-np.clip(against, -30, 30)))
-        slope = miss[:, None] * output[rows, :-1] + false @ output[noise, :-1]
         own = np.hstack([miss[:, None] * ahead, miss[:, None]])
         drawn = np.hstack([false.T @ ahead, false.sum(axis=0)[:, None]])
-        to_near, to_far = slope * mixing[0], slope * mixing[1]
-        turn = np.stack([(slope * context[near]).sum(axis=0), (slope * context[far]).sum(axis=0)])
-        self.add(0, np.concatenate([near, far]), np.concatenate([to_near, to_far]))
-        self.add(1, np.concatenate([rows, noise]), np.concatenate([own, drawn]))
+        self.add(table, np.concatenate([rows, noise]), np.concatenate([own, drawn]))
+        return miss[:, None] * own_rows[:, :-1] + false @ drawn_rows[:, :-1]
+
+    def step(self, near: np.ndarray, far: np.ndarray, rows: np.ndarray) -> None:
+        """Rows are told from noise of all rows, so their scores hold within any group; groups from noise of all groups."""
+        context, _, mixing, _ = self.tables
+        from_near, from_far = context[near], context[far]
+        ahead = mixing[0] * from_near + mixing[1] * from_far
+        slope = self.tell(1, rows, ahead) + self.tell(3, self.group[rows], ahead)
+        turn = np.stack([(slope * from_near).sum(axis=0), (slope * from_far).sum(axis=0)])
+        self.add(0, np.concatenate([near, far]), np.concatenate([slope * mixing[0], slope * mixing[1]]))
         self.grown[2] += turn ** 2
         self.tables[2] += 0.1 * self.RATE * turn / np.sqrt(self.grown[2])
+        self.touched[2][:] = True
         self.seen += len(rows)
 
+    def blocks(self):
+        """``TRAINED`` rows of what the task changed."""
+        for t, table in enumerate(self.tables):
+            rows = np.flatnonzero(self.touched[t])
+            for part in np.split(rows, np.flatnonzero(np.diff(rows // BLOCK)) + 1):
+                if len(part):
+                    yield t, int(part[0] // BLOCK), self.seen, part.astype("<i4").tobytes(), table[part].astype("<f4").tobytes()
+
+
+TRAINED = T.StructType([
+    T.StructField("t", T.IntegerType()), T.StructField("block", T.IntegerType()), T.StructField("n", T.LongType()),
+    T.StructField("rows", T.BinaryType()), T.StructField("vectors", T.BinaryType())])
+TRAINED_TYPES = [pa.int32(), pa.int32(), pa.int64(), pa.binary(), pa.binary()]
+
+
+def averaged(block: pa.Table) -> pa.Table:
+    """The mean of each row over the tasks that changed it, weighted by their positions."""
+    held, total = {}, 0
+    for n, rows, vectors in zip(block["n"].to_pylist(), block["rows"].to_pylist(), block["vectors"].to_pylist()):
+        rows = np.frombuffer(rows, "<i4")
+        vectors = np.frombuffer(vectors, "<f4").reshape(len(rows), -1)
+        if not held:
+            low = int(rows[0]) // BLOCK * BLOCK
+            held = {"sum": np.zeros((BLOCK, vectors.shape[1])), "n": np.zeros(BLOCK)}
+        held["sum"][rows - low] += n * vectors.astype(np.float64)
+        held["n"][rows - low] += n
+        total += n
+    at = np.flatnonzero(held["n"])
+    means = (held["sum"][at] / held["n"][at][:, None]).astype("<f4")
+    return pa.table([
+        block["t"][:1], block["block"][:1], pa.array([total], pa.int64()), pa.array([(at + low).astype("<i4").tobytes()], pa.binary()),
+        pa.array([means.tobytes()], pa.binary())], TRAINED.names)
+
 
 def train(docs: DataFrame, words: Vocabulary, rounds: int = ROUNDS) -> LogBilinear:
     """Rounds of local training and averaging.
 
     In a round every task starts from the shared tables and learns from every position of
-    every document it reads; the tables are then averaged, weighted by positions, row by row with
-    partial merging. What is averaged grows with the number of tasks, so with the corpus; what
+    every document it reads; the rows that tasks changed are then averaged, weighted by positions, in blocks.
+    Tasks read ``TASK_TOKENS`` tokens or more. What is averaged grows with the number of tasks, so with the corpus; what
     the driver gets is one model.
     """
     spark = docs.sparkSession
-    tables, positions = LogBilinear.fresh(words.unigram), 0
+    tables, positions = LogBilinear.fresh(words.unigram, words.group), 0
     shared_words = spark.sparkContext.broadcast(words)
-    width = DIMENSIONS + 1
-    names = [f"v{i}" for i in range(width)]
-    schema = "t int, r int, n double, " + ", ".join(f"{name} double" for name in names)
     for turn in range(rounds):
         start = spark.sparkContext.broadcast(tables)
 
         def run(batches, turn=turn, start=start):
-            reader = Reader(shared_words.value)
-            trainer = Trainer(start.value, shared_words.value.unigram, 11 + turn)
-            begin = len(trainer.unigram)
+            vocabulary = shared_words.value
+            reader = Reader(vocabulary)
+            trainer = Trainer(start.value, vocabulary.unigram, vocabulary.group, 11 + turn)
+            begin = len(trainer.tables[1])
             for batch in batches:
                 for part in slices(batch):
                     _, rows, starts = reader.read(part.column("text").to_pylist())
@@ -261,25 +347,20 @@ def train(docs: DataFrame, words: Vocabulary, rounds: int = ROUNDS) -> LogBiline
                     for i in range(0, len(used), BATCH):
                         pick = used[i:i + BATCH]
                         trainer.step(near[pick], far[pick], rows[pick])
-            if trainer.seen:
-                for t, table in enumerate(trainer.tables):
-                    values = np.zeros((len(table), width))
-                    values[:, :table.shape[1]] = table
-                    yield pa.RecordBatch.from_arrays([
-                        pa.array([t] * len(table), pa.int32()), pa.array(np.arange(len(table)), pa.int32()),
-                        pa.array(np.full(len(table), float(trainer.seen))),
-                        *[pa.array(column) for column in values.T]], ["t", "r", "n", *names])
-
-        parts = documents_only(docs).mapInArrow(run, schema)
-        means = parts.groupBy("t", "r").agg(
-            F.sum("n").alias("n"), *[(F.sum(F.col(name) * F.col("n")) / F.sum("n")).alias(name) for name in names]).collect()
+            made = list(trainer.blocks())
+            for i in range(0, len(made), 100):
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(column, kind) for column, kind in zip(zip(*made[i:i + 100]), TRAINED_TYPES)], TRAINED.names)
+
+        tasks = documents_only(docs).coalesce(-(-words.total // TASK_TOKENS) or 1)
+        means = tasks.mapInArrow(run, TRAINED).groupBy("t", "block").applyInArrow(averaged, TRAINED).collect()
         tables = [table.copy() for table in tables]
         for row in means:
-            table = tables[row["t"]]
-            table[row["r"]] = [row[name] for name in names][:table.shape[1]]
-        positions += int(means[0]["n"]) if means else 0
+            rows = np.frombuffer(row["rows"], "<i4")
+            tables[row["t"]][rows] = np.frombuffer(row["vectors"], "<f4").reshape(len(rows), -1)
+        positions += max((row["n"] for row in means if row["t"] == 2), default=0)
         start.unpersist()
-    model = LogBilinear(tables)
+    model = LogBilinear(tables, words.group)
     model.positions = positions
     return model
 

@@ -96,6 +96,27 @@ def test_model_probabilities_sum_to_one():
     assert np.exp(model.log_probabilities(near, far, np.arange(4))).sum() == pytest.approx(1, abs=1e-5)
 
 
+def test_every_repeated_word_has_a_row_beyond_the_least_number(docs, monkeypatch):
+    monkeypatch.setattr(lm, "MODEL_WORDS", 20)
+    monkeypatch.setattr(lm, "HEAD", 30)
+    rng = random.Random(4)
+    texts = [" ".join(f"{'xyz'[k % 3]}{k} next{k}" for k in rng.choices(range(60), k=60)) + f" once{i}" for i in range(100)]
+    frame = docs(texts)
+    words = lm.learn_vocabulary(lm.count_words(frame))
+    assert set(words.rows) == {b"\n", *(w for k in range(60) for w in (b"%c%d" % (b"xyz"[k % 3], k), b"next%d" % k))}
+    model = lm.train(frame, words)
+    _, rows, starts = lm.Reader(words).read(texts[:10])
+    near, far = lm.contexts(rows, starts, len(words.unigram))
+    follows = np.isin(rows, [words.rows[b"next%d" % k] for k in range(60)])
+    logs = model.log_probabilities(near, far, rows)
+    assert logs[follows].mean() > np.log(words.unigram[rows[follows]]).mean() + 1
+    everything = np.arange(len(words.unigram))
+    every = model.log_probabilities(np.full(len(everything), near[5]), np.full(len(everything), far[5]), everything)
+    assert np.exp(every).sum() == pytest.approx(1, abs=1e-4)
+    scored = {r.doc_id: r for r in lm.score_with_model(docs(["x0 next0 once3", "x0 next0 never"]), frame).collect()}
+    assert (scored[0].n_known, scored[1].n_known) == (4, 3) and scored[0].score > scored[1].score
+
+
 def toxic_corpus(rng, n):
     rows = []
     for i in range(n):
