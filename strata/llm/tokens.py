@@ -61,14 +61,20 @@ class Encoder:
     not white space, so a text may be cut before each such blank and the ids of the chunks
     joined. Chunks repeat; each is split by the tokenizer's pre-tokenizer pattern and given to its
     BPE model once; what is remembered is bounded by ``limit`` chunks and
-    two generations of as many pieces. Strings of special tokens in a text are ordinary text. A final id ``end`` closes every document.
+    two generations of as many pieces. As in the library, added tokens of the file are cut out of a text first and
+    have their own ids; a text with one that takes in what is beside it is left to the library. A final id ``end`` closes every document.
     """
 
     def __init__(self, path: str, end: int = 0, limit: int = 400_000):
         import public_tokenizers
         import regex
         from tokenizers import Tokenizer
-        self.tokenize = Tokenizer.from_file(path).model.tokenize
+        self.library = Tokenizer.from_file(path)
+        self.tokenize = self.library.model.tokenize
+        added = self.library.get_added_tokens_decoder()
+        self.added = {token.content: number for number, token in added.items()}
+        self.at_added = re.compile("(" + "|".join(map(re.escape, sorted(self.added, key=len, reverse=True))) + ")")
+        self.apart = not any(token.single_word or token.lstrip or token.rstrip for token in added.values())
         self.pieces = regex.compile(public_tokenizers.PATTERN).findall
         self.letters = byte_letters()
         self.end, self.limit = end, limit
@@ -76,7 +82,8 @@ class Encoder:
         self.forget()
 
     def forget(self) -> None:
-        self.pool, self.starts = array("I", [self.end]), array("q", [0, 1])
+        self.pool, self.starts = array("I", [self.end, *self.added.values()]), array("q", range(len(self.added) + 2))
+        self.special = {content: 1 + i for i, content in enumerate(self.added)}
         self.after_blank, self.plain = _Codes(self, " "), _Codes(self, "")
 
     def add(self, chunk: str) -> int:
@@ -93,6 +100,18 @@ class Encoder:
         return len(self.starts) - 2
 
     def codes(self, text: str) -> list[int]:
+        if not any(content in text for content in self.added):
+            return self.plain_codes(text)
+        if not self.apart:
+            self.pool.extend(self.library.encode(text, add_special_tokens=False).ids)
+            self.starts.append(len(self.pool))
+            return [len(self.starts) - 2]
+        codes = []
+        for i, part in enumerate(self.at_added.split(text)):
+            codes.extend([self.special[part]] if i % 2 else self.plain_codes(part) if part else [])
+        return codes
+
+    def plain_codes(self, text: str) -> list[int]:
         odd = "  " in text or "\n " in text or " \n" in text or text[0] == " " or text[-1] == " " or _RARE.search(text)
         first, *rest = _BLANK.split(text) if odd else text.split(" ")
         return [self.plain[first], *map(self.after_blank.__getitem__, rest)]

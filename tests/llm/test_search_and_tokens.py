@@ -5,7 +5,7 @@ import zlib
 
 import numpy as np
 import pytest
-from tokenizers import Tokenizer
+from tokenizers import AddedToken, Tokenizer
 
 from strata.llm import decontaminate, packing, token_store
 from strata.llm.tokens import Encoder, tokenizer_path
@@ -65,6 +65,35 @@ def test_encoder_equals_the_library():
                 assert ids[starts[k]:starts[k + 1]].tolist() == ids_of(text).tolist()
 
 
+def test_added_tokens_have_their_ids_as_in_the_library(docs, spark):
+    rng = random.Random(4)
+    parts = [*PARTS, *["<|endoftext|>"] * 4, "<|endoftext", "|>", "<|"]
+    texts = ["a <|endoftext|> b", "<|endoftext|>", *("".join(rng.choices(parts, k=rng.randrange(0, 40))) for _ in range(1000))]
+    for limit in (400_000, 50):
+        encode = Encoder(tokenizer_path(), limit=limit).encode
+        for i in range(0, len(texts), 200):
+            ids, starts = encode(texts[i:i + 200])
+            for k, text in enumerate(texts[i:i + 200]):
+                assert ids[starts[k]:starts[k + 1]].tolist() == ids_of(text).tolist()
+    few = texts[:60]
+    store = token_store.write_store(docs(few), docs_per_shard=9)
+    read = {r.doc_id: r.ids for r in token_store.read_keys(spark, store, token_store.all_keys(docs(few))).collect()}
+    assert read == {i: ids_of(t).tobytes() for i, t in enumerate(few)}
+    packed = {r.doc_id: r.doc_tokens for r in packing.pack(docs(few)).collect()}
+    assert packed == {i: len(ids_of(t)) for i, t in enumerate(few)}
+
+
+def test_added_tokens_that_take_in_blanks_are_left_to_the_library(tmp_path):
+    path = str(tmp_path / "tokenizer.json")
+    library = Tokenizer.from_file(tokenizer_path())
+    library.add_special_tokens([AddedToken("<pad>", lstrip=True, rstrip=True)])
+    library.save(path)
+    texts = ["a  <pad>  b", "c <|endoftext|> d", "plain text", "<pad>"]
+    ids, starts = Encoder(path).encode(texts)
+    for k, text in enumerate(texts):
+        assert ids[starts[k]:starts[k + 1]].tolist() == [*library.encode(text, add_special_tokens=False).ids, 0]
+
+
 def token_texts():
     rng = random.Random(6)
     return [*EDGE_TEXTS, *["".join(rng.choices(PARTS, k=rng.randrange(1, 4000))) for _ in range(40)]]
