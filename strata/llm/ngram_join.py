@@ -347,9 +347,18 @@ def join_documents(docs: DataFrame, words: int = WORDS, percent: int = PERCENT,
 def keep_one_of_each(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """The documents, with their own columns, of which no smaller doc_id is in the same component.
 
-    Documents without doc_id or shingles stay; of rows that repeat a doc_id and a text one stays.
+    Documents without doc_id or shingles stay. Rows that repeat a doc_id are compared each for itself, so of those with
+    a text (or shingle set) one stays, and a row of its own stays whatever the others hold; only then are
+    the rows numbered in doc_id order and written first.
     """
-    found = join_documents(docs, words, percent)
-    dropped = found.where("component_id <> doc_id").select("doc_id").distinct()
     key = free_name(docs.columns, "strata_key")
-    return docs.join(dropped.select(F.col("doc_id").alias(key)), F.col("doc_id") == F.col(key), "left_anti")
+    other = free_name([*docs.columns, key], "strata_other")
+    ids = docs.where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.count("*").alias("rows"))
+    if ids.where("rows > 1").isEmpty():
+        rows = docs.withColumn(key, F.col("doc_id").cast("long"))
+    else:
+        number = F.when(F.col("doc_id").isNotNull(), F.monotonically_increasing_id())
+        rows = written(docs.orderBy("doc_id", "text").withColumn(key, number), "ngram-rows")
+    found = join_documents(rows.select(F.col(key).alias("doc_id"), "text"), words, percent)
+    dropped = found.where("component_id <> doc_id").select(F.col("doc_id").alias(other))
+    return rows.join(dropped, F.col(key) == F.col(other), "left_anti").drop(key)

@@ -45,6 +45,15 @@ def test_documents_without_or_with_repeated_ids(docs, spark):
     assert ngram_join.join_documents(docs([]).limit(0)).collect() == []
 
 
+def test_one_row_stays_of_rows_that_repeat_an_id_and_a_text(docs):
+    rows = [(5, "a b c d e f"), (5, "a b c d e f"), (5, "A b c d e f"), (7, "a b c d e f"), (7, "q r s t u v"), (7, "q r s t u v"),
+            (9, "q r s t u v"), (8, "other"), (None, "other"), (None, "other"), (6, " "), (6, " ")]
+    kept = ngram_join.keep_one_of_each(docs(rows, extra=True).repartition(3))
+    assert kept.columns == docs(rows, extra=True).columns
+    found = sorted(((r.doc_id or 0, r.text.lower()) for r in kept.collect()))
+    assert found == [(0, "other"), (0, "other"), (5, "a b c d e f"), (6, " "), (6, " "), (7, "q r s t u v"), (8, "other")]
+
+
 def test_order_filters_never_reject_a_link():
     rng = np.random.default_rng(3)
     classes = (rng.random(ngram_join.SKETCH) < 0.3).astype(np.uint8)
