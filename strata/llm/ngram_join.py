@@ -15,6 +15,8 @@ shingle among the first ``n - ceil(t n) + 1`` of each, under every order.
 2. Components of these links are formed. Pairs of one prefix shingle that are still in different
    components are then compared in tiles of bounded size, filtered and verified likewise. Pairs
    within a component need no look: no link between components is lost.
+
+So only links that connect are found: components are exact, but neither all pairs that link nor their number are known.
 """
 
 from __future__ import annotations
