@@ -18,8 +18,9 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
 def identified(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in a language: profiles are learned from all of ``docs`` that name one; ``und`` goes."""
-    return language_id.keep_identified(docs, language_id.learn_profiles(docs))
+    """Documents in a language: profiles are learned from all of ``docs`` that name one; ``und`` goes, and so do
+    texts none of whose n-grams is in a profile (score 0)."""
+    return language_id.keep_identified(docs, language_id.learn_profiles(docs), above=0.0)
 
 
 def new_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -132,8 +132,8 @@ def identify(docs: DataFrame, profiles: Profiles) -> DataFrame:
     return rows.mapInArrow(run, T.StructType([*rows.schema.fields, *RESULT.fields]))
 
 
-def keep_identified(docs: DataFrame, profiles: Profiles, least_score: float = 0.0) -> DataFrame:
-    """The documents, with their own columns, that have a language (and at least that score)."""
+def keep_identified(docs: DataFrame, profiles: Profiles, least_score: float = 0.0, above: float = -1.0) -> DataFrame:
+    """The documents, with their own columns, that have a language (and at least that score, and more than ``above``)."""
     inner = docs.select(F.struct(*docs.columns).alias("row"), F.col("text").alias("text"))
-    found = identify(inner, profiles).where((F.col("lang_pred") != "und") & (F.col("score") >= least_score))
+    found = identify(inner, profiles).where((F.col("lang_pred") != "und") & (F.col("score") >= least_score) & (F.col("score") > above))
     return found.select("row.*")

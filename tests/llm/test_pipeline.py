@@ -64,6 +64,12 @@ def test_every_stage_and_the_whole(spark, tmp_path):
     assert covered == {k: len(ids_of(t)) for k, t in wanted[3].items()}
 
 
+def test_a_text_in_a_script_not_learned_goes_with_the_first_stage(spark):
+    rows = [(1, "the house by the river", "en"), (2, "日本語の文章", None), (3, "a house", None), (4, "日本 the", None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    assert sorted(r.doc_id for r in corpus_pipeline.identified(spark, docs, "").collect()) == [1, 3, 4]
+
+
 def test_an_empty_table_gives_no_pieces(spark, tmp_path):
     columns = "doc_id long, text string, lang string, source string, n_chars long"
     spark.createDataFrame([], columns).write.parquet(str(tmp_path / "documents.parquet"))
