@@ -87,10 +87,15 @@ def remove_versions(spark: SparkSession, location: str, view: str, older_than: d
     return removed
 
 
+def quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
 def stored_query(df: DataFrame, path: str, no_files: bool) -> str:
     """Query of written data; one without any file takes the columns from the frame instead."""
     if no_files:
-        columns = ", ".join(f"CAST(NULL AS {f.dataType.simpleString()}) AS `{f.name}`" for f in df.schema)
+        types = df.sparkSession._jvm.org.apache.spark.sql.types.DataType
+        columns = ", ".join(f"CAST(NULL AS {types.fromJson(f.dataType.json()).sql()}) AS {quoted(f.name)}" for f in df.schema)
         return f"SELECT {columns} WHERE false"
     return f"SELECT * FROM parquet.`{path}`"
 

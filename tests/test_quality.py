@@ -156,6 +156,15 @@ def test_publish_of_an_empty_frame_and_of_partitions(spark, rows, tmp_path):
     assert none.data.isEmpty() and none.data.columns == ["n", "p"]
 
 
+def test_a_version_without_files_keeps_odd_names(spark, rows, tmp_path):
+    """Blanks, dots and backticks in names, nested ones too; the view has the columns although no file was written."""
+    spark.sql("CREATE SCHEMA IF NOT EXISTS gate")
+    schema = "`a b` array<struct<`Nation ID`: string, `x.y`: map<string, decimal(5,2)>>>, `c.``d` timestamp, p string"
+    none = publish.publish(rows([], schema), str(tmp_path / "odd"), (), "gate.odd", partition_by=["p"])
+    assert spark.table("gate.odd").schema.simpleString() == none.data.schema.simpleString() == rows([], schema).schema.simpleString()
+    assert spark.table("gate.odd").isEmpty()
+
+
 def test_a_snapshot_lands_once(rows, spark, tmp_path):
     frame = rows([(1,)], "n int")
     path = publish.append_snapshot(frame, str(tmp_path), "fetched-1")
