@@ -19,6 +19,7 @@ class Published:
     data: DataFrame
     path: str
     outcomes: list[RuleOutcome]
+    query: str
 
     @property
     def warnings(self) -> list[RuleOutcome]:
@@ -65,7 +66,7 @@ def publish(
         )
     elif view:
         data.createOrReplaceTempView(view)
-    return Published(data, path, outcomes)
+    return Published(data, path, outcomes, stored)
 
 
 def remove_versions(spark: SparkSession, location: str, view: str, older_than: datetime) -> list[str]:

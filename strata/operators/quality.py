@@ -61,8 +61,8 @@ def outcomes_of(rules: Iterable[Expectation], metrics: Mapping[str, int]) -> lis
     return [RuleOutcome(r.name, r.mode, metrics["_checked"], metrics[r.name]) for r in rules]
 
 
-def expect_report(df: DataFrame, rules: Sequence[Expectation]) -> DataFrame:
-    """One row per rule: ``rule, mode, checked, violations``; ``df`` is scanned once."""
+def expect_report(df: DataFrame, rules: Sequence[Expectation], by: str | None = None) -> DataFrame:
+    """One row per rule (and value of ``by``): ``rule, mode, checked, violations``; ``df`` is scanned once."""
     rows = [
         F.struct(
             F.lit(rule.name).alias("rule"),
@@ -72,6 +72,8 @@ def expect_report(df: DataFrame, rules: Sequence[Expectation]) -> DataFrame:
         )
         for rule in rules
     ]
+    if by:
+        return df.groupBy(by).agg(*violation_counts(rules)).select(by, F.inline(F.array(*rows)))
     return df.agg(*violation_counts(rules)).select(F.inline(F.array(*rows)))
 
 

@@ -15,11 +15,11 @@ from pyspark.sql import functions as F
 
 from strata.functions.naming import SnapshotName
 from strata.functions.text import normalize_name
-from strata.operators.conform import ConformSpec, conform_checked, conform_rules
-from strata.operators.contracts import KEY_FLAG, SCHEMA_FLAG, Contract, flag_contract
+from strata.operators.conform import LINEAGE, ConformSpec, conform_checked, conform_rules
+from strata.operators.contracts import KEY_FLAG, SCHEMA_FLAG, Contract
 from strata.operators.enrich import Lookup, one_per_key
-from strata.operators.publish import Published, gated_view, publish, stored_query
-from strata.operators.quality import FAIL, WARN, Expectation, RuleOutcome, expect_all, flag_unique_key
+from strata.operators.publish import Published, gated_view, publish, quoted, stored_query
+from strata.operators.quality import FAIL, WARN, Expectation, RuleOutcome, expect_all, expect_report, flag_unique_key
 from strata.operators.rollup import range_stats
 from strata.operators.snapshots import explode_parsed, flag_parsed, latest_snapshot, parse_payload, record_fields
 from strata.plans import sql_twins
@@ -32,8 +32,7 @@ from strata.plans.answers import (
     series_years,
 )
 from strata.session import scratch_path
-from strata.sources.delimited import add_lineage, scan_delimited
-from strata.sources.listing import discover_files
+from strata.sources.folders import by_header, dataset_columns, land_lines
 from strata.streaming.snapshots import identify, ingest_available, snapshot_stream
 
 # Layout of the source's text files (name, columns, key) and the files left out.
@@ -138,18 +137,24 @@ def _side_by_side(tasks: dict[str, Callable[[], Published]]) -> Outcomes:
 
 
 def text_bronze(spark: SparkSession, layout: Layout) -> Outcomes:
-    """One raw table per landed text file, whatever files there are; unknown ones are flagged."""
-    found = discover_files(spark, layout.text_folder, IGNORED_FILES)
-    named = found.select("file_name", "path", normalize_name(F.col("file_name"), "bls_").alias("table")).orderBy("file_name")
-
-    def load(file_name: str, path: str, table: str) -> Callable[[], Published]:
-        def task() -> Published:
-            raw = scan_delimited(spark, path)
-            flagged = add_lineage(flag_contract(raw, CONTRACTS.get(file_name)))
-            return _publish(layout, f"{layout.bronze}.{table}", flagged, TEXT_RULES, f"Raw rows of {file_name}, all text.")
-        return task
-
-    return _side_by_side({row.table: load(row.file_name, row.path, row.table) for row in named.collect()})
+    """One raw table per landed text file, whatever files there are; unknown ones are flagged.
+
+    All files are read, flagged and written together as one version, a folder per dataset; the number of jobs does
+    not depend on theirs. Every dataset's view then reads its folder and its columns.
+    """
+    landed = land_lines(spark, layout.text_folder, lambda name, path: normalize_name(name, "bls_"), IGNORED_FILES)
+    view = f"{layout.bronze}.text_files"
+    published = publish(by_header(landed, CONTRACTS), layout.location(view), TEXT_RULES, view, "Raw rows of all files, all text.",
+                        partition_by=["dataset"])
+    for table in dataset_columns(landed.headers).toLocalIterator():
+        columns = ", ".join(map(quoted, [*table.names, *[flag.predicate for flag in TEXT_RULES], *LINEAGE]))
+        spark.sql(f"CREATE OR REPLACE VIEW {layout.bronze}.{table.dataset} COMMENT 'Raw rows of one dataset, all text.' AS "
+                  f"SELECT {columns} FROM ({published.query}) WHERE dataset = '{table.dataset}'")
+    report = expect_report(published.data, TEXT_RULES, by="dataset")
+    outcomes: Outcomes = {}
+    for row in report.toLocalIterator():
+        outcomes.setdefault(row.dataset, []).append(RuleOutcome(row.rule, row["mode"], row.checked, row.violations))
+    return outcomes
 
 
 def population_bronze(spark: SparkSession, layout: Layout) -> list[RuleOutcome]:
