@@ -10,6 +10,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame, Observation, SparkSession
 
 from strata.operators.quality import FAIL, Expectation, GateError, RuleOutcome, outcomes_of, violation_counts
+from strata.operators.quality_log import record
 
 VERSION = "strata.version"
 
@@ -34,6 +35,7 @@ def publish(
     comment: str = "",
     partition_by: Sequence[str] = (),
     temporary: bool = False,
+    log: str | None = None,
 ) -> Published:
     """Write ``df`` as a new version below ``location`` and point ``view`` at it.
 
@@ -44,6 +46,8 @@ def publish(
     the other, also on an object store, and a job that dies leaves no trace in the view.
     Every version has a folder of its own, so neither another publisher nor a later one touches what a
     reader of an older version still needs; :func:`remove_versions` removes old ones when it is asked to.
+    With ``log`` the outcomes of every version, also of one that is refused, are added to that log before
+    readers see it.
     """
     spark = df.sparkSession
     lasting = view if view and not temporary else None
@@ -54,6 +58,8 @@ def publish(
 
     counted = seen.get
     outcomes = outcomes_of(rules, counted)
+    if log:
+        record(spark, log, view or location, path.rsplit("/", 1)[-1], outcomes)
     if any(o.mode == FAIL and o.violations for o in outcomes):
         raise GateError(view or location, outcomes)
 
@@ -101,9 +107,9 @@ def stored_query(df: DataFrame, path: str, no_files: bool) -> str:
     return f"SELECT * FROM parquet.`{path}`"
 
 
-def gated_view(df: DataFrame, location: str, rules: Sequence[Expectation], view: str) -> Published:
+def gated_view(df: DataFrame, location: str, rules: Sequence[Expectation], view: str, log: str | None = None) -> Published:
     """A checked intermediate for this session only, read by name."""
-    return publish(df, location, rules, view, temporary=True)
+    return publish(df, location, rules, view, temporary=True, log=log)
 
 
 def append_snapshot(df: DataFrame, location: str, snapshot: str, again: bool = False) -> str:

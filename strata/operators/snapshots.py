@@ -9,16 +9,19 @@ from pyspark.sql import functions as F
 
 
 def latest_snapshot(df: DataFrame, fetched: str = "fetched_at_utc", partition: str | None = None,
-                    unit: str | None = None) -> DataFrame:
+                    unit: str | None = None, newest_partition: str | None = None) -> DataFrame:
     """All rows of the newest snapshot, whatever they hold; no fallback to an older one.
 
     The maximum is a scalar subquery over one column, which Spark also hands to the
     parquet reader; bodies are neither shuffled nor gathered. With ``partition`` (a
     column that rises with ``fetched``) only the last folder's rows are read, though finding that
-    folder opens the footers of all. With ``unit`` a snapshot is all that was fetched in the newest
+    folder opens the footers of all; whoever knows the last folder, as an ingest that kept its high-water mark does,
+    names it by ``newest_partition``, and then no other folder's files are opened. With ``unit`` a snapshot is all that was fetched in the newest
     day, hour and so on: a bound on the stored time, so the scan skips what is older.
     """
-    if partition:
+    if partition and newest_partition is not None:
+        df = df.where(F.col(partition) == newest_partition)
+    elif partition:
         df = df.where(F.col(partition) == df.agg(F.max(partition)).scalar())
     newest = df.agg(F.max(fetched).alias("newest"))
     if unit is None:

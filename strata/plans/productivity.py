@@ -33,7 +33,7 @@ from strata.plans.answers import (
 )
 from strata.session import scratch_path
 from strata.sources.folders import by_header, dataset_columns, land_lines
-from strata.streaming.snapshots import identify, ingest_available, snapshot_stream
+from strata.streaming.snapshots import identify, ingest_available, newest_ingested, snapshot_stream
 
 # Layout of the source's text files (name, columns, key) and the files left out.
 IGNORED_FILES = ("_directory_listing.html", "pr.contacts", "pr.txt")
@@ -103,6 +103,9 @@ POPULATION_RULES = [
     Expectation("unique_nation_year", "_natural_key_unique", FAIL),
 ]
 
+#: Property of the raw population view: the last day that has snapshots, so that readers need not look for it.
+NEWEST = "strata.newest"
+
 FIRST_YEAR, LAST_YEAR = 2013, 2018
 TARGET_SERIES, TARGET_PERIOD = "PRS30006032", "Q01"
 
@@ -121,12 +124,16 @@ class Layout:
     def location(self, view: str) -> str:
         return f"{self.warehouse.rstrip('/')}/{view.replace('.', '/')}"
 
+    @property
+    def quality_log(self) -> str:
+        return f"{self.warehouse.rstrip('/')}/quality_log"
+
 
 Outcomes = dict[str, list[RuleOutcome]]
 
 
 def _publish(layout: Layout, view: str, df: DataFrame, rules: Iterable[Expectation] = (), comment: str = "") -> Published:
-    return publish(df, layout.location(view), list(rules), view, comment)
+    return publish(df, layout.location(view), list(rules), view, comment, log=layout.quality_log)
 
 
 def _side_by_side(tasks: dict[str, Callable[[], Published]]) -> Outcomes:
@@ -145,7 +152,7 @@ def text_bronze(spark: SparkSession, layout: Layout) -> Outcomes:
     landed = land_lines(spark, layout.text_folder, lambda name, path: normalize_name(name, "bls_"), IGNORED_FILES)
     view = f"{layout.bronze}.text_files"
     published = publish(by_header(landed, CONTRACTS), layout.location(view), TEXT_RULES, view, "Raw rows of all files, all text.",
-                        partition_by=["dataset"])
+                        partition_by=["dataset"], log=layout.quality_log)
     for table in dataset_columns(landed.headers).toLocalIterator():
         columns = ", ".join(map(quoted, [*table.names, *[flag.predicate for flag in TEXT_RULES], *LINEAGE]))
         spark.sql(f"CREATE OR REPLACE VIEW {layout.bronze}.{table.dataset} COMMENT 'Raw rows of one dataset, all text.' AS "
@@ -176,10 +183,13 @@ def population_bronze(spark: SparkSession, layout: Layout) -> list[RuleOutcome]:
         "population_data_not_empty",
         "fetched_on",
     )
-    outcomes = ingest_available(raw, table, f"{table}_checkpoint", SNAPSHOT_RULES, partition_by=["fetched_on"])
-    nothing_yet = spark.read.schema(raw.schema).parquet(table).isEmpty()
-    stored = stored_query(raw, table, no_files=nothing_yet)
-    spark.sql(f"CREATE OR REPLACE VIEW {view} COMMENT 'Every snapshot fetched.' AS {stored}")
+    outcomes = ingest_available(raw, table, f"{table}_checkpoint", SNAPSHOT_RULES, partition_by=["fetched_on"],
+                                log=layout.quality_log, dataset=view)
+    newest = newest_ingested(spark, table)
+    stored = stored_query(raw, table, no_files=newest is None)
+    columns = ", ".join(map(quoted, raw.columns))
+    spark.sql(f"CREATE OR REPLACE VIEW {view} COMMENT 'Every snapshot fetched.' TBLPROPERTIES ('{NEWEST}' = '{newest or ''}') "
+              f"AS SELECT {columns} FROM ({stored})")
     return outcomes
 
 
@@ -196,7 +206,9 @@ def text_silver(spark: SparkSession, layout: Layout) -> Outcomes:
 
 def population_silver(spark: SparkSession, layout: Layout) -> Published:
     """The newest snapshot as one row per nation and year."""
-    newest = latest_snapshot(spark.table(f"{layout.bronze}.population_raw"), partition="fetched_on")
+    view = f"{layout.bronze}.population_raw"
+    mark = spark.sql(f"SHOW TBLPROPERTIES {view} ('{NEWEST}')").first().value
+    newest = latest_snapshot(spark.table(view), partition="fetched_on", newest_partition=mark)
     records = explode_parsed(newest.select("source_file", "fetched_at_utc", "records"), "records")
     typed = records.select(*record_fields(POPULATION_FIELDS), "source_file", "fetched_at_utc")
     checked = flag_unique_key(typed, ["nation_id", "year"])
@@ -238,7 +250,8 @@ def gold(spark: SparkSession, layout: Layout) -> Outcomes:
         comment=f"Mean and deviation of the population, {FIRST_YEAR} to {LAST_YEAR}.")
 
     yearly = gated_view(
-        series_years(obs), scratch_path(spark, "series-years"), YEARLY_RULES, "bls_series_yearly_values_question_2"
+        series_years(obs), scratch_path(spark, "series-years"), YEARLY_RULES, "bls_series_yearly_values_question_2",
+        layout.quality_log,
     )
     done["bls_series_yearly_values_question_2"] = yearly.outcomes
     series = spark.table(f"{layout.silver}.dim_bls_pr_series")
@@ -265,7 +278,7 @@ def gold_by_sql(spark: SparkSession, layout: Layout) -> Outcomes:
     population = spark.table(f"{layout.gold}.population_by_year")
     strict = gated_view(
         sql_twins.strict_years_sql(obs), scratch_path(spark, "series-years-sql"), STRICT_RULES,
-        "bls_series_yearly_values_q2_sql",
+        "bls_series_yearly_values_q2_sql", layout.quality_log,
     )
     labels = sql_twins.labels_sql(
         spark.table(f"{layout.silver}.dim_bls_pr_series"),

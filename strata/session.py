@@ -5,7 +5,10 @@ from __future__ import annotations
 import tempfile
 import uuid
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 _LOCAL_ROOTS: dict[str, str] = {}
 
@@ -57,6 +60,13 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{scratch_root(spark)}/strata/{label}-{uuid.uuid4().hex}"
 
 
+def small_frame(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
+    """A few rows of the driver as a frame that needs no Python worker."""
+    kinds = to_arrow_schema(T.StructType.fromDDL(schema))
+    columns = list(zip(*rows)) if rows else [()] * len(kinds)
+    return spark.createDataFrame(pa.table([pa.array(list(c), f.type) for c, f in zip(columns, kinds)], schema=kinds))
+
+
 def written(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 

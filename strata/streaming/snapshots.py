@@ -3,14 +3,15 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from threading import Condition
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
+from pyspark.sql import types as T
 
 from strata.functions.naming import SnapshotName, base_name
 from strata.operators.quality import Expectation, RuleOutcome, enforce, outcomes_of, violation_counts
+from strata.operators.quality_log import record
+from strata.session import small_frame
 
 # The columns of Spark's binaryFile source.
 BINARY_FILE = "path string, modificationTime timestamp, length bigint, content binary"
@@ -42,77 +43,96 @@ def identify(df: DataFrame, naming: SnapshotName, name: Column | None = None) ->
     )
 
 
-def start_ingest(df: DataFrame, table: str, checkpoint: str, rules: Sequence[Expectation] = (),
-                 carrier: str = "source_file", partition_by: Sequence[str] = ()) -> StreamingQuery:
-    """Append everything that is available now to a parquet table.
+#: Folder level of a micro-batch in a table, and the columns of its rule counts.
+BATCH = "ingest_batch"
+COUNTS = f"rule string, mode string, checked bigint, violations bigint, newest string, {BATCH} string"
 
-    Which files are done is kept in ``checkpoint`` and which output files count is kept by
-    the sink, so a repeated or restarted run adds nothing twice. Violations of all rules
-    are counted per micro-batch; a violated failing rule stops the stream with its
-    micro-batch uncommitted.
-    """
-    watched = df.observe("expectations", *violation_counts(rules))
-    writer = (
-        enforce(watched, rules, carrier)
-        .writeStream.format("parquet")
-        .option("path", table)
-        .option("checkpointLocation", checkpoint)
-        .outputMode("append")
-        .trigger(availableNow=True)
-    )
-    return (writer.partitionBy(*partition_by) if partition_by else writer).start()
-
-
-class _Counts(StreamingQueryListener):
-    """The rule counts of every micro-batch of one query, whatever number of reports Spark keeps."""
 
-    def __init__(self, names: Sequence[str]) -> None:
-        self.names = names
-        self.run_id: str | None = None
-        self.by_batch: dict[tuple[str, int], dict[str, int]] = {}
-        self.ended: set[str] = set()
-        self.changed = Condition()
+def counts_path(table: str) -> str:
+    return f"{table.rstrip('/')}_rule_counts"
 
-    def onQueryStarted(self, event) -> None:
-        pass
 
-    def onQueryProgress(self, event) -> None:
-        counted = event.progress.observedMetrics.get("expectations")
-        if counted is not None:
-            with self.changed:
-                key = str(event.progress.runId), event.progress.batchId
-                self.by_batch[key] = {name: counted[name] for name in self.names}
+def write_batch(batch: DataFrame, key: str, table: str, rules: Sequence[Expectation], carrier: str,
+                partition_by: Sequence[str]) -> list[RuleOutcome]:
+    """Write a micro-batch's rows, then what its rules counted, each into a folder named after the batch.
 
-    def onQueryIdle(self, event) -> None:
-        pass
-
-    def onQueryTerminated(self, event) -> None:
-        with self.changed:
-            self.ended.add(str(event.runId))
-            self.changed.notify_all()
-
-    def totals(self, run_id: str, wait_s: float) -> dict[str, int]:
-        """Sums over the run's micro-batches; the end comes after the last report in the same queue."""
-        with self.changed:
-            if not self.changed.wait_for(lambda: run_id in self.ended, timeout=wait_s):
-                raise TimeoutError(f"no end of stream run {run_id} was reported in {wait_s} s")
-            own = [counts for (run, _), counts in self.by_batch.items() if run == run_id]
-            return {name: sum(counts[name] for counts in own) for name in self.names}
+    Both replace what an earlier attempt of the same batch left, so a batch that is repeated after a crash, whatever
+    it had come to, leaves the same rows and counts as one that was not disturbed.
+    """
+    spark = batch.sparkSession
+    newest = F.max(F.col(partition_by[0]).cast("string")) if partition_by else F.lit(None).cast("string")
+    seen = Observation()
+    checked = enforce(batch.observe(seen, *violation_counts(rules), newest.alias("_newest")), rules, carrier)
+    writer = checked.write.mode("overwrite").option("partitionOverwriteMode", "static")
+    (writer.partitionBy(*partition_by) if partition_by else writer).parquet(f"{table}/{BATCH}={key}")
+    counted = seen.get
+    outcomes = outcomes_of(rules, counted)
+    rows = [(o.name, o.mode, o.checked, o.violations, counted["_newest"]) for o in outcomes]
+    kept = small_frame(spark, rows, COUNTS.rsplit(",", 1)[0])
+    kept.coalesce(1).write.mode("overwrite").parquet(f"{counts_path(table)}/{BATCH}={key}")
+    return outcomes
 
 
 def ingest_available(df: DataFrame, table: str, checkpoint: str, rules: Sequence[Expectation] = (),
-                     carrier: str = "source_file", partition_by: Sequence[str] = (), wait_s: float = 300.0) -> list[RuleOutcome]:
-    """Run :func:`start_ingest` to its end and return the rules' counts over all its micro-batches.
-
-    Reports are collected by a listener as they come, so their number is not limited by
-    ``spark.sql.streaming.numRecentProgressUpdates``.
+                     carrier: str = "source_file", partition_by: Sequence[str] = (), log: str | None = None,
+                     dataset: str = "") -> list[RuleOutcome]:
+    """Append everything that is available now to a parquet table and return the rules' counts over this run.
+
+    Which files are done is kept in ``checkpoint``; rows and counts of a micro-batch are keyed by the stream's
+    identity there and the number of the batch, so a run that dies anywhere and is repeated adds nothing
+    twice and loses no count. :func:`rule_totals` has the counts of all runs, whatever became of their drivers. A
+    violated failing rule stops the stream with its micro-batch uncommitted and without rows. With ``log`` every
+    micro-batch is a version of ``dataset`` in the quality log, one that was stopped included.
     """
-    streams = df.sparkSession.streams
-    counts = _Counts(["_checked", *[rule.name for rule in rules]])
-    streams.addListener(counts)
-    try:
-        query = start_ingest(df, table, checkpoint, rules, carrier, partition_by)
-        query.awaitTermination()
-        return outcomes_of(rules, counts.totals(str(query.runId), wait_s))
-    finally:
-        streams.removeListener(counts)
+    totals: dict[str, RuleOutcome] = {rule.name: RuleOutcome(rule.name, rule.mode, 0, 0) for rule in rules}
+
+    def take(batch: DataFrame, number: int) -> None:
+        stream = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+        key = f"{stream}-{number:010d}"
+        try:
+            outcomes = write_batch(batch, key, table, rules, carrier, partition_by)
+        except Exception:
+            if log:
+                counted = batch.agg(*violation_counts(rules)).first()
+                record(batch.sparkSession, log, dataset or table, f"{key}-stopped", outcomes_of(rules, counted.asDict()))
+            raise
+        if log:
+            record(batch.sparkSession, log, dataset or table, key, outcomes)
+        for o in outcomes:
+            before = totals[o.name]
+            totals[o.name] = RuleOutcome(o.name, o.mode, before.checked + o.checked, before.violations + o.violations)
+
+    query = df.writeStream.foreachBatch(take).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    query.awaitTermination()
+    return list(totals.values())
+
+
+def batch_counts(spark: SparkSession, table: str) -> DataFrame:
+    """What the rules counted in every micro-batch of all runs (no rows before the first)."""
+    path = counts_path(table)
+    if not has_path(spark, path):
+        return spark.createDataFrame([], COUNTS)
+    return spark.read.schema(COUNTS).parquet(path)
+
+
+def rule_totals(spark: SparkSession, table: str) -> DataFrame:
+    """``rule, mode, checked, violations`` over all micro-batches since the table began."""
+    return batch_counts(spark, table).groupBy("rule", "mode").agg(
+        F.sum("checked").alias("checked"), F.sum("violations").alias("violations"))
+
+
+def newest_ingested(spark: SparkSession, table: str) -> str | None:
+    """The largest value of the first partition column that any micro-batch brought, from the counts alone."""
+    return batch_counts(spark, table).agg(F.max("newest")).first()[0]
+
+
+def has_path(spark: SparkSession, path: str) -> bool:
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(place)
+
+
+def read_ingested(spark: SparkSession, table: str, schema: T.StructType) -> DataFrame:
+    """The rows of all micro-batches; none before the first."""
+    if not has_path(spark, table):
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(table)

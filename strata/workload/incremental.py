@@ -2,15 +2,18 @@
 
 from __future__ import annotations
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.functions.naming import folder_name
-from strata.operators import contracts
+from strata.operators import conform, contracts, publish, quality, quality_log
 from strata.session import scratch_path
 from strata.sources import folders
+from strata.streaming import snapshots as streams
+from strata.workload import oracle_parts as part
 from strata.workload import views
-from strata.workload.registry import query
+from strata.workload.registry import query, with_parts
 
 # ---------------------------------------------------------------- many files in one job
 
@@ -65,3 +68,120 @@ def many_files_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = folders.by_header(named, {"customers": layout})
     return rows.groupBy("dataset", F.col(contracts.SCHEMA_FLAG).alias("expected_schema"), F.col(contracts.KEY_FLAG).alias("non_null_key")).agg(
         F.count(F.lit(1)).alias("n"))
+
+
+# ---------------------------------------------------------------- what checks counted, kept
+
+LOGGED_RULES = [
+    quality.Expectation("priority_filled", "trim(priority) <> ''"),
+    quality.Expectation("total_known", "total IS NOT NULL"),
+    quality.Expectation("not_after_1996", "ordered_on < '1997-01-01'", quality.FAIL),
+]
+#: Each version of the orders reaches to here; the last one breaks the failing rule.
+UNTIL = ("1994-01-01", "1996-01-01", "2100-01-01")
+
+LOGGED = f"""
+versions AS (SELECT * FROM (VALUES {', '.join(f"({i}, '{day}')" for i, day in enumerate(UNTIL, 1))}) v(run, until)),
+logged AS (
+    SELECT run, r.rule, r.mode, count(*) AS checked, count(*) FILTER (WHERE r.bad) AS violations
+    FROM typed JOIN versions ON ordered_on < until,
+    LATERAL (SELECT unnest(['priority_filled', 'total_known', 'not_after_1996']) AS rule, unnest(['warn', 'warn', 'fail']) AS mode,
+                    unnest([coalesce(priority, '') = '', total IS NULL, ordered_on >= '1997-01-01']) AS bad) r
+    GROUP BY ALL),
+histories AS (
+    SELECT *, violations / checked AS share, max(CASE WHEN mode = 'fail' THEN violations END) OVER (PARTITION BY run) = 0 AS gate_open
+    FROM logged)
+"""
+
+
+def logged_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The log after three versions of the typed orders, the last of them refused."""
+    location, log = scratch_path(spark, "logged-orders"), scratch_path(spark, "quality-log")
+    typed = conform.conform(views.raw_orders(spark, sf_dir), views.ORDERS_SPEC)
+    for until in UNTIL:
+        try:
+            publish.publish(typed.where(F.col("ordered_on") < until), location, LOGGED_RULES, log=log)
+        except quality.GateError:
+            if until != UNTIL[-1]:
+                raise
+    return quality_log.entries(spark, log)
+
+
+@query(
+    "quality_trend",
+    with_parts(
+        "SELECT CAST(run AS INTEGER) AS run, rule, mode, checked, violations, gate_open, share, "
+        "share - lag(share) OVER (PARTITION BY rule ORDER BY run) AS change FROM histories", part.TYPED_ORDERS, LOGGED),
+)
+def quality_trend(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How the violations of every rule developed over the versions of a dataset, refused ones included."""
+    found = quality_log.trend(logged_versions(spark, sf_dir))
+    return found.select("run", "rule", "mode", "checked", "violations", "gate_open", "share", "change")
+
+
+@query(
+    "quality_last_failure",
+    with_parts(
+        "SELECT rule, count(*) AS runs, count(*) FILTER (WHERE violations > 0) AS failed_runs, "
+        "CAST(max(run) FILTER (WHERE violations > 0) AS INTEGER) AS last_run, "
+        "arg_max(violations, run) FILTER (WHERE violations > 0) AS last_violations, "
+        "arg_max(gate_open, run) FILTER (WHERE violations > 0) AS last_gate_open, "
+        "CAST(max(run) - max(run) FILTER (WHERE violations > 0) AS INTEGER) AS runs_since FROM histories GROUP BY rule",
+        part.TYPED_ORDERS, LOGGED),
+)
+def quality_last_failure(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """When each rule was last violated and how long ago that is, in versions."""
+    found = quality_log.last_failure(logged_versions(spark, sf_dir))
+    return found.select("rule", "runs", "failed_runs", "last_run", "last_violations", "last_gate_open", "runs_since")
+
+
+STREAM_RULES = [
+    quality.Expectation("raw_json_not_null", "raw_json IS NOT NULL", quality.FAIL),
+    quality.Expectation("many_events", "CAST(trim(raw_json) AS INT) >= 100"),
+]
+
+
+class Lost(RuntimeError):
+    """What a driver that dies looks like from inside."""
+
+
+@query(
+    "stream_rule_totals",
+    """
+    SELECT rule, mode, CAST(sum(checked) AS BIGINT) AS checked, CAST(sum(violations) AS BIGINT) AS violations,
+           (SELECT max(strftime(ts, '%Y-%m-%d')) FROM events) AS newest, (SELECT count(DISTINCT date_trunc('day', ts)) FROM events) AS n_rows
+    FROM (
+        SELECT 'raw_json_not_null' AS rule, 'fail' AS mode, count(DISTINCT date_trunc('day', ts)) AS checked, 0 AS violations FROM events
+        UNION ALL
+        SELECT 'many_events', 'warn', count(*), sum(CASE WHEN n >= 100 THEN 0 ELSE 1 END)
+        FROM (SELECT date_trunc('day', ts) AS day, count(*) AS n FROM events GROUP BY 1) d
+    ) r GROUP BY rule, mode
+    """,
+)
+def stream_rule_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Totals of all rules from what the micro-batches stored, though a run dies after it wrote rows and counts of
+    a batch and before that is committed, and another takes it up.
+    """
+    naming = views.EVENT_SNAPSHOT
+    landing, raw, checkpoint = (scratch_path(spark, name) for name in ("landing", "raw", "checkpoint"))
+    snapshot = naming.name_for(F.date_trunc("day", "ts")).alias("snapshot")
+    bodies = views.table(spark, sf_dir, "events").groupBy(snapshot).agg(F.count("*").cast("string").alias("line"))
+    bodies.repartition("snapshot").write.partitionBy("snapshot").text(landing)
+    files = streams.snapshot_stream(spark, landing, "*.txt", recursive=True, max_files=12)
+    found = streams.identify(files, naming, folder_name(F.col("path"))).select("source_file", "fetched_on", "raw_json")
+
+    def dying(batch: DataFrame, number: int) -> None:
+        stream = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+        streams.write_batch(batch, f"{stream}-{number:010d}", raw, STREAM_RULES, "source_file", ["fetched_on"])
+        if number == 1:
+            raise Lost
+
+    lost = found.writeStream.foreachBatch(dying).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    try:
+        lost.awaitTermination()
+    except StreamingQueryException:
+        pass
+    streams.ingest_available(found, raw, checkpoint, STREAM_RULES, partition_by=["fetched_on"])
+    stored = streams.read_ingested(spark, raw, found.schema)
+    newest = streams.newest_ingested(spark, raw)
+    return streams.rule_totals(spark, raw).withColumns({"newest": F.lit(newest), "n_rows": F.lit(stored.count()).cast("bigint")})

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.functions.naming import SnapshotName, base_name, folder_name
+from strata.functions.naming import base_name, folder_name
 from strata.functions.text import normalize_name
 from strata.operators import compare, conform, contracts, enrich, manifest, present, publish, quality, rollup, snapshots
 from strata.plans import answers, productivity, sql_twins
@@ -657,7 +657,7 @@ def typed_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.flag_unique_key(typed, ["nation_id", "year"])
 
 
-EVENT_SNAPSHOT = SnapshotName("events__fetched_", "_UTC.json")
+EVENT_SNAPSHOT = views.EVENT_SNAPSHOT
 
 
 @query(
