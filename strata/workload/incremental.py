@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.functions.naming import folder_name
-from strata.operators import conform, contracts, publish, quality, quality_log
+from strata.operators import checksums, conform, contracts, publish, quality, quality_log
 from strata.session import scratch_path
 from strata.sources import folders
 from strata.streaming import snapshots as streams
@@ -185,3 +185,44 @@ def stream_rule_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     stored = streams.read_ingested(spark, raw, found.schema)
     newest = streams.newest_ingested(spark, raw)
     return streams.rule_totals(spark, raw).withColumns({"newest": F.lit(newest), "n_rows": F.lit(stored.count()).cast("bigint")})
+
+
+# ---------------------------------------------------------------- differences by checksums
+
+CHANGED_LINES = """
+before AS (SELECT l_orderkey, l_linenumber, l_quantity, l_returnflag FROM lineitem),
+after AS (
+    SELECT l_orderkey, l_linenumber, CASE WHEN l_orderkey % 997 = 0 THEN l_quantity + 1 ELSE l_quantity END AS l_quantity, l_returnflag
+    FROM lineitem WHERE l_orderkey % 1009 <> 0
+    UNION ALL SELECT l_orderkey, l_linenumber, l_quantity, l_returnflag FROM lineitem WHERE l_orderkey % 1013 = 0),
+signed AS (
+    SELECT l_orderkey, l_linenumber, l_quantity, l_returnflag, sum(side) AS surplus
+    FROM (SELECT *, 1 AS side FROM before UNION ALL SELECT *, -1 FROM after) s GROUP BY ALL HAVING sum(side) <> 0)
+"""
+
+
+def two_states_of_lines(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Line items before and after some were changed, some removed and some repeated."""
+    before = views.table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity", "l_returnflag")
+    changed = F.when(F.col("l_orderkey") % 997 == 0, F.col("l_quantity") + 1).otherwise(F.col("l_quantity"))
+    kept = before.withColumn("l_quantity", changed).where("l_orderkey % 1009 <> 0")
+    return before, kept.unionByName(before.where("l_orderkey % 1013 = 0"))
+
+
+@query("tree_diff", with_parts("SELECT * EXCLUDE (surplus), CAST(surplus AS BIGINT) AS surplus FROM signed", CHANGED_LINES))
+def tree_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows that one state has more often than the other; only buckets whose sums differ are moved."""
+    return checksums.tree_diff(*two_states_of_lines(spark, sf_dir), keys=["l_orderkey"])
+
+
+@query(
+    "multiset_diff_counts",
+    with_parts(
+        "SELECT surplus > 0 AS only_before, count(*) AS different, CAST(sum(abs(surplus)) AS BIGINT) AS copies FROM signed GROUP BY ALL",
+        CHANGED_LINES),
+)
+def multiset_diff_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many rows, and how many copies of them, one side has more."""
+    diff = checksums.signed_diff(*two_states_of_lines(spark, sf_dir))
+    return diff.groupBy((F.col("surplus") > 0).alias("only_before")).agg(
+        F.count(F.lit(1)).alias("different"), F.sum(F.abs("surplus")).alias("copies"))
