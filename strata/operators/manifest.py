@@ -5,6 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from strata.operators.buckets import BucketedTable, replaced
+from strata.session import written
+
 ACTIVE, REMOVED = "active", "removed"
 
 
@@ -58,6 +61,26 @@ def reconcile(manifest: DataFrame, listing: DataFrame, local: DataFrame, run_tim
     )
 
 
+MANIFEST = ("file_name string, source_last_modified string, source_size_bytes bigint, status string, first_seen_at timestamp, "
+            "last_seen_at timestamp, last_downloaded_at timestamp, removed_at timestamp")
+
+
+def update_manifest(table: BucketedTable, listing: DataFrame, local: DataFrame, run_time: Column, number: int) -> DataFrame:
+    """Bring a bucketed manifest up to a new listing; the files that are new, changed or gone, with their ``action``.
+
+    Only buckets of such files are rewritten, and a listing in which nothing changed writes nothing. A file that
+    stays as it is keeps its row, so its ``last_seen_at`` is that of its last change; that it was listed since
+    follows from the log of runs. The changes are written before the manifest, so whoever logs or fetches them
+    can do so again after a crash.
+    """
+    names = [part.split()[0] for part in MANIFEST.split(", ")]
+    reconciled = reconcile(table.read(), listing, local, run_time)
+    changed = written(reconciled.where(F.col("action").isin("new", "changed", "removed")), "manifest-changes")
+    if not changed.isEmpty():
+        table.update(number, changed.select(*names), replaced(["file_name"]))
+    return changed
+
+
 def _packed(df: DataFrame, name: str) -> DataFrame:
     return df.select("file_name", F.struct(*[c for c in df.columns if c != "file_name"]).alias(name))
 

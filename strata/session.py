@@ -60,6 +60,22 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{scratch_root(spark)}/strata/{label}-{uuid.uuid4().hex}"
 
 
+def _place(spark: SparkSession, path: str):
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return place, place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def has_path(spark: SparkSession, path: str) -> bool:
+    place, files = _place(spark, path)
+    return files.exists(place)
+
+
+def folder_names(spark: SparkSession, path: str) -> list[str]:
+    """Names in a folder, none if it is not there; nothing is opened."""
+    place, files = _place(spark, path)
+    return sorted(entry.getPath().getName() for entry in files.listStatus(place)) if files.exists(place) else []
+
+
 def small_frame(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
     """A few rows of the driver as a frame that needs no Python worker."""
     kinds = to_arrow_schema(T.StructType.fromDDL(schema))

@@ -54,10 +54,15 @@ def _last_per_name(pages: DataFrame, keep: Sequence[str], html: str, pattern: st
 
 def listing_rows(pages: DataFrame, base: str, page: str = "page_id", html: str = "html") -> DataFrame:
     """Files named by directory listings: ``page, file_name, source_url, source_last_modified, source_size_bytes``."""
+    return _listed(_last_per_name(pages, [page], html, LISTING_ROW, 4), page, base)
+
+
+def _listed(rows: DataFrame, page: str, base: str) -> DataFrame:
+    """The fields of listing rows (``file_name``, ``_text``)."""
     def group(number: int) -> Column:
         return F.regexp_extract("_text", LISTING_ROW, number)
 
-    rows = _last_per_name(pages, [page], html, LISTING_ROW, 4).withColumn("_href", group(3))
+    rows = rows.withColumn("_href", group(3))
     return rows.select(
         page,
         "file_name",
@@ -67,6 +72,22 @@ def listing_rows(pages: DataFrame, base: str, page: str = "page_id", html: str =
     )
 
 
+def listing_rows_of_files(spark: SparkSession, path: str, base: str, separator: str = "<br>") -> DataFrame:
+    """:func:`listing_rows` of pages that are files, cut where the listing breaks its lines and not held as one value.
+
+    ``separator`` is the page's own line break, which the reader splits files at, so one page of millions of entries
+    is many rows in many tasks. ``page`` is the file's path. Of several rows with one name the one that stands last in
+    the file counts, by its block and its place in it; rows of a name are merged per task first.
+    """
+    pieces = spark.read.option("lineSep", separator).text(path).select(
+        F.col("_metadata.file_path").alias("page"), F.col("_metadata.file_block_start").alias("_block"),
+        F.monotonically_increasing_id().alias("_row"), F.regexp_extract_all("value", F.lit(LISTING_ROW), F.lit(0)).alias("_found"))
+    rows = pieces.select("page", "_block", "_row", F.posexplode("_found").alias("_place", "_text"))
+    named = rows.withColumn("file_name", F.trim(F.regexp_extract("_text", LISTING_ROW, 4)))
+    last = named.groupBy("page", "file_name").agg(F.max_by("_text", F.struct("_block", "_row", "_place")).alias("_text"))
+    return _listed(last, "page", base)
+
+
 def page_links(pages: DataFrame, page: str = "page_id", html: str = "html", address: str = "url") -> DataFrame:
     """Links of pages, with their text as name and their address made absolute."""
     links = _last_per_name(pages, [page, address], html, LINK, 2)

@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 from strata.functions.naming import SnapshotName, base_name
 from strata.operators.quality import Expectation, RuleOutcome, enforce, outcomes_of, violation_counts
 from strata.operators.quality_log import record
-from strata.session import small_frame
+from strata.session import has_path, small_frame
 
 # The columns of Spark's binaryFile source.
 BINARY_FILE = "path string, modificationTime timestamp, length bigint, content binary"
@@ -126,11 +126,6 @@ def newest_ingested(spark: SparkSession, table: str) -> str | None:
     return batch_counts(spark, table).agg(F.max("newest")).first()[0]
 
 
-def has_path(spark: SparkSession, path: str) -> bool:
-    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    return place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(place)
-
-
 def read_ingested(spark: SparkSession, table: str, schema: T.StructType) -> DataFrame:
     """The rows of all micro-batches; none before the first."""
     if not has_path(spark, table):

@@ -7,9 +7,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.functions.naming import folder_name
-from strata.operators import checksums, conform, contracts, publish, quality, quality_log
+from strata.operators import checksums, conform, contracts, manifest, moments, publish, quality, quality_log, rollup, yearly_state
+from strata.operators.buckets import BucketedTable, replaced
 from strata.session import scratch_path
-from strata.sources import folders
+from strata.sources import folders, listing
 from strata.streaming import snapshots as streams
 from strata.workload import oracle_parts as part
 from strata.workload import views
@@ -226,3 +227,99 @@ def multiset_diff_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     diff = checksums.signed_diff(*two_states_of_lines(spark, sf_dir))
     return diff.groupBy((F.col("surplus") > 0).alias("only_before")).agg(
         F.count(F.lit(1)).alias("different"), F.sum(F.abs("surplus")).alias("copies"))
+
+
+# ---------------------------------------------------------------- yearly values and moments from increments
+
+#: A late correction: the second quarters of 1995 of every fourth customer gain one, the third ones of every ninth go.
+CORRECTED = part.OBS.replace("\nobs AS (", "\nplain AS (") + """,
+obs AS (
+    SELECT series_id, year, period,
+           CAST(CASE WHEN year = 1995 AND period = 'Q02' AND CAST(series_id[2:] AS BIGINT) % 4 = 0 THEN value + 1 ELSE value END
+                AS DECIMAL(18,3)) AS value
+    FROM plain WHERE NOT (year = 1995 AND period = 'Q03' AND CAST(series_id[2:] AS BIGINT) % 9 = 0))
+"""
+STATE_COLUMNS = "series_id, year, quarter_count, _quarterly_sum, _q05_count, _q05_value, _unexpected_period_count, yearly_value, value_method"
+
+
+@query("yearly_state", with_parts(f"SELECT {STATE_COLUMNS} FROM yearly", CORRECTED, part.ROLLUP, part.YEARLY))
+def kept_yearly_state(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Yearly values after three increments, of which the last also reaches back, a correction and a withdrawal."""
+    obs = views.observations(spark, sf_dir)
+    number = F.substring("series_id", 2, 20).cast("bigint")
+    state = yearly_state.YearlyState(spark, scratch_path(spark, "yearly-state"), buckets=16)
+    late = (F.col("period") == "Q01") & (number % 2 == 0)
+    state.add(1, obs.where((F.col("year") < 1995) & ~late))
+    state.add(2, obs.where((F.col("year") >= 1995) & (F.col("year") < 1997)))
+    state.add(3, obs.where((F.col("year") >= 1997) | ((F.col("year") < 1995) & late)))
+    old = obs.where("year = 1995")
+    state.add(4, old.where((F.col("period") == "Q02") & (number % 4 == 0)).withColumn("value", F.col("value") + 1), corrections=True)
+    state.withdraw(5, old.where((F.col("period") == "Q03") & (number % 9 == 0)))
+    state.add(3, obs)  # a repeated increment counts once
+    return rollup.yearly_values(state.rollup()).select(*STATE_COLUMNS.split(", "))
+
+
+MOMENTS_SQL = """
+    SELECT o_orderpriority AS nation_id, o_orderstatus AS nation, count(*) AS n, round(avg(o_totalprice), 4) AS mean_population,
+           round(stddev_samp(o_totalprice), 4) AS stddev_population
+    FROM orders WHERE year(o_orderdate) IN (1993, 1996, 1997, 1998) GROUP BY o_orderpriority, o_orderstatus
+"""
+
+
+@query("range_stats_from_moments", MOMENTS_SQL)
+def range_stats_from_moments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Statistics of two separate ranges together, from moments that were stored per year."""
+    orders = views.table(spark, sf_dir, "orders").select(
+        F.col("o_orderpriority").alias("nation_id"), F.col("o_orderstatus").alias("nation"), F.year("o_orderdate").alias("year"),
+        F.col("o_totalprice").alias("population"))
+    stored = publish.publish(moments.moments(orders, ["nation_id", "nation", "year"]), scratch_path(spark, "moments")).data
+    wanted = stored.where("year = 1993 OR year BETWEEN 1996 AND 1998")
+    found = moments.mean_and_deviation(moments.merged(wanted, ["nation_id", "nation"]))
+    return found.withColumns({name: F.round(name, 4) for name in ("mean_population", "stddev_population")})
+
+
+# ---------------------------------------------------------------- manifests in buckets, listings in pieces
+
+RUN_TIME = "2002-01-01 00:00:00"
+
+
+@query(
+    "manifest_buckets",
+    with_parts(
+        f"""
+        SELECT file_name, coalesce(new_modified, old_modified) AS source_last_modified, coalesce(new_size, old_size) AS source_size_bytes,
+               CASE WHEN listed THEN 'active' ELSE 'removed' END AS status, coalesce(first_seen_at, TIMESTAMP '{RUN_TIME}') AS first_seen_at,
+               CASE WHEN action IN ('new', 'changed') THEN TIMESTAMP '{RUN_TIME}' ELSE last_seen_at END AS last_seen_at,
+               CASE WHEN action IN ('new', 'changed') THEN TIMESTAMP '{RUN_TIME}' ELSE last_downloaded_at END AS last_downloaded_at,
+               CASE action WHEN 'removed' THEN TIMESTAMP '{RUN_TIME}' WHEN 'absent' THEN removed_at END AS removed_at
+        FROM compared
+        """,
+        part.FILES,
+    ),
+)
+def manifest_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A manifest of the orders' files brought up to a new listing, in buckets of which only touched ones are rewritten."""
+    known, listed, local = views.order_files(spark, sf_dir)
+    schema = manifest.MANIFEST.replace("timestamp", "timestamp_ntz")
+    table = BucketedTable(spark, scratch_path(spark, "manifest"), ("file_name",), schema, 32)
+    table.update(1, known.select(*[column.split()[0] for column in schema.split(", ")]), replaced(["file_name"]))
+    manifest.update_manifest(table, listed, local, F.lit(RUN_TIME).cast("timestamp_ntz"), 2)
+    return table.read()
+
+
+@query(
+    "listing_pieces",
+    """
+    SELECT 'p' || p_partkey || e.ending AS file_name, e.folder || 'p' || p_partkey || e.ending AS source_url,
+           CASE WHEN e.ending = '.data' THEN '12/31/2024 11:59 PM' ELSE '1/' || (p_partkey % 28 + 1) || '/2024  9:05 AM' END AS source_last_modified,
+           CAST(p_size + e.more AS BIGINT) AS source_size_bytes
+    FROM part, (VALUES ('.data', 'https://example.org/pub/new/', 3), ('.series', 'https://example.org/pub/time/', 1),
+                       ('.txt', 'https://example.org/pub/', 2)) e(ending, folder, more)
+    """,
+)
+def listing_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One page that lists the files of all parts, read in pieces at its own line breaks."""
+    path = scratch_path(spark, "listing-page")
+    views.listing_pages(spark, sf_dir).select("html").coalesce(1).write.text(path)
+    rows = listing.listing_rows_of_files(spark, path, "https://example.org/pub/time/")
+    return rows.drop("page")

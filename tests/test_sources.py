@@ -11,7 +11,7 @@ from strata.operators.quality import Expectation
 from strata.operators.snapshots import explode_list, explode_records, flag_payload, is_json, latest_snapshot, record_fields
 from strata.session import scratch_path, scratch_root, written
 from strata.sources.delimited import add_lineage, scan_delimited
-from strata.sources.listing import discover_files, empty_listings, listing_rows, page_links
+from strata.sources.listing import discover_files, empty_listings, listing_rows, page_links, listing_rows_of_files
 from strata.streaming.snapshots import identify, ingest_available, snapshot_stream
 
 
@@ -155,3 +155,20 @@ def test_scratch_folder_follows_the_session(spark, tmp_path):
     assert root == named.rstrip("/") if named else os.path.isdir(root)
     assert scratch_path(spark, "x").startswith(root) and scratch_path(spark, "x") != scratch_path(spark, "x")
     assert written(spark.range(3), "three").count() == 3
+
+
+def test_a_listing_in_pieces_uses_many_tasks_and_the_last_name_wins(spark, tmp_path):
+    row = '1/{day}/2024  9:05 AM       {size} <A HREF="/d/f{n}.txt">f{n}.txt</A><br>'
+    page = "<html><pre>" + "".join(row.format(day=1, size=n, n=n) for n in range(3000)) + "no row here<br>"
+    page += "".join(row.format(day=2, size=10 * n, n=n) for n in range(0, 3000, 7)) + row.format(day=3, size=1, n=3).replace("<br>", "</pre>")
+    (tmp_path / "page.html").write_text(page)
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "20000")
+    try:
+        found = listing_rows_of_files(spark, str(tmp_path), "http://e.org/")
+        assert spark.read.option("lineSep", "<br>").text(str(tmp_path)).rdd.getNumPartitions() > 4
+        rows = {r.file_name: (r.source_last_modified[:4], r.source_size_bytes) for r in found.collect()}
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    wanted = {f"f{n}.txt": ("1/2/", 10 * n) if n % 7 == 0 else ("1/1/", n) for n in range(3000)} | {"f3.txt": ("1/3/", 1)}
+    assert rows == wanted and found.first().source_url.startswith("http://e.org/d/f")
