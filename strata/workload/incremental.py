@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from strata.functions.naming import folder_name
 from strata.operators import checksums, conform, contracts, manifest, moments, publish, quality, quality_log, rollup, yearly_state
 from strata.operators.buckets import BucketedTable, replaced
+from strata.operators.key_index import KeyIndex
 from strata.session import scratch_path
 from strata.sources import folders, listing
 from strata.streaming import snapshots as streams
@@ -323,3 +324,24 @@ def listing_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     views.listing_pages(spark, sf_dir).select("html").coalesce(1).write.text(path)
     rows = listing.listing_rows_of_files(spark, path, "https://example.org/pub/time/")
     return rows.drop("page")
+
+
+# ---------------------------------------------------------------- unique keys across versions
+
+
+@query(
+    "key_index",
+    """
+    WITH dealt AS (SELECT o_orderkey, o_custkey, o_orderstatus, CAST(o_orderkey % 3 + 1 AS BIGINT) AS increment FROM orders)
+    SELECT o_orderkey, increment, count(*) OVER (PARTITION BY increment, o_custkey, o_orderstatus) = 1
+           AND min(increment) OVER (PARTITION BY o_custkey, o_orderstatus) = increment AS _natural_key_unique
+    FROM dealt
+    """,
+)
+def key_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders in three increments; a customer's status is its key, and an increment looks up its own keys only."""
+    orders = views.table(spark, sf_dir, "orders").select(
+        "o_orderkey", "o_custkey", "o_orderstatus", (F.col("o_orderkey") % 3 + 1).cast("bigint").alias("increment"))
+    index = KeyIndex(spark, scratch_path(spark, "key-index"), buckets=16)
+    flagged = [index.flag_increment(orders.where(F.col("increment") == n), ["o_custkey", "o_orderstatus"], n) for n in (1, 2, 3)]
+    return flagged[0].unionByName(flagged[1]).unionByName(flagged[2]).select("o_orderkey", "increment", "_natural_key_unique")

@@ -134,3 +134,31 @@ def test_any_union_of_ranges_equals_the_statistics_of_the_rows(spark, rows):
             else:
                 assert row.stddev_population is None
     assert moments.merged(stored.where("y > 99"), ["g"]).isEmpty() and moments.merged(stored.where("y > 99")).isEmpty()
+
+
+def test_a_key_that_came_before_is_flagged_and_the_input_read_once(spark, rows, tmp_path):
+    from strata.operators.key_index import KeyIndex
+    index = KeyIndex(spark, str(tmp_path / "index"), buckets=4)
+    schema = "k string, n int, payload string"
+    reads = spark.sparkContext.accumulator(0)
+
+    def counted(data):
+        import pyspark.sql.types as T
+
+        def pass_on(batches):
+            for batch in batches:
+                reads.add(batch.num_rows)
+                yield batch
+        return rows(data, schema).mapInArrow(pass_on, T.StructType.fromDDL(schema))
+
+    def flags(data, number):
+        return sorted((r.payload, r._natural_key_unique) for r in index.flag_increment(counted(data), ["k", "n"], number).collect())
+
+    first = [("a", 1, "p"), ("a", 1, "q"), ("a", 2, "r"), (None, 1, "s"), ("", None, "t"), (None, None, "u")]
+    assert flags(first, 1) == [("p", False), ("q", False), ("r", True), ("s", True), ("t", True), ("u", True)]
+    second = [("a", 2, "v"), (None, 1, "w"), ("b", 1, "x"), ("", 1, "y"), (None, None, "z")]
+    assert flags(second, 2) == [("v", False), ("w", False), ("x", True), ("y", True), ("z", False)]
+    assert reads.value == len(first) + len(second)
+    assert flags(second, 2) == [("v", False), ("w", False), ("x", True), ("y", True), ("z", False)]
+    assert sorted(r.n for r in index.repeated().collect()) == [2, 2, 2, 2]
+    assert flags([], 3) == [] and flags([("b", 1, "late")], 4) == [("late", False)]
