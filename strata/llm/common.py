@@ -47,6 +47,22 @@ def ship(spark: SparkSession) -> None:
     _SHIPPED.add(context.applicationId)
 
 
+#: What this worker process remembers from one task to the next, by owner: how to forget it.
+_REMEMBERED: dict[str, Callable[[], None]] = {}
+
+
+def remembers(owner: str, forget: Callable[[], None]) -> None:
+    """Say how to free what ``owner`` keeps between tasks."""
+    _REMEMBERED[owner] = forget
+
+
+def let_go(owner: str) -> None:
+    """Free what all others keep: a worker process serves one kind of pass after another, and their caches would add up."""
+    for name, forget in _REMEMBERED.items():
+        if name != owner:
+            forget()
+
+
 def remainder(key: Column, modulus: int) -> Column:
     """crc32 of the key written as text, modulo ``modulus``; null for a null key."""
     return F.crc32(key.cast("string").cast("binary")) % modulus

@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from strata.llm.common import arrow_pass, components, documents_only, free_name, lists, slices
+from strata.llm.common import arrow_pass, components, documents_only, free_name, let_go, lists, remembers, slices
 from strata.session import written
 
 WORDS, PERCENT = 5, 80
@@ -50,7 +50,7 @@ class WordNumbers(dict):
 
     def __missing__(self, word: bytes) -> int:
         import xxhash
-        if len(self) > 300_000:
+        if len(self) > 100_000:
             self.clear()
         number = xxhash.xxh64_intdigest(word)
         if len(word) <= 64:
@@ -59,6 +59,7 @@ class WordNumbers(dict):
 
 
 _NUMBERS = WordNumbers()
+remembers("words", _NUMBERS.clear)
 
 
 def shingles(text: str | None, words: int = WORDS) -> np.ndarray:
@@ -95,6 +96,7 @@ def frequency_classes(docs: DataFrame, words: int) -> np.ndarray:
     that no step meets more than a part of the tasks.
     """
     def run(batches):
+        let_go("words")
         counts = np.zeros(SKETCH, np.int64)
         for batch in batches:
             for part in slices(batch):
@@ -162,7 +164,7 @@ def measure(docs: DataFrame, classes: np.ndarray, words: int, percent: int) -> D
             part.column("doc_id"), pa.array([row[0] for row in rows], pa.int64()), pa.array(prints[:, 0]), pa.array(prints[:, 1]),
             sized(2), sized(3)], MEASURED.names)
 
-    return arrow_pass(docs, MEASURED, work)
+    return arrow_pass(docs, MEASURED, work, setup=lambda: let_go("words"))
 
 
 BUCKETS = T.StructType([

@@ -7,6 +7,8 @@ from array import array
 
 import numpy as np
 
+from strata.llm.common import let_go, remembers
+
 TOKENIZER = "byte_bpe_50k.json"
 #: White space other than blanks and line ends, and the blanks where a text may be cut.
 _RARE = re.compile(r"[^\S \n]")
@@ -14,6 +16,7 @@ _BLANK = re.compile(r"(?<=\S) (?=\S)")
 #: Longer chunks are encoded each time and not remembered.
 _LONGEST = 64
 _ENCODERS: dict[str, Encoder] = {}
+remembers("tokens", _ENCODERS.clear)
 
 
 def tokenizer_path(path: str | None = None) -> str:
@@ -65,7 +68,7 @@ class Encoder:
     have their own ids; a text with one that takes in what is beside it is left to the library. A final id ``end`` closes every document.
     """
 
-    def __init__(self, path: str, end: int = 0, limit: int = 400_000):
+    def __init__(self, path: str, end: int = 0, limit: int = 100_000):
         import public_tokenizers
         import regex
         from tokenizers import Tokenizer
@@ -149,6 +152,7 @@ def byte_letters() -> dict[int, str]:
 
 def encoder(path: str | None = None, end: int = 0) -> Encoder:
     """One encoder for a worker process, so that what it remembers serves later tasks too."""
+    let_go("tokens")
     key = f"{end}:{tokenizer_path(path)}"
     if key not in _ENCODERS:
         _ENCODERS[key] = Encoder(tokenizer_path(path), end)
