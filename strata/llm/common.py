@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 import zipfile
 from collections.abc import Callable, Iterator
@@ -30,14 +29,15 @@ _SHIPPED: set[str] = set()
 
 
 def ship(spark: SparkSession) -> None:
-    """Send this package to the Python workers, once per application, if they would not find it themselves.
+    """Send this package to the Python workers, once per application.
 
-    They do where it is installed, on PYTHONPATH, or in the folder a local session was started from.
+    Only a local master needs none of it: its workers share the driver's machine and path. What the driver finds, installed
+    or on its path, says nothing about other machines. The registered queries and the pipeline call this; whoever
+    calls an operator from elsewhere on a cluster calls it first, or has the package installed there.
     """
     home = Path(strata.__file__).resolve().parents[1]
-    known = [Path(p).resolve() for p in (os.getcwd(), *os.environ.get("PYTHONPATH", "").split(os.pathsep)) if p]
     context = spark.sparkContext
-    if home in known or home.name == "site-packages" or context.applicationId in _SHIPPED:
+    if context.master == "local" or context.master.startswith("local[") or context.applicationId in _SHIPPED:
         return
     archive = Path(tempfile.mkdtemp(prefix="strata-"), "strata-package.zip")  # Spark serves it from here to the executors
     with zipfile.ZipFile(archive, "w") as packed:
