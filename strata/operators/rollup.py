@@ -27,6 +27,7 @@ def yearly_rollup(obs: DataFrame, keys: Sequence[str] = ("series_id", "year")) -
     seen = F.lit(0)
     for position, code in enumerate(QUARTERS):
         seen = F.when(period == code, F.lit(1 << position)).otherwise(seen)
+    # The names of the published helper columns.
     return obs.groupBy(*keys).agg(
         F.bit_count(F.bit_or(seen)).cast("bigint").alias("quarter_count"),
         F.sum(F.when(quarterly, value)).alias("_quarterly_sum"),

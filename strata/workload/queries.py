@@ -890,11 +890,9 @@ def discover_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = views.table(spark, sf_dir, "events").select("event_type", F.to_json(F.struct("*")).alias("line"))
     for part_of_run in ("event_type <> 'error'", "event_type = 'error'"):
         lines.where(part_of_run).write.mode("append").partitionBy("event_type").text(landing)
-    dataset = folder_name(F.col("path"))
-    errors = listing.discover_files(spark, landing, recursive=True).where(dataset == "error")
-    unwanted = [row.file_name for row in errors.select("file_name").collect()]
-    found = listing.discover_files(spark, landing, unwanted, recursive=True)
-    by_folder = found.withColumn("dataset", dataset).groupBy("dataset")
+    found = listing.discover_files(spark, landing, recursive=True).withColumn("dataset", folder_name(F.col("path")))
+    ignored = found.where("dataset = 'error'").select("file_name")  # as many as there were writers, so joined and not listed
+    by_folder = found.join(ignored, "file_name", "left_anti").groupBy("dataset")
     sizes = by_folder.agg((F.sum("size_bytes") > 0).alias("has_content"))
     return sizes.withColumn("table_name", normalize_name(F.col("dataset"), "raw_"))
 
