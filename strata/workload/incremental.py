@@ -84,14 +84,16 @@ UNTIL = ("1994-01-01", "1996-01-01", "2100-01-01")
 
 LOGGED = f"""
 versions AS (SELECT * FROM (VALUES {', '.join(f"({i}, '{day}')" for i, day in enumerate(UNTIL, 1))}) v(run, until)),
+rules AS (SELECT * FROM (VALUES ('priority_filled', 'warn'), ('total_known', 'warn'), ('not_after_1996', 'fail')) r(rule, mode)),
+outcomes AS (
+    SELECT ordered_on, unnest(['priority_filled', 'total_known', 'not_after_1996']) AS rule,
+           unnest([coalesce(priority, '') = '', total IS NULL, ordered_on >= '1997-01-01']) AS bad FROM typed),
 logged AS (
-    SELECT run, r.rule, r.mode, count(*) AS checked, count(*) FILTER (WHERE r.bad) AS violations
-    FROM typed JOIN versions ON ordered_on < until,
-    LATERAL (SELECT unnest(['priority_filled', 'total_known', 'not_after_1996']) AS rule, unnest(['warn', 'warn', 'fail']) AS mode,
-                    unnest([coalesce(priority, '') = '', total IS NULL, ordered_on >= '1997-01-01']) AS bad) r
-    GROUP BY ALL),
+    SELECT run, r.rule, r.mode, count(o.rule) AS checked, count(*) FILTER (WHERE bad) AS violations
+    FROM versions CROSS JOIN rules r LEFT JOIN outcomes o ON o.rule = r.rule AND ordered_on < until GROUP BY ALL),
 histories AS (
-    SELECT *, violations / checked AS share, max(CASE WHEN mode = 'fail' THEN violations END) OVER (PARTITION BY run) = 0 AS gate_open
+    SELECT *, CASE WHEN checked > 0 THEN violations / checked END AS share,
+           max(CASE WHEN mode = 'fail' THEN violations END) OVER (PARTITION BY run) = 0 AS gate_open
     FROM logged)
 """
 
