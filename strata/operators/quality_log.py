@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 from datetime import datetime, timezone
 
@@ -17,21 +18,21 @@ ENTRIES = ("dataset string, version string, rule string, mode string, checked bi
 
 def record(spark: SparkSession, log: str, dataset: str, version: str, outcomes: Sequence[RuleOutcome],
            at: datetime | None = None) -> None:
-    """Append the outcomes of one version, one row per rule, as one file.
+    """Add the outcomes of one version, one row per rule, as one file in a folder of its own.
 
-    Called before readers see the version, so a version in use is always in the log; one whose gate closed is
+    Publishers that record at the same time therefore do not meet in one folder's unfinished files. Called before readers see the version, so a version in use is always in the log; one whose gate closed is
     too. Recording a version again adds nothing to what :func:`entries` shows.
     """
     gate_open = not any(o.mode == FAIL and o.violations for o in outcomes)
     at = at or datetime.now(timezone.utc)
     rows = [(dataset, version, o.name, o.mode, o.checked, o.violations, gate_open, at) for o in outcomes]
     if rows:
-        small_frame(spark, rows, ENTRIES).coalesce(1).write.mode("append").parquet(log)
+        small_frame(spark, rows, ENTRIES).coalesce(1).write.parquet(f"{log.rstrip('/')}/{uuid.uuid4().hex}")
 
 
 def entries(spark: SparkSession, log: str) -> DataFrame:
     """Every outcome once: of a version that was recorded again after a failure the first record counts."""
-    kept = spark.read.schema(ENTRIES).parquet(log)
+    kept = spark.read.schema(ENTRIES).option("recursiveFileLookup", "true").parquet(log)
     first = F.min_by(F.struct("mode", "checked", "violations", "gate_open", "recorded_at"), "recorded_at").alias("first")
     return kept.groupBy("dataset", "version", "rule").agg(first).select("dataset", "version", "rule", "first.*")
 

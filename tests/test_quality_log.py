@@ -47,6 +47,16 @@ def test_a_log_that_cannot_be_written_keeps_the_view_where_it_was(spark, rows, t
     assert [r.n for r in spark.table("logged.kept").collect()] == [1]
 
 
+def test_publishers_record_side_by_side(spark, tmp_path):
+    from concurrent.futures import ThreadPoolExecutor
+    log = str(tmp_path / "log")
+    with ThreadPoolExecutor(max_workers=8) as pool:
+        done = [pool.submit(quality_log.record, spark, log, f"d{i}", "v", [RuleOutcome("r", "warn", i, 0)]) for i in range(24)]
+        for one in done:
+            one.result()
+    assert sorted((r.dataset, r.checked) for r in quality_log.entries(spark, log).collect()) == sorted((f"d{i}", i) for i in range(24))
+
+
 def test_recording_again_changes_nothing_and_rules_never_violated_have_no_last(spark, tmp_path):
     log, at = str(tmp_path / "log"), datetime(2025, 1, 1, tzinfo=timezone.utc)
     for hours in (0, 1):
