@@ -186,9 +186,12 @@ def remove_repeated_lines(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     key, lines = free_name(docs.columns, "strata_doc"), free_name(docs.columns, "strata_kept")
     joined = docs.join(kept.select(F.col("doc_id").alias(key), F.col("kept").alias(lines)),
                        F.col("doc_id").cast("long") == F.col(key), "left")
-    blank = lambda line: ~has_words(line)
-    left = F.array_join(F.filter(
-        F.split("text", "\n", -1), lambda line, i: blank(line) | F.array_contains(F.col(lines), i)), "\n")
+    # By hash and by place, each a column of its own first: a text may have very many lines.
+    parts, places = free_name([*docs.columns, key, lines], "strata_parts"), free_name([*docs.columns, key, lines], "strata_places")
+    joined = joined.withColumn(parts, F.split("text", "\n", -1))
+    gone = F.array_except(numbers_with_words("text"), F.col(lines))
+    joined = joined.withColumn(places, F.array_except(F.sequence(F.lit(0), F.size(parts) - 1), gone))
+    left = F.array_join(F.transform(places, lambda i: F.get(parts, i)), "\n")
     alone = F.col("doc_id").isNull() | F.col("text").isNull() | ~F.col("text").rlike(r"[^ \t\x0B\f\r\n]")
     stay = joined.where(alone | F.col(lines).isNotNull())
     text = F.when(alone, F.col("text")).otherwise(left)

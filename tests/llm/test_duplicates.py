@@ -131,3 +131,10 @@ def test_vectors_link_like_brute_force(spark):
     assert found[None] == (0, None, False)
     empty = spark.createDataFrame([], "vec_id long, embedding array<float>")
     assert embedding_dedup.link_vectors(empty).collect() == []
+
+
+def test_a_text_of_very_many_lines_loses_its_repeated_ones(docs):
+    own = [f"line number {i} says that {7 * i} is not {13 * i} or {i % 5}" if i % 3 else "" for i in range(40_000)]
+    text = "\n".join([*own, "the same words come here once more", "", "the same words come here once more"])
+    found = {r.doc_id: r.text for r in line_dedup.remove_repeated_lines(docs([text, "the same words come here once more\nand new ones"])).collect()}
+    assert found == {0: "\n".join([*own, "the same words come here once more", ""]), 1: "and new ones"}
