@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import re
 from array import array
 
@@ -15,6 +16,8 @@ _RARE = re.compile(r"[^\S \n]")
 _BLANK = re.compile(r"(?<=\S) (?=\S)")
 #: Longer chunks are encoded each time and not remembered.
 _LONGEST = 64
+#: Chunks encoded together, at most.
+_WAITING = 20_000
 _ENCODERS: dict[str, Encoder] = {}
 remembers("tokens", _ENCODERS.clear)
 
@@ -27,34 +30,32 @@ def tokenizer_path(path: str | None = None) -> str:
     return public_tokenizers.path(TOKENIZER)
 
 
-class _Codes(dict):
-    """Chunk to row of the id pool; a chunk not seen yet is encoded."""
+class _First(dict):
+    """Chunk that begins a text to its row of the id pool."""
 
-    def __init__(self, encoder: Encoder, lead: str):
-        self.encoder, self.lead = encoder, lead
+    def __init__(self, encoder: Encoder):
+        self.encoder = encoder
 
     def __missing__(self, chunk: str) -> int:
-        code = self.encoder.add(self.lead + chunk)
+        code = self.encoder.add(chunk)
         if len(chunk) <= _LONGEST:
             self[chunk] = code
         return code
 
 
-class _Ids(dict):
-    """Piece of the pre-tokenizer to its ids."""
+class _AfterBlank(dict):
+    """Chunk after a blank to its row of the id pool; a new one gets the next row and waits."""
 
-    def __init__(self, encoder: Encoder, before: dict | None = None):
-        self.encoder, self.before = encoder, dict(before or {})
+    def __init__(self, encoder: Encoder):
+        self.encoder, self.waiting, self.rows = encoder, [], len(encoder.starts) - 1
 
-    def __missing__(self, piece: str) -> tuple[int, ...]:
-        if (known := self.before.get(piece)) is not None:
-            self[piece] = known
-            return known
-        letters = piece.encode().decode("latin-1").translate(self.encoder.letters)
-        ids = tuple([token.id for token in self.encoder.tokenize(letters)])
-        if len(piece) <= _LONGEST:
-            self[piece] = ids
-        return ids
+    def __missing__(self, chunk: str) -> int:
+        if len(chunk) > _LONGEST:
+            return self.encoder.add(" " + chunk)
+        self.waiting.append(chunk)
+        code = self[chunk] = self.rows
+        self.rows += 1
+        return code
 
 
 class Encoder:
@@ -62,13 +63,14 @@ class Encoder:
 
     The tokenizer's own splitting never joins across one blank between two characters that are
     not white space, so a text may be cut before each such blank and the ids of the chunks
-    joined. Chunks repeat; each is split by the tokenizer's pre-tokenizer pattern and given to its
-    BPE model once; what is remembered is bounded by ``limit`` chunks and
-    two generations of as many pieces. As in the library, added tokens of the file are cut out of a text first and
+    joined. Chunks repeat. Those not remembered wait, and the library encodes many of them as one text,
+    which is cut again by the number of bytes that each id stands for. What is remembered is bounded by
+    ``limit`` chunks. As in the library, added tokens of the file are cut out of a text first and
     have their own ids; a text with one that takes in what is beside it is left to the library. A final id ``end`` closes every document.
     """
 
-    def __init__(self, path: str, end: int = 0, limit: int = 100_000):
+    def __init__(self, path: str, end: int = 0, limit: int = 300_000):
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a task has one core
         import public_tokenizers
         import regex
         from tokenizers import Tokenizer
@@ -78,37 +80,60 @@ class Encoder:
         self.added = {token.content: number for number, token in added.items()}
         self.at_added = re.compile("(" + "|".join(map(re.escape, sorted(self.added, key=len, reverse=True))) + ")")
         self.apart = not any(token.single_word or token.lstrip or token.rstrip for token in added.values())
+        self.together = not any(" " in content for content in self.added)
+        vocabulary = self.library.get_vocab()
+        self.sizes = np.zeros(max(vocabulary.values()) + 1, np.int64)
+        self.sizes[list(vocabulary.values())] = list(map(len, vocabulary))
         self.pieces = regex.compile(public_tokenizers.PATTERN).findall
         self.letters = byte_letters()
         self.end, self.limit = end, limit
-        self.ids = _Ids(self)
         self.forget()
 
     def forget(self) -> None:
         self.pool, self.starts = array("I", [self.end, *self.added.values()]), array("q", range(len(self.added) + 2))
         self.special = {content: 1 + i for i, content in enumerate(self.added)}
-        self.after_blank, self.plain = _Codes(self, " "), _Codes(self, "")
+        self.after_blank, self.first = _AfterBlank(self), _First(self)
+
+    def settle(self) -> None:
+        """Encodes the chunks that wait, each after a blank, as one text."""
+        waiting, self.after_blank.waiting = self.after_blank.waiting, []
+        if not waiting:
+            return
+        text = " " + " ".join(waiting)
+        ids = np.array(self.library.encode_batch_fast([text], add_special_tokens=False)[0].ids, np.uint32)
+        sizes = map(len, waiting) if text.isascii() else (len(chunk.encode()) for chunk in waiting)
+        wanted = np.cumsum(np.fromiter(sizes, np.int64, len(waiting)) + 1)
+        ends = np.cumsum(self.sizes[ids])
+        last = np.minimum(np.searchsorted(ends, wanted), len(ends) - 1)
+        if self.together and np.array_equal(ends[last], wanted):
+            self.starts.extend((len(self.pool) + 1 + last).tolist())
+            self.pool.frombytes(ids.tobytes())
+        else:
+            for chunk in waiting:
+                self.fill(" " + chunk)
 
     def add(self, chunk: str) -> int:
-        body = chunk[1:] if chunk[:1] == " " else chunk
-        if body.isalpha():
-            pieces = [chunk]
-        elif body[:-1].isalpha() and body[-1] in ".,;:!?":
-            pieces = [chunk[:-1], chunk[-1]]
-        else:
-            pieces = self.pieces(chunk)
-        for piece in pieces:
-            self.pool.extend(self.ids[piece])
+        """The row of one chunk, however long, that is encoded at once."""
+        self.settle()
+        self.fill(chunk)
+        self.after_blank.rows += 1
+        return self.after_blank.rows - 1
+
+    def fill(self, chunk: str) -> None:
+        for piece in self.pieces(chunk):
+            letters = piece.encode().decode("latin-1").translate(self.letters)
+            self.pool.extend([token.id for token in self.tokenize(letters)])
         self.starts.append(len(self.pool))
-        return len(self.starts) - 2
 
     def codes(self, text: str) -> list[int]:
         if not any(content in text for content in self.added):
             return self.plain_codes(text)
         if not self.apart:
+            self.settle()
             self.pool.extend(self.library.encode(text, add_special_tokens=False).ids)
             self.starts.append(len(self.pool))
-            return [len(self.starts) - 2]
+            self.after_blank.rows += 1
+            return [self.after_blank.rows - 1]
         codes = []
         for i, part in enumerate(self.at_added.split(text)):
             codes.extend([self.special[part]] if i % 2 else self.plain_codes(part) if part else [])
@@ -117,14 +142,18 @@ class Encoder:
     def plain_codes(self, text: str) -> list[int]:
         odd = "  " in text or "\n " in text or " \n" in text or text[0] == " " or text[-1] == " " or _RARE.search(text)
         first, *rest = _BLANK.split(text) if odd else text.split(" ")
-        return [self.plain[first], *map(self.after_blank.__getitem__, rest)]
+        codes = [self.first[first]]
+        last = [self.add(" " + rest.pop())] if rest and rest[-1][-1].isspace() else []
+        for i in range(0, len(rest), _WAITING):
+            codes.extend(map(self.after_blank.__getitem__, rest[i:i + _WAITING]))
+            if len(self.after_blank.waiting) > _WAITING:
+                self.settle()
+        return codes + last
 
     def encode(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """All ids, and where each document starts in them (one more entry than documents)."""
         if len(self.starts) > self.limit or len(self.pool) > 8 * self.limit:
             self.forget()
-        if len(self.ids) > self.limit:
-            self.ids = _Ids(self, self.ids)
         codes: list[int] = []
         counts = []
         for text in texts:
@@ -133,8 +162,9 @@ class Encoder:
                 codes.extend(self.codes(text))
             codes.append(0)
             counts.append(len(codes) - before)
+        self.settle()
         rows = np.array(codes, np.int64)
-        pool, starts = np.array(self.pool, np.uint32), np.array(self.starts, np.int64)
+        pool, starts = np.frombuffer(self.pool, np.uint32), np.frombuffer(self.starts, np.int64)
         lengths = starts[rows + 1] - starts[rows]
         ends = np.cumsum(lengths)
         at = np.arange(ends[-1] if len(ends) else 0) + np.repeat(starts[rows] - ends + lengths, lengths)

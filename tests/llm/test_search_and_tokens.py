@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 from tokenizers import AddedToken, Tokenizer
 
-from strata.llm import decontaminate, packing, token_store
+from strata.llm import decontaminate, packing, token_store, tokens
 from strata.llm.tokens import Encoder, tokenizer_path
 from tests.llm import brute
 from tests.llm.conftest import EDGE_TEXTS
@@ -94,6 +94,27 @@ def test_added_tokens_that_take_in_blanks_are_left_to_the_library(tmp_path):
         assert ids[starts[k]:starts[k + 1]].tolist() == [*library.encode(text, add_special_tokens=False).ids, 0]
 
 
+def test_added_tokens_with_blanks_do_not_arise_between_texts(tmp_path):
+    path = str(tmp_path / "tokenizer.json")
+    library = Tokenizer.from_file(tokenizer_path())
+    library.add_special_tokens([AddedToken("quick brown")])
+    library.save(path)
+    texts = ["a quick test", "a brown test", "the quick brown fox", "quick", "brown quick"]
+    ids, starts = Encoder(path).encode(texts)
+    for k, text in enumerate(texts):
+        assert ids[starts[k]:starts[k + 1]].tolist() == [*library.encode(text, add_special_tokens=False).ids, 0]
+
+
+def test_a_long_text_of_different_chunks_is_encoded_in_groups(monkeypatch):
+    monkeypatch.setattr(tokens, "_WAITING", 50)
+    text = " ".join(f"w{i} {'é' * (i % 5)}x{i},\ny{i}" for i in range(2000)) + "  end \t"
+    for limit in (400_000, 50):
+        encode = Encoder(tokenizer_path(), limit=limit).encode
+        for _ in range(2):
+            ids, _ = encode([text, " ", "a " + "b" * 300])
+            assert ids.tolist() == [i for t in (text, " ", "a " + "b" * 300) for i in ids_of(t).tolist()]
+
+
 def token_texts():
     rng = random.Random(6)
     return [*EDGE_TEXTS, *["".join(rng.choices(PARTS, k=rng.randrange(1, 4000))) for _ in range(40)]]
