@@ -8,6 +8,7 @@ text of the documents are read.
 
 from __future__ import annotations
 
+import heapq
 import re
 from collections import Counter
 from functools import reduce
@@ -22,6 +23,8 @@ from strata.llm.common import documents_only, lists, slices
 
 #: Labelled documents of each class that the model is fitted on, at most, picked by hash.
 SAMPLE = {0: 4000, 1: 2500}
+#: Bytes of their texts of each class, at most; in the order of the hash, a text that does not fit is passed over.
+SAMPLE_BYTES = 24_000_000
 #: Rows of the hashed weight table.
 WEIGHTS = 1 << 18
 #: A cue must be this many times likelier in toxic texts and explain this many texts that no other cue does.
@@ -68,23 +71,26 @@ def toxic_cues(texts: list[set[str]], labels: np.ndarray) -> set[str]:
                 pure[cue].add(int(i))
     chosen: set[str] = set()
     left = set().union(*pure.values()) if pure else set()
-    ordered = sorted(pure, key=lambda cue: (-len(pure[cue]), -len(cue), cue))
-    while left and ordered:
-        gains = [(len(pure[cue] & left), cue) for cue in ordered[:400]]
-        gain, best = max(gains, key=lambda g: (g[0], len(g[1])))
-        if gain < LEAST_TEXTS:
-            ordered = [cue for cue in ordered[400:] if len(pure[cue] & left) >= LEAST_TEXTS]
+    heap = [(-len(held), -len(cue), cue) for cue, held in pure.items()]
+    heapq.heapify(heap)
+    while heap:  # gains only shrink, so a cue whose gain still holds is the best
+        gain, size, cue = heapq.heappop(heap)
+        now = len(pure[cue] & left)
+        if now < LEAST_TEXTS:
             continue
-        chosen.add(best)
-        left -= pure[best]
-        ordered = [cue for cue in ordered if cue != best]
+        if now < -gain:
+            heapq.heappush(heap, (-now, size, cue))
+            continue
+        chosen.add(cue)
+        left -= pure[cue]
     return chosen
 
 
-def marginal_odds(score: np.ndarray, starts: np.ndarray, lengths: np.ndarray, move: np.ndarray) -> np.ndarray:
-    """Forward-backward odds of the toxic tag at every token of many chains.
+def messages(score: np.ndarray, starts: np.ndarray, lengths: np.ndarray,
+             move: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Exponential scores and forward and backward messages at every token of many chains.
 
-    With two tags a message is one ratio, so a step handles all chains that are long enough at
+    With two tags a message is one ratio, toxic to clean, so a step handles all chains that are long enough at
     once; ``score`` is the toxic tag's advantage at each token and ``move`` the exponential transition table.
     """
     order = np.argsort(-lengths, kind="stable")
@@ -105,14 +111,47 @@ def marginal_odds(score: np.ndarray, starts: np.ndarray, lengths: np.ndarray, mo
             weight = push[at + 1] * message[:k]
             message = (move[1, 0] + move[1, 1] * weight) / (move[0, 0] + move[0, 1] * weight)
         back[at] = message
+    return push, ahead, back
+
+
+def marginal_odds(score: np.ndarray, starts: np.ndarray, lengths: np.ndarray, move: np.ndarray) -> np.ndarray:
+    """Forward-backward odds of the toxic tag at every token."""
+    _, ahead, back = messages(score, starts, lengths, move)
     return ahead * back
 
 
+def with_edges(score: np.ndarray, starts: np.ndarray, lengths: np.ndarray, edges: np.ndarray) -> np.ndarray:
+    """Scores with the weights of a toxic first and a toxic last token added, for chains that have tokens."""
+    score = score.copy()
+    score[starts[lengths > 0]] += edges[0]
+    score[(starts + lengths - 1)[lengths > 0]] += edges[1]
+    return score
+
+
+def slopes(score: np.ndarray, gold: np.ndarray, starts: np.ndarray, lengths: np.ndarray,
+           move: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Gradient of the chains' log-likelihood: by the score of each token, and by the log transitions.
+
+    Each is what the tags ``gold`` hold less what the field expects, token by token and pair by pair.
+    """
+    push, ahead, back = messages(score, starts, lengths, move)
+    odds = ahead * back
+    inner = np.ones(len(score), bool)
+    inner[starts[lengths > 0]] = False
+    after = np.flatnonzero(inner)
+    come, go = ahead[after - 1], push[after] * back[after]
+    pairs = [[move[0, 0] * np.ones(len(after)), move[0, 1] * go], [move[1, 0] * come, move[1, 1] * come * go]]
+    whole = sum(map(sum, pairs))
+    expected = np.array([[(one / whole).sum() for one in row] for row in pairs])
+    held = np.bincount((2 * gold[after - 1] + gold[after]).astype(int), minlength=4).reshape(2, 2)
+    return gold - odds / (1 + odds), held - expected
+
+
 class Tagger:
-    """The fitted field: weights, transitions, and how marginals make a document score."""
+    """The fitted field: weights, transitions, edges, and how marginals make a document score."""
 
-    def __init__(self, weights: np.ndarray, move: np.ndarray, blend: np.ndarray):
-        self.weights, self.move, self.blend = weights, move, blend
+    def __init__(self, weights: np.ndarray, move: np.ndarray, edges: np.ndarray, blend: np.ndarray):
+        self.weights, self.move, self.edges, self.blend = weights, move, edges, blend
         self.known: dict[str, float] = {}
 
     def push(self, token: str) -> float:
@@ -132,7 +171,8 @@ class Tagger:
             chains.append(np.array([p if (p := got(token)) is not None else self.push(token) for token in tokens]))
         lengths = np.array([len(c) for c in chains], np.int64)
         starts = np.cumsum(lengths) - lengths
-        odds = marginal_odds(np.concatenate(chains) if len(chains) else np.empty(0), starts, lengths, np.exp(self.move))
+        score = with_edges(np.concatenate(chains) if len(chains) else np.empty(0), starts, lengths, self.edges)
+        odds = marginal_odds(score, starts, lengths, np.exp(self.move))
         share = odds / (1 + odds)
         return [share[a:a + n] for a, n in zip(starts, lengths)]
 
@@ -149,7 +189,8 @@ def summary(marginals: np.ndarray) -> np.ndarray:
 
 
 def fit_field(texts: list[str], labels: np.ndarray, prevalence: float) -> Tagger:
-    """Fit on labelled texts: tag tokens by cues, then gradient steps on the chain likelihood."""
+    """Fit on labelled texts: tag tokens by cues, then gradient steps on the chain likelihood, in
+    which word weights, transitions and edges all take part."""
     one: dict[str, str] = {}  # equal words are one object, however often they occur
     tokens = [[one.setdefault(name, name) for name in map(word, text.split())] for text in texts]
     found = toxic_cues([set(names) for names in tokens], labels)
@@ -162,15 +203,13 @@ def fit_field(texts: list[str], labels: np.ndarray, prevalence: float) -> Tagger
     table = np.array([features(name) for name in number])
     hit = np.array([any(cue in found for cue in cues(name)) for name in number])
     gold = (hit[flat] & (np.repeat(labels[used], lengths) == 1)).astype(np.float64)
-    begins = np.zeros(len(flat), bool)
-    begins[starts] = True
-    moved = np.bincount((2 * gold[:-1] + gold[1:])[~begins[1:]].astype(int), minlength=4).reshape(2, 2) + 1.0
-    move = np.log(moved / moved.sum(axis=1, keepdims=True))
     weights, grown = np.zeros(WEIGHTS + 2), np.full(WEIGHTS + 2, 1e-6)
+    chain, chain_grown = np.zeros(6), np.full(6, 1e-6)  # four transitions, two edges
     for _ in range(EPOCHS):
         per_word = weights[table].sum(axis=1) + weights[WEIGHTS + 1]
-        odds = marginal_odds(per_word[flat], starts, lengths, np.exp(move))
-        miss = np.bincount(flat, gold - odds / (1 + odds), len(number))
+        score = with_edges(per_word[flat], starts, lengths, chain[4:])
+        miss_at, moved = slopes(score, gold, starts, lengths, np.exp(chain[:4].reshape(2, 2)))
+        miss = np.bincount(flat, miss_at, len(number))
         step = np.bincount(table.ravel(), np.repeat(miss, table.shape[1]), WEIGHTS + 2) / len(used)
         step[WEIGHTS + 1] = miss.sum() / len(used)
         step[WEIGHTS] = 0
@@ -178,7 +217,11 @@ def fit_field(texts: list[str], labels: np.ndarray, prevalence: float) -> Tagger
         grown += step ** 2
         weights += RATE * step / np.sqrt(grown)
         weights[WEIGHTS] = 0
-    tagger = Tagger(weights, move, np.zeros(3))
+        edge = [miss_at[starts].sum(), miss_at[starts + lengths - 1].sum()]
+        step = np.concatenate([moved.ravel(), edge]) / len(used) - L2 * chain
+        chain_grown += step ** 2
+        chain += RATE * step / np.sqrt(chain_grown)
+    tagger = Tagger(weights, chain[:4].reshape(2, 2), chain[4:], np.zeros(3))
     marginals = tagger.tag(texts)
     at = np.array([summary(m) for m in marginals])
     share = labels.mean()
@@ -197,8 +240,9 @@ def fit_field(texts: list[str], labels: np.ndarray, prevalence: float) -> Tagger
 def learn_tagger(docs: DataFrame, labels: DataFrame, sample: dict[int, int] | None = None) -> Tagger | float:
     """A tagger from ``labels(doc_id, label)``, or the share of label 1 if a class has no example.
 
-    The share is counted over all labels; the field is fitted on at most ``sample`` documents a class,
-    different texts, picked by hash.
+    The share is counted over all labels; the field is fitted on at most ``sample`` documents and ``SAMPLE_BYTES``
+    of text a class, different texts, picked by hash. Of rows that repeat a doc_id the one of the shortest text
+    teaches, so a doc_id that fills much of the table reaches the driver once.
     """
     sample = sample or SAMPLE
     known = labels.where("label IN (0, 1)").select(F.col("doc_id").cast("long"), F.col("label").cast("int"))
@@ -207,10 +251,19 @@ def learn_tagger(docs: DataFrame, labels: DataFrame, sample: dict[int, int] | No
     prevalence = counts.get(1, 0) / total if total else 0.0
     if len(counts) < 2:
         return prevalence
-    hashed = known.withColumn("pick", F.xxhash64("doc_id", F.lit("toxicity")))
+    hashed = known.distinct().withColumn("pick", F.xxhash64("doc_id", F.lit("toxicity")))
     tops = [hashed.where(F.col("label") == label).orderBy("pick").limit(most) for label, most in sample.items()]
     picked = reduce(DataFrame.unionByName, tops)
-    rows = documents_only(docs).where("text IS NOT NULL").join(F.broadcast(picked), "doc_id").select("text", "label")
+    held = documents_only(docs).where("text IS NOT NULL").withColumn("code", F.xxhash64("text"))
+    sizes = held.join(F.broadcast(picked), "doc_id").groupBy("doc_id", "label", "pick").agg(
+        F.min(F.struct(F.octet_length("text").alias("size"), "code")).alias("least")).select("doc_id", "label", "pick", "least.*")
+    chosen, taken = [], {0: 0, 1: 0}
+    for row in sorted(sizes.collect(), key=lambda r: (r["pick"], r["doc_id"], r["label"])):
+        if taken[row["label"]] + row["size"] <= SAMPLE_BYTES:
+            taken[row["label"]] += row["size"]
+            chosen.append((row["doc_id"], row["code"], row["label"]))
+    wanted = docs.sparkSession.createDataFrame(chosen, "doc_id long, code long, label int")
+    rows = held.join(F.broadcast(wanted), ["doc_id", "code"]).dropDuplicates(["doc_id", "label"]).select("text", "label")
     different: dict[str, int] = {}
     for row in rows.collect():
         different[row["text"]] = max(row["label"], different.get(row["text"], 0))

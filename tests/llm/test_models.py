@@ -1,5 +1,6 @@
 """Language ID, language model, toxicity and quality on small made-up corpora."""
 
+import itertools
 import math
 import random
 import zlib
@@ -63,7 +64,6 @@ def test_distance_is_the_out_of_place_sum():
 def test_language_model_counts_exactly_and_learns_context(docs, monkeypatch):
     monkeypatch.setattr(lm, "HEAD", 30)
     monkeypatch.setattr(lm, "MODEL_WORDS", 20)
-    monkeypatch.setattr(lm, "POSITIONS", 0.9)
     rng = random.Random(2)
     chain = {0: "a b c d", 1: "e f g h"}
     texts = [" ".join((chain[i % 2] + f" r{rng.randrange(40)}") for _ in range(40)) for i in range(120)]
@@ -162,6 +162,58 @@ def test_marginals_equal_enumeration():
         assert np.allclose(odds[start:start + n], weight[:, 1] / weight[:, 0])
 
 
+def test_slopes_equal_finite_differences_of_the_likelihood():
+    rng = np.random.default_rng(5)
+    lengths = np.array([4, 1, 0, 6])
+    starts = np.cumsum(lengths) - lengths
+    score, gold = rng.normal(size=11), rng.integers(0, 2, 11).astype(float)
+    log_move, edges = rng.normal(size=(2, 2)), rng.normal(size=2)
+
+    def likelihood(score, log_move, edges):
+        total = 0.0
+        for start, n in zip(starts, lengths):
+            if not n:
+                continue
+            def path(tags):
+                own = sum(t * score[start + i] for i, t in enumerate(tags)) + tags[0] * edges[0] + tags[-1] * edges[1]
+                return own + sum(log_move[a, b] for a, b in zip(tags, tags[1:]))
+            every = [path(tags) for tags in itertools.product([0, 1], repeat=int(n))]
+            total += path([int(g) for g in gold[start:start + n]]) - np.log(np.exp(every).sum())
+        return total
+
+    by_token, by_move = toxicity.slopes(
+        toxicity.with_edges(score, starts, lengths, edges), gold, starts, lengths, np.exp(log_move))
+    some = lengths > 0
+    by_edge = [by_token[starts[some]].sum(), by_token[(starts + lengths - 1)[some]].sum()]
+    h = 1e-6
+    for values, got in ((score, by_token), (log_move, by_move), (edges, by_edge)):
+        for at in np.ndindex(values.shape):
+            kept = values[at]
+            values[at] = kept + h
+            more = likelihood(score, log_move, edges)
+            values[at] = kept - h
+            less = likelihood(score, log_move, edges)
+            values[at] = kept
+            assert abs((more - less) / (2 * h) - np.asarray(got)[at]) < 1e-6
+
+
+def test_cues_beyond_the_first_hundreds_are_weighed():
+    texts = [{f"bad{i:03d}x"} for i in range(600) for _ in range(3)] + [{"fine"}] * 1800
+    labels = np.array([1] * 1800 + [0] * 1800)
+    found = toxicity.toxic_cues(texts, labels)
+    assert all(any(cue in found for cue in toxicity.cues(f"bad{i:03d}x")) for i in range(600))
+
+
+def test_a_doc_id_in_very_many_rows_teaches_once(docs, spark):
+    texts = ["you vile thing"] * 3 + ["a fine day"] * 3
+    rows = docs(texts)
+    many = rows.unionByName(spark.range(500).select(F.lit(0).cast("long").alias("doc_id"), F.lit("you vile thing again").alias("text")))
+    labels = spark.createDataFrame([(i, int(i < 3)) for i in range(6)] * 4, "doc_id long, label int")
+    model = toxicity.learn_tagger(many.select("doc_id", "text"), labels)
+    got = {r["doc_id"]: r["score"] for r in toxicity.score_toxicity(rows, model).collect()}
+    assert min(got[i] for i in range(3)) > max(got[i] for i in range(3, 6))
+
+
 def test_quality_is_learned_from_statistics(docs, spark):
     rng = random.Random(8)
     good = [" ".join(f"word{rng.randrange(300)}" for _ in range(rng.randrange(20, 200))) + "." for _ in range(150)]
