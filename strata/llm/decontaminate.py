@@ -12,6 +12,7 @@ from collections import defaultdict
 
 import numpy as np
 import pyarrow as pa
+from numpy.lib.stride_tricks import sliding_window_view
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -20,7 +21,7 @@ from strata.llm.common import lists, slices
 
 WINDOW = 10
 #: Benchmark text compiled and broadcast at a time; a larger benchmark is searched in several blocks.
-BLOCK_BYTES = 32_000_000
+BLOCK_BYTES = 8_000_000
 #: Positions that one lane of the search covers, and rows of the shift table.
 LANE, TABLE = 192, 1 << 18
 
@@ -41,31 +42,40 @@ def words_of(text: str | None) -> list[bytes]:
 
 
 class WindowTable:
-    """Wu-Manber tables over word numbers for patterns of one length.
+    """Wu-Manber tables over word numbers for different patterns of one length.
 
     A block is the last two words of a window (one word for patterns of one word). The shift table says
     how far the window may move without missing a pattern that holds the block; where
-    it says zero, the suffix bucket of the block lists the patterns to compare.
+    it says zero, the suffix bucket of the block lists the patterns to compare. A bucket is sorted
+    by a hash of whole windows, so that one in which very many patterns end alike offers few of them.
     """
 
     def __init__(self, patterns: np.ndarray):
-        self.patterns = patterns
         self.length = patterns.shape[1]
         self.block = min(2, self.length)
         self.shift = np.full(TABLE, self.length - self.block + 1, np.int32)
-        for end in range(self.block - 1, self.length):
-            np.minimum.at(self.shift, self.slot(patterns, np.full(len(patterns), end), rows=True), self.length - 1 - end)
-        last = self.slot(patterns, np.full(len(patterns), self.length - 1), rows=True)
-        self.order = np.argsort(last, kind="stable")
-        self.first = np.searchsorted(last[self.order], np.arange(TABLE + 1))
-
-    def slot(self, ids: np.ndarray, end: np.ndarray, rows: bool = False) -> np.ndarray:
-        pick = (lambda at: ids[np.arange(len(ids)), at]) if rows else (lambda at: ids[at])
-        mixed = pick(end).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+        ids = patterns.reshape(-1)
+        last = np.arange(len(patterns)) * self.length + self.length - 1
+        for back in range(self.length - self.block + 1):
+            np.minimum.at(self.shift, self.slot(ids, last - back), back)
+        keys = self.key(ids, last)
+        self.order = np.argsort(keys, kind="stable").astype(np.int32)
+        self.keys, self.patterns = keys[self.order], patterns
+
+    def slot(self, ids: np.ndarray, end: np.ndarray) -> np.ndarray:
+        mixed = ids[end].astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
         if self.block == 2:
-            mixed ^= (pick(end - 1).astype(np.uint64) + np.uint64(1)) * np.uint64(0xC2B2AE3D27D4EB4F)
+            mixed ^= (ids[end - 1].astype(np.uint64) + np.uint64(1)) * np.uint64(0xC2B2AE3D27D4EB4F)
         return (mixed >> np.uint64(40)).astype(np.int64) & (TABLE - 1)
 
+    def key(self, ids: np.ndarray, end: np.ndarray) -> np.ndarray:
+        """Suffix bucket, then a hash of the whole window, of windows that end at ``end``."""
+        mixed = np.zeros(len(end), np.uint64)
+        for back in range(self.length):
+            mixed = (mixed ^ ids[end - back].astype(np.uint64)) * np.uint64(0x9E3779B97F4A7C15)
+            mixed ^= mixed >> np.uint64(29)
+        return self.slot(ids, end).astype(np.uint64) << np.uint64(46) | mixed >> np.uint64(18)
+
     def search(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(last position, pattern) of every occurrence in ``ids``."""
         starts = np.arange(self.length - 1, len(ids), LANE)
@@ -83,11 +93,12 @@ class WindowTable:
         return tuple(np.concatenate(part) for part in zip(*hits)) if hits else (stops, stops)
 
     def confirm(self, ids: np.ndarray, stops: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        slots = self.slot(ids, stops)
-        sizes = self.first[slots + 1] - self.first[slots]
+        keys = self.key(ids, stops)
+        first = np.searchsorted(self.keys, keys)
+        sizes = np.searchsorted(self.keys, keys, side="right") - first
         held = np.cumsum(sizes) - sizes
         at = np.repeat(stops, sizes)
-        pattern = self.order[np.arange(len(at)) - np.repeat(held, sizes) + np.repeat(self.first[slots], sizes)]
+        pattern = self.order[np.arange(len(at)) - np.repeat(held, sizes) + np.repeat(first, sizes)]
         for back in range(self.length):
             same = ids[at - back] == self.patterns[pattern, self.length - 1 - back]
             at, pattern = at[same], pattern[same]
@@ -99,14 +110,22 @@ class Matcher:
 
     def __init__(self, items: list[tuple[str | None, str | None]], window: int = WINDOW):
         self.number: dict[bytes, int] = {}
-        owners: dict[int, dict[tuple, set]] = defaultdict(lambda: defaultdict(set))
+        self.names = sorted({item or "" for item, _ in items})
+        place = {name: i for i, name in enumerate(self.names)}
+        windows, owners = defaultdict(list), defaultdict(list)
         for item, text in items:
-            ids = [self.number.setdefault(word, len(self.number) + 1) for word in words_of(text)]
-            size = min(window, len(ids))
-            for i in range(len(ids) - size + 1 if size else 0):
-                owners[size][tuple(ids[i:i + size])].add(item or "")
-        self.tables = [WindowTable(np.array(list(found), np.int32)) for found in owners.values()]
-        self.items = [[sorted(held) for held in found.values()] for found in owners.values()]
+            ids = np.array([self.number.setdefault(word, len(self.number) + 1) for word in words_of(text)], np.int32)
+            if size := min(window, len(ids)):
+                windows[size].append(sliding_window_view(ids, size))
+                owners[size].append(np.full(len(ids) - size + 1, place[item or ""], np.int32))
+        self.tables, self.owners = [], []
+        for size, found in windows.items():
+            rows = np.ascontiguousarray(np.concatenate(found)).view(np.dtype((np.void, 4 * size))).reshape(-1)
+            different, which = np.unique(rows, return_inverse=True)
+            pairs = np.unique(which.astype(np.int64) * len(self.names) + np.concatenate(owners[size]))
+            first = np.searchsorted(pairs, np.arange(len(different) + 1) * len(self.names))
+            self.tables.append(WindowTable(different.view(np.int32).reshape(-1, size)))
+            self.owners.append((first, (pairs % len(self.names)).astype(np.int32)))
 
     def scan(self, texts: list[str | None]) -> list[tuple[int, list[tuple[int, int]], set[str]]]:
         """Per text: number of words, hit stretches as (start, end), items found."""
@@ -121,19 +140,19 @@ class Matcher:
             ids.append(0)
         flat, begin = np.array(ids, np.int32), np.array(starts)
         edges, named = np.zeros(len(flat) + 1, np.int32), defaultdict(set)
-        for table, items in zip(self.tables, self.items):
+        for table, (first, owner) in zip(self.tables, self.owners):
             last, pattern = table.search(flat)
             np.add.at(edges, last - table.length + 1, 1)
             np.add.at(edges, last + 1, -1)
             document = np.searchsorted(begin, last, side="right") - 1
             for doc, which in np.unique(np.stack([document, pattern]), axis=1).T.tolist():
-                named[doc].update(items[which])
+                named[doc].update(owner[first[which]:first[which + 1]].tolist())
         hit = np.flatnonzero(np.diff(np.concatenate([[0], np.cumsum(edges[:-1]) > 0, [0]]).astype(np.int8)))
         spans: dict[int, list] = defaultdict(list)
         for start, end in hit.reshape(-1, 2).tolist():
             doc = int(np.searchsorted(begin, start, side="right")) - 1
             spans[doc].append((start - starts[doc], end - starts[doc]))
-        return [(counts[i], spans.get(i, []), named.get(i, set())) for i in range(len(texts))]
+        return [(counts[i], spans.get(i, []), {self.names[k] for k in named.get(i, ())}) for i in range(len(texts))]
 
 
 def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -155,7 +174,7 @@ def find_contamination(docs: DataFrame, items: DataFrame, window: int = WINDOW,
     rows, so documents are never shuffled.
     """
     spark = docs.sparkSession
-    items = items.select(F.col("item_id").cast("string").alias("item"), "text")
+    items = items.select(F.col("item_id").cast("string").alias("item"), "text").distinct()
     measured = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     blocks = max(1, -(-measured // block_bytes))
     kept = [name for name in docs.columns if name.lower() not in {f.name for f in RESULT}]

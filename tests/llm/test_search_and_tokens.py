@@ -1,6 +1,7 @@
 """Decontamination, packing and the token store against brute force."""
 
 import random
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -54,6 +55,31 @@ def ids_of(text):
     return np.array([*(TOKENIZER.encode(text, add_special_tokens=False).ids if text else []), 0], "<u4")
 
 
+def test_many_items_that_end_alike_need_little_memory():
+    rng = random.Random(8)
+    items = [(f"i{k}", " ".join(f"v{rng.randrange(5000)}" for _ in range(8)) + " the end") for k in range(4000)]
+    texts = ["so it is the end " * 20_000, f"well {items[7][1]} {items[9][1]}"]
+    matcher = decontaminate.Matcher(items)
+    tracemalloc.start()
+    found = matcher.scan(texts)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert found[0][2] == set() and found[1][2] == {"i7", "i9"} and found[1][1] == [(1, 21)]
+    assert peak < 60_000_000
+
+
+def test_compiling_a_benchmark_needs_memory_in_proportion():
+    rng = random.Random(9)
+    items = [(f"i{k}", " ".join(f"v{rng.randrange(3000)}" for _ in range(400))) for k in range(500)]
+    tracemalloc.start()
+    given = [*items, *items]
+    matcher = decontaminate.Matcher(given)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 40 * sum(len(text) for _, text in given)
+    assert [hit for _, _, hit in matcher.scan([items[3][1], "nothing"])] == [{"i3"}, set()]
+
+
 def test_encoder_equals_the_library():
     rng = random.Random(1)
     texts = ["".join(rng.choices(PARTS, k=rng.randrange(0, 40))) for _ in range(3000)] + EDGE_TEXTS
