@@ -30,6 +30,8 @@ WEIGHTS = 1 << 18
 #: A cue must be this many times likelier in toxic texts and explain this many texts that no other cue does.
 PURITY, LEAST_TEXTS = 25.0, 3
 EPOCHS, RATE, L2 = 60, 0.5, 1e-4
+#: Tokens whose gradient is worked out together while fitting, but for a longer text.
+GROUP_TOKENS = 200_000
 _CACHE = 400_000
 _NOT_LETTER = re.compile(r"[\W\d_]+")
 
@@ -56,17 +58,20 @@ def features(name: str) -> list[int]:
     return [crc32(f.encode()) % WEIGHTS for f in named] + [WEIGHTS] * (6 - len(named))
 
 
-def toxic_cues(texts: list[set[str]], labels: np.ndarray) -> set[str]:
-    """Cues that tell toxic texts: among pure ones, always the one that explains most texts still unexplained."""
+def toxic_cues(texts: list, labels: np.ndarray) -> set[str]:
+    """Cues that tell toxic texts, given as their words: among pure ones, always the one that explains most texts still unexplained."""
     counts = (Counter(), Counter())
-    for held, label in zip(texts, labels):
-        counts[int(label)].update({c for name in held for c in cues(name)})
+    for i in np.flatnonzero(labels):
+        counts[1].update({c for name in set(texts[i]) for c in cues(name)})
+    able = {cue for cue, n in counts[1].items() if n >= LEAST_TEXTS}
+    for i in np.flatnonzero(1 - labels):
+        counts[0].update({c for name in set(texts[i]) for c in cues(name) if c in able})
     n_toxic, n_clean = int(labels.sum()), int((1 - labels).sum())
     pure: dict[str, set[int]] = {
         cue: set() for cue, n in counts[1].items()
-        if n >= LEAST_TEXTS and (n + 0.5) / (n_toxic + 1) >= PURITY * (counts[0][cue] + 0.5) / (n_clean + 1)}
+        if cue in able and (n + 0.5) / (n_toxic + 1) >= PURITY * (counts[0][cue] + 0.5) / (n_clean + 1)}
     for i in np.flatnonzero(labels):
-        for cue in {c for name in texts[i] for c in cues(name)}:
+        for cue in {c for name in set(texts[i]) for c in cues(name)}:
             if cue in pure:
                 pure[cue].add(int(i))
     chosen: set[str] = set()
@@ -143,7 +148,7 @@ def slopes(score: np.ndarray, gold: np.ndarray, starts: np.ndarray, lengths: np.
     pairs = [[move[0, 0] * np.ones(len(after)), move[0, 1] * go], [move[1, 0] * come, move[1, 1] * come * go]]
     whole = sum(map(sum, pairs))
     expected = np.array([[(one / whole).sum() for one in row] for row in pairs])
-    held = np.bincount((2 * gold[after - 1] + gold[after]).astype(int), minlength=4).reshape(2, 2)
+    held = np.bincount(2 * gold[after - 1].astype(int) + gold[after].astype(int), minlength=4).reshape(2, 2)
     return gold - odds / (1 + odds), held - expected
 
 
@@ -193,37 +198,45 @@ def fit_field(texts: list[str], labels: np.ndarray, prevalence: float) -> Tagger
     which word weights, transitions and edges all take part."""
     one: dict[str, str] = {}  # equal words are one object, however often they occur
     tokens = [[one.setdefault(name, name) for name in map(word, text.split())] for text in texts]
-    found = toxic_cues([set(names) for names in tokens], labels)
+    found = toxic_cues(tokens, labels)
     number: dict[str, int] = {}
-    chains = [np.array([number.setdefault(name, len(number)) for name in names], np.int64) for names in tokens]
-    used = [i for i, chain in enumerate(chains) if len(chain)]
-    flat = np.concatenate([chains[i] for i in used])
-    lengths = np.array([len(chains[i]) for i in used], np.int64)
-    starts = np.cumsum(lengths) - lengths
-    table = np.array([features(name) for name in number])
-    hit = np.array([any(cue in found for cue in cues(name)) for name in number])
-    gold = (hit[flat] & (np.repeat(labels[used], lengths) == 1)).astype(np.float64)
+    chains = [np.array([number.setdefault(name, len(number)) for name in names], np.int32) for names in tokens]
+    del tokens, one
+    table = np.fromiter((f for name in number for f in features(name)), np.int32).reshape(-1, 6)
+    hit = np.array([any(cue in found for cue in cues(name)) for name in number], bool)
+    used = sorted((i for i, chain in enumerate(chains) if len(chain)), key=lambda i: len(chains[i]))
+    groups, at = [], 0  # chains of similar length together, so that a step works on few tokens at a time
+    while at < len(used):
+        size = int(np.searchsorted(np.cumsum([len(chains[i]) for i in used[at:]]), GROUP_TOKENS, side="right"))
+        picked = used[at:at + max(size, 1)]
+        lengths = np.array([len(chains[i]) for i in picked], np.int64)
+        flat = np.concatenate([chains[i] for i in picked])
+        groups.append((flat, hit[flat] & (np.repeat(labels[picked], lengths) == 1), np.cumsum(lengths) - lengths, lengths))
+        at += len(picked)
+    del chains
     weights, grown = np.zeros(WEIGHTS + 2), np.full(WEIGHTS + 2, 1e-6)
     chain, chain_grown = np.zeros(6), np.full(6, 1e-6)  # four transitions, two edges
     for _ in range(EPOCHS):
         per_word = weights[table].sum(axis=1) + weights[WEIGHTS + 1]
-        score = with_edges(per_word[flat], starts, lengths, chain[4:])
-        miss_at, moved = slopes(score, gold, starts, lengths, np.exp(chain[:4].reshape(2, 2)))
-        miss = np.bincount(flat, miss_at, len(number))
-        step = np.bincount(table.ravel(), np.repeat(miss, table.shape[1]), WEIGHTS + 2) / len(used)
-        step[WEIGHTS + 1] = miss.sum() / len(used)
+        miss, moved, edge = np.zeros(len(number)), np.zeros((2, 2)), np.zeros(2)
+        for flat, gold, starts, lengths in groups:
+            score = with_edges(per_word[flat], starts, lengths, chain[4:])
+            miss_at, pairs = slopes(score, gold, starts, lengths, np.exp(chain[:4].reshape(2, 2)))
+            miss += np.bincount(flat, miss_at, len(number))
+            moved += pairs
+            edge += [miss_at[starts].sum(), miss_at[starts + lengths - 1].sum()]
+        step = np.bincount(table.ravel(), np.repeat(miss, table.shape[1]), WEIGHTS + 2) / max(len(used), 1)
+        step[WEIGHTS + 1] = miss.sum() / max(len(used), 1)
         step[WEIGHTS] = 0
         step -= L2 * weights
         grown += step ** 2
         weights += RATE * step / np.sqrt(grown)
         weights[WEIGHTS] = 0
-        edge = [miss_at[starts].sum(), miss_at[starts + lengths - 1].sum()]
-        step = np.concatenate([moved.ravel(), edge]) / len(used) - L2 * chain
+        step = np.concatenate([moved.ravel(), edge]) / max(len(used), 1) - L2 * chain
         chain_grown += step ** 2
         chain += RATE * step / np.sqrt(chain_grown)
     tagger = Tagger(weights, chain[:4].reshape(2, 2), chain[4:], np.zeros(3))
-    marginals = tagger.tag(texts)
-    at = np.array([summary(m) for m in marginals])
+    at = np.array([summary(m) for i in range(0, len(texts), 200) for m in tagger.tag(texts[i:i + 200])])
     share = labels.mean()
     weight = np.where(labels == 1, prevalence / share, (1 - prevalence) / (1 - share))
     blend = np.zeros(3)

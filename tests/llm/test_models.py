@@ -204,6 +204,12 @@ def test_cues_beyond_the_first_hundreds_are_weighed():
     assert all(any(cue in found for cue in toxicity.cues(f"bad{i:03d}x")) for i in range(600))
 
 
+def test_labelled_texts_without_words_give_a_score(docs, spark):
+    labels = spark.createDataFrame([(0, 0), (1, 1)], "doc_id long, label int")
+    model = toxicity.learn_tagger(docs([" ", ""]), labels)
+    assert all(0 <= r["score"] <= 1 for r in toxicity.score_toxicity(docs([" ", "", "a b"]), model).collect())
+
+
 def test_a_doc_id_in_very_many_rows_teaches_once(docs, spark):
     texts = ["you vile thing"] * 3 + ["a fine day"] * 3
     rows = docs(texts)
