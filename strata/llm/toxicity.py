@@ -31,7 +31,7 @@ WEIGHTS = 1 << 18
 PURITY, LEAST_TEXTS = 25.0, 3
 EPOCHS, RATE, L2 = 60, 0.5, 1e-4
 #: Tokens whose gradient is worked out together while fitting, but for a longer text.
-GROUP_TOKENS = 200_000
+GROUP_TOKENS = 600_000
 _CACHE = 400_000
 _NOT_LETTER = re.compile(r"[\W\d_]+")
 
