@@ -30,11 +30,9 @@ SHINGLE, PERCENT = 5, 80
 BUCKETS, BROADCAST_LINES = 1 << 17, 400_000
 _WHITE = " \t\x0b\f\r"
 _BITS = (1 << 56) - 1
-
-
-def bind(value: Column, use) -> Column:
-    """``use(value)`` with the value computed once, also where ``use`` is evaluated for each element."""
-    return F.transform(F.array(value), use)[0]
+#: Bits for a line's size and a token's place in it, beside 31 for the line's number. Larger ones meet no filter before they are verified.
+_N_BITS, _AT_BITS = 18, 14
+_MOST_N, _MOST_AT = (1 << _N_BITS) - 1, (1 << _AT_BITS) - 1
 
 
 def lines_of(docs: DataFrame) -> DataFrame:
@@ -51,17 +49,39 @@ def has_words(line: Column) -> Column:
 def words_of(line: str) -> Column:
     """Words of a line; one without other white space than single blanks between words is cut the short way."""
     text = F.col(line)
-    odd = text.rlike(r"[\t\x0B\f\r]|  ") | text.startswith(" ") | text.endswith(" ")
+    odd = text.contains("  ") | text.startswith(" ") | text.endswith(" ") | text.rlike(r"[\t\x0B\f\r]")
     slow = F.split(F.btrim(text, F.lit(_WHITE)), r"[ \t\x0B\f\r]+")
     return F.when(odd, slow).otherwise(F.split(text, " "))
 
 
-def token_numbers(line: str) -> Column:
-    """Numbers of all tokens of a line, repeated ones included."""
-    hashes = F.transform(words_of(line), lambda word: F.xxhash64(word))
-    return bind(hashes, lambda h: F.transform(
-        F.slice(h, F.lit(1), F.greatest(F.size(h) - SHINGLE + 1, F.lit(1))),
-        lambda first, i: F.xxhash64(first, *[F.get(h, i + k) for k in range(1, SHINGLE)])))
+def word_hashes(words: Column) -> Column:
+    return F.transform(words, lambda word: F.xxhash64(word))
+
+
+def token_at(hashes: Column, first: Column, i: Column) -> Column:
+    """Number of the token whose first word is the ``i``-th; words that are not there change no number."""
+    return F.xxhash64(first, *[F.get(hashes, i + k) for k in range(1, SHINGLE)])
+
+
+def first_words(hashes: str) -> Column:
+    """Hashes of the words at which a token begins."""
+    h = F.col(hashes)
+    return F.slice(h, F.lit(1), F.greatest(F.size(h) - SHINGLE + 1, F.lit(1)))
+
+
+def token_rows(lines: DataFrame) -> DataFrame:
+    """A row ``token`` for every token of every line, repeated ones included: no array of them is made.
+
+    What is exploded is an expression: of a plain column Spark would first ask the size, and so hash all words twice.
+    """
+    hashed = lines.select(word_hashes(words_of("line")).alias("hashes"))
+    runs = hashed.select("hashes", F.posexplode(first_words("hashes")).alias("i", "first"))
+    return runs.select(token_at(F.col("hashes"), F.col("first"), F.col("i")).alias("token"))
+
+
+def token_numbers(hashes: str) -> Column:
+    """The same numbers as an array, given the hashes of a line's words."""
+    return F.transform(first_words(hashes), lambda first, i: token_at(F.col(hashes), first, i))
 
 
 def rarity_levels(lines: DataFrame) -> list[int]:
@@ -71,7 +91,7 @@ def rarity_levels(lines: DataFrame) -> list[int]:
     goes unnoticed grows with the square root of the corpus only.
     """
     counts = [0] * BUCKETS
-    counted = lines.select(F.explode(token_numbers("line")).alias("token")).groupBy(
+    counted = token_rows(lines).groupBy(
         F.col("token").bitwiseAND(F.lit(BUCKETS - 1)).alias("bucket")).count()
     for row in counted.collect():
         counts[row["bucket"]] = row["count"]
@@ -80,24 +100,44 @@ def rarity_levels(lines: DataFrame) -> list[int]:
     return [min(127, int(1 + 4 * math.log2(count / noise))) if count > noise else 0 for count in counts]
 
 
-def ordered_tokens(line: str, levels: list[int]) -> Column:
-    """The different tokens of a line as numbers that sort rarest first."""
-    table = F.from_json(F.lit(json.dumps(levels)), "array<tinyint>")
-    level = lambda token: F.get(table, token.bitwiseAND(F.lit(BUCKETS - 1)).cast("int")).cast("long")
-    keys = F.transform(token_numbers(line), lambda token: F.shiftleft(level(token), 56).bitwiseOR(
-        token.bitwiseAND(F.lit(_BITS))))
+def ordered_tokens(hashes: str, levels: list[int]) -> Column:
+    """The different tokens of a line, given its words' hashes, as numbers that sort rarest first."""
+    table = F.from_json(F.lit(json.dumps([level << 56 for level in levels])), "array<bigint>")
+    level = lambda token: F.get(table, token.bitwiseAND(F.lit(BUCKETS - 1)).cast("int"))
+    keys = F.transform(token_numbers(hashes), lambda token: F.coalesce(level(token), F.lit(0).cast("long")).bitwiseOR(
+        token.bitwiseAND(F.lit(_BITS))))  # never null, so that they are sorted as plain numbers
     return F.sort_array(F.array_distinct(keys))
 
 
+def measured_lines(lines: DataFrame, levels: list[int]) -> DataFrame:
+    """``(doc_id, line_no, tokens)`` with the ordered tokens of every line."""
+    hashed = lines.select("doc_id", "line_no", word_hashes(words_of("line")).alias("hashes"))
+    return hashed.select("doc_id", "line_no", ordered_tokens("hashes", levels).alias("tokens"))
+
+
+def packed(line_no: str, n: str, at: str) -> Column:
+    """A line's number, number of tokens and place of one of them in one long, in this order; sizes stop at their limits."""
+    limit = lambda name, most: F.least(F.col(name).cast("long"), F.lit(most))
+    return F.shiftleft(F.col(line_no).cast("long"), _N_BITS + _AT_BITS).bitwiseOR(
+        F.shiftleft(limit(n, _MOST_N), _AT_BITS)).bitwiseOR(limit(at, _MOST_AT))
+
+
+def unpacked(place: Column, line_no: str, n: str, at: str) -> list[Column]:
+    return [F.shiftright(place, _N_BITS + _AT_BITS).cast("int").alias(line_no),
+            F.shiftright(place, _AT_BITS).bitwiseAND(F.lit(_MOST_N)).cast("int").alias(n),
+            place.bitwiseAND(F.lit(_MOST_AT)).cast("int").alias(at)]
+
+
 def least_overlap(n: str, m: str, percent: int) -> Column:
     return F.ceil(F.lit(percent) * (F.col(n) + F.col(m)) / (100 + percent))
 
 
 def close_enough(percent: int) -> Column:
-    """Length and position filter for rows (n, at) and (m, place) of one token."""
+    """Length and position filter for rows (n, at) and (m, place) of one token; a size at its limit passes."""
     need = least_overlap("n", "m", percent)
     rest = F.least(F.col("n") - F.col("at"), F.col("m") - F.col("place"))
-    return (F.least("n", "m") >= need) & (rest >= need)
+    unknown = (F.greatest("n", "m") >= _MOST_N) | (F.greatest("at", "place") >= _MOST_AT)
+    return unknown | ((F.least("n", "m") >= need) & (rest >= need))
 
 
 def verified(pairs: DataFrame, docs: DataFrame, levels: list[int], percent: int, label: str) -> DataFrame:
@@ -107,8 +147,7 @@ def verified(pairs: DataFrame, docs: DataFrame, levels: list[int], percent: int,
     wanted = written(wanted, f"{label}-wanted")
     chosen = F.broadcast(wanted) if wanted.count() <= BROADCAST_LINES else wanted
     sets = written(
-        lines_of(docs).join(chosen, late, "left_semi").select(*late, ordered_tokens("line", levels).alias("tokens")),
-        f"{label}-sets")
+        measured_lines(lines_of(docs).join(chosen, late, "left_semi"), levels), f"{label}-sets")
     both = pairs.join(sets, late).join(
         sets.select(*[F.col(n).alias(e) for e, n in zip(early, late)], F.col("tokens").alias("others")), early)
     shared = F.size(F.array_intersect("tokens", "others"))
@@ -120,23 +159,25 @@ def kept_lines(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     docs = documents_only(docs)
     lines = lines_of(docs)
     levels = rarity_levels(lines)
-    measured = lines.select("doc_id", "line_no", ordered_tokens("line", levels).alias("tokens"))
+    measured = measured_lines(lines, levels)
     n = F.size("tokens")
     length = (n - F.ceil(F.lit(percent) * n / 100) + 1).cast("int")
     first = F.min(F.struct("doc_id", "line_no", "n", "prefix")).alias("first")
     different = measured.select(
         F.xxhash64("tokens").alias("a"), F.hash("tokens").alias("b"), "doc_id", "line_no", n.cast("long").alias("n"),
         F.slice("tokens", F.lit(1), length).alias("prefix")).groupBy("a", "b").agg(first).select("first.*")
-    rows = different.select("doc_id", "line_no", "n", F.posexplode("prefix").alias("at", "token"))
-    order = Window.partitionBy("token").orderBy("doc_id", "line_no")
+    rows = different.select("doc_id", "line_no", "n", F.posexplode("prefix").alias("at", "token")).select(
+        "token", "doc_id", packed("line_no", "n", "at").alias("place"))
+    order = Window.partitionBy("token").orderBy("doc_id", "place")
+    upto = order.rowsBetween(Window.unboundedPreceding, 0)  # no struct here: it would be shuffled beside its parts
     rows = rows.select(
-        "token", "doc_id", "line_no", "n", "at",
-        F.first(F.struct("doc_id", "line_no", "n", "at")).over(order.rowsBetween(Window.unboundedPreceding, 0)).alias("c"),
-        F.row_number().over(order).alias("rank"), F.lead("doc_id").over(order).alias("next"))
-    buckets = written(rows.where("at = 0 OR rank > 1 OR next IS NOT NULL").select(
-        "token", "doc_id", "line_no", "n", "at", "rank", F.col("next").isNotNull().alias("more"),
-        F.col("c.doc_id").alias("early_doc"), F.col("c.line_no").alias("early_line"), F.col("c.n").alias("m"),
-        F.col("c.at").alias("place")), "line-buckets")
+        "token", "doc_id", *unpacked(F.col("place"), "line_no", "n", "at"),
+        F.first("doc_id").over(upto).alias("early_doc"), F.first("place").over(upto).alias("early_place"),
+        F.row_number().over(order).alias("rank"), F.lead("doc_id").over(order).isNotNull().alias("more"))
+    met = F.col("more") | (F.col("rank") > 1)
+    buckets = written(rows.where((F.col("at") == 0) | met).select(
+        F.when(met, F.col("token")).alias("token"), "doc_id", "line_no", "n", "at", "rank", "more",
+        "early_doc", *unpacked(F.col("early_place"), "early_line", "m", "place")), "line-buckets")
     pair = ["doc_id", "line_no", "early_doc", "early_line"]
     tried = written(buckets.where((F.col("rank") > 1) & close_enough(percent)).select(*pair).distinct(), "line-star")
     removed = written(verified(tried, docs, levels, percent, "line-star"), "line-removed")
@@ -147,7 +188,7 @@ def kept_lines(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     open_ = shared.where("rank > 2").select("token", "doc_id", "line_no", "n", "at", "rank").join(
         removed, ["doc_id", "line_no"], "left_anti")
     more = open_.join(earlier, "token").where(
-        (F.col("early_rank") < F.col("rank")) & close_enough(percent)).select(*pair).distinct()
+        (F.col("early_rank") < F.col("rank")) & close_enough(percent)).select(*pair).distinct().join(tried, pair, "left_anti")
     also = verified(written(more, "line-between"), docs, levels, percent, "line-between")
     return buckets.where("at = 0").select("doc_id", "line_no").join(
         removed.unionByName(also), ["doc_id", "line_no"], "left_anti")

@@ -82,6 +82,21 @@ def test_lines_are_removed_like_brute_force(docs):
     assert {r.doc_id: r.n_lines for r in found} == {i: len(t.split("\n")) if t is not None else 0 for i, t in enumerate(texts)}
 
 
+def test_lines_beyond_the_packed_sizes_are_removed_alike(docs, monkeypatch):
+    monkeypatch.setattr(line_dedup, "_MOST_N", 7)
+    monkeypatch.setattr(line_dedup, "_MOST_AT", 1)
+    texts = line_texts()
+    found = line_dedup.report_removed(docs(texts)).collect()
+    assert {(r.doc_id, n) for r in found for n in r.removed} == brute.removed_lines(dict(enumerate(texts)))
+
+
+def test_tokens_in_rows_are_the_tokens_in_arrays(docs):
+    lines = line_dedup.lines_of(line_dedup.documents_only(docs(line_texts())))
+    hashed = lines.select(line_dedup.word_hashes(line_dedup.words_of("line")).alias("h"))
+    arrays = [t for r in hashed.select(line_dedup.token_numbers("h").alias("t")).collect() for t in r.t]
+    assert sorted(arrays) == sorted(r.token for r in line_dedup.token_rows(lines).collect())
+
+
 def test_text_without_the_removed_lines(docs):
     texts = line_texts()
     frame = docs(texts, extra=True)
