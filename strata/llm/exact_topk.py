@@ -29,12 +29,16 @@ FAR = 2 ** 61
 
 
 class Ranges:
-    """Where the kth score of each query of a wave lies: bins of ``width`` from ``low`` on, ``above`` scores beyond them."""
+    """Where the kth score of each query of a wave lies: in ``span`` from ``low`` on, cut into bins of ``width``.
+
+    ``above`` scores lie beyond the span. The last bins may reach past its end: what lies there is counted already.
+    """
 
     def __init__(self, reach: np.ndarray, k: int):
         self.k = k
         self.low = -reach
-        self.width = -(-(2 * reach + 1) // BINS)
+        self.span = 2 * reach + 1
+        self.width = -(-self.span // BINS)
         self.above = np.zeros(len(reach), np.int64)
         self.open = np.ones(len(reach), bool)
 
@@ -53,7 +57,12 @@ class Ranges:
             self.above[i] = reached[at] - counts[start + at]
             if self.width[i] == 1 or reached[at] <= ENOUGH * self.k:
                 self.open[i] = False
-            self.width[i] = -(-self.width[i] // BINS)
+            self.span[i] = self.width[i]
+            self.width[i] = -(-self.span[i] // BINS)
+
+    def least(self) -> np.ndarray:
+        """The least score of each query that may be among its best; the lowest score looked for stands for all below it."""
+        return np.where(self.low <= -FAR, LEAST, self.low)
 
 
 def scored(batches: Iterator[pa.RecordBatch], scale: int, queries: np.ndarray, ids: np.ndarray,
@@ -84,14 +93,15 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 10, scale: int = 1024,
     for wave in waves(rows.where("_query AND v IS NOT NULL").select("vec_id", "v")):
         at, queries = integer_rows(wave, "v", scale)
         ids = wave.column("vec_id").to_numpy(zero_copy_only=False)[at]
-        norms = np.sqrt((queries * queries).sum(axis=1))
-        ranges = Ranges(np.minimum(np.ceil(norms * reach * (1 + 1e-9)) + 1, FAR).astype(np.int64), k)
+        with np.errstate(over="ignore", invalid="ignore"):
+            most = np.nan_to_num(np.sqrt((queries * queries).sum(axis=1)) * reach, nan=0.0, posinf=FAR)  # zero vectors score 0
+        ranges = Ranges(np.minimum(np.ceil(most * (1 + 1e-9)) + 1, FAR).astype(np.int64), k)
         sent = spark.sparkContext.broadcast((ids, queries))
         while ranges.open.any():
             counts = candidates.mapInArrow(counted(sent, scale, ranges), "query int, bin long, n long")
             total = counts.groupBy("query", "bin").agg(F.sum("n").alias("n")).toArrow()
             ranges.narrow(*(total.column(c).to_numpy() for c in ("query", "bin", "n")))
-        found.append(written(candidates.mapInArrow(reaching(sent, scale, ranges.low, k), "query int, query_id long, vec_id long, score long")
+        found.append(written(candidates.mapInArrow(reaching(sent, scale, ranges.least(), k), "query int, query_id long, vec_id long, score long")
                              .withColumn("wave", F.lit(len(found))), "top-k"))
         sent.unpersist()
     if not found:
@@ -115,7 +125,7 @@ def longest(scale: int):
 
 def counted(sent, scale: int, ranges: Ranges):
     """Scores per bin, of a task's bins from the highest to the one that holds the task's kth score."""
-    low, width, above, k, turn = ranges.low, ranges.width, ranges.above, ranges.k, np.flatnonzero(ranges.open)
+    low, span, width, above, k, turn = ranges.low, ranges.span, ranges.width, ranges.above, ranges.k, np.flatnonzero(ranges.open)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids, queries = sent.value
@@ -125,7 +135,7 @@ def counted(sent, scale: int, ranges: Ranges):
             numbers = turn[block]
             lowest, wide = low[numbers][:, None], width[numbers][:, None]
             scores = np.clip(scores, -FAR, FAR)
-            counts &= (scores >= lowest) & (scores - lowest < wide * BINS)
+            counts &= (scores >= lowest) & (scores - lowest < span[numbers][:, None])
             query, at = np.nonzero(counts)
             flat = (query + block.start) * BINS + (scores[query, at] - lowest[query, 0]) // wide[query, 0]
             first = block.start * BINS

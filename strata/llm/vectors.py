@@ -99,5 +99,5 @@ class Best:
     def rows(self) -> np.ndarray:
         """``number, vec_id, score`` by number and rank."""
         rows = np.concatenate(self.held)
-        rows = rows[np.lexsort((rows[:, 1], -rows[:, 2], rows[:, 0]))]
+        rows = rows[np.lexsort((rows[:, 1], ~rows[:, 2], rows[:, 0]))]  # the least long has no negative
         return rows[np.arange(len(rows)) - np.searchsorted(rows[:, 0], rows[:, 0]) < self.k]

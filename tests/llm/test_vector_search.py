@@ -84,6 +84,20 @@ def test_top_k_in_several_waves(spark, monkeypatch):
     assert sorted(map(tuple, found.select("query_id", "rank", "vec_id", "score").collect())) == brute_top(rows, 10, 1024, 5)
 
 
+def test_top_k_counts_no_score_twice_when_it_refines(spark):
+    # Bins of 601 from -153602 on: 254 to 854 is refined, and the five scores beyond it must not count again.
+    scores = [-153600, *range(300, 400), *range(860, 865)]
+    rows = [(0, [1.0], 0)] + [(i, [float(score)], 0) for i, score in enumerate(scores, 1)]
+    found = exact_topk.top_k(table(spark, rows), F.col("vec_id") == 0, 10, 1)
+    assert sorted(map(tuple, found.collect())) == brute_top(rows, 10, 1, 10_000)
+
+
+def test_top_k_of_scores_below_64_bits(spark):
+    rows = [(0, [1e10], 0)] + [(i, [-1e9 * i], 0) for i in range(1, 13)]
+    found = exact_topk.top_k(table(spark, rows), F.col("vec_id") == 0, 10, 1024)
+    assert sorted(map(tuple, found.collect())) == brute_top(rows, 10, 1024, 10_000)
+
+
 @pytest.mark.parametrize("seed", [0, 1])
 def test_hard_negatives_of_odd_rows(spark, seed, monkeypatch):
     rows = odd_rows(seed)
