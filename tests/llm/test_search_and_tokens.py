@@ -141,6 +141,29 @@ def test_a_long_text_of_different_chunks_is_encoded_in_groups(monkeypatch):
             assert ids.tolist() == [i for t in (text, " ", "a " + "b" * 300) for i in ids_of(t).tolist()]
 
 
+class Counting:
+    """The library, which keeps the texts it encodes together."""
+
+    def __init__(self, library):
+        self.library, self.texts = library, []
+
+    def encode_batch_fast(self, texts, **more):
+        self.texts.extend(texts)
+        return self.library.encode_batch_fast(texts, **more)
+
+
+def test_new_chunks_of_all_texts_are_encoded_together_and_much_used_ones_stay():
+    encoder = Encoder(tokenizer_path(), limit=60)
+    encoder.library = counting = Counting(encoder.library)
+    for turn in range(6):
+        texts = [f"first{turn}x{i} often used new{turn}x{i} often" for i in range(40)]
+        ids, starts = encoder.encode(texts)
+        for k, text in enumerate(texts):
+            assert ids[starts[k]:starts[k + 1]].tolist() == ids_of(text).tolist()
+    assert len(counting.texts) == 6
+    assert sum(text.split().count("often") for text in counting.texts) == 1
+
+
 def token_texts():
     rng = random.Random(6)
     return [*EDGE_TEXTS, *["".join(rng.choices(PARTS, k=rng.randrange(1, 4000))) for _ in range(40)]]
