@@ -14,13 +14,12 @@ share of the class. Rows lie in groups of equal frequency, p(row) = p(group) p(r
 from __future__ import annotations
 
 import math
-import uuid
 import zlib
-from collections import Counter
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -43,15 +42,38 @@ _FLUSH = 150_000
 WORD_COUNTS = T.StructType([T.StructField("word", T.BinaryType()), T.StructField("c", T.LongType())])
 
 
-def tokens_of(text: str | None) -> list[bytes]:
-    """Words between ASCII white space, A-Z lower-cased."""
-    return text.encode().lower().split() if text else []
+def words_of(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """Words between ASCII white space of all texts, A-Z lower-cased, and how many each text has."""
+    cut = pc.ascii_split_whitespace(pc.ascii_lower(pc.fill_null(texts, "")))
+    words, ends = cut.flatten(), np.append(0, np.cumsum(pc.list_value_length(cut).to_numpy(zero_copy_only=False)))
+    full = pc.greater(pc.binary_length(words), 0)  # white space at either end of a text leaves an empty word
+    before = np.append(0, np.cumsum(full.to_numpy(zero_copy_only=False)))
+    return (words if before[-1] == len(words) else words.filter(full)), np.diff(before[ends])
+
+
+def tokens_of(texts: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+    """The different tokens of all texts, the end token last, every position's place among them, and where each text starts."""
+    words, sizes = words_of(texts)
+    coded = words.dictionary_encode()
+    names = pa.concat_arrays([coded.dictionary.cast(pa.binary()), pa.array([END], pa.binary())])
+    starts = np.append(0, np.cumsum(sizes + 1))[:-1].astype(np.int64)
+    codes, inside = np.full(len(words) + len(sizes), len(names) - 1), np.ones(len(words) + len(sizes), bool)
+    inside[starts + sizes] = False
+    codes[inside] = coded.indices.to_numpy(zero_copy_only=False)
+    return names, codes, starts
 
 
 def word_class(word: bytes, classes: int = CLASSES) -> int:
     return zlib.crc32(word[-3:]) % classes
 
 
+def word_classes(words: pa.Array, classes: int) -> np.ndarray:
+    """``word_class`` of many words."""
+    coded = pc.binary_slice(words, -3).dictionary_encode()
+    found = np.array([word_class(end, classes) for end in coded.dictionary.to_pylist()], np.int64)
+    return found[coded.indices.to_numpy(zero_copy_only=False)]
+
+
 def least_count(total: int) -> int:
     """Occurrences from which on a word has a row of its own."""
     return max(2, math.isqrt(total) // ROOT)
@@ -60,22 +82,30 @@ def least_count(total: int) -> int:
 def count_words(docs: DataFrame) -> DataFrame:
     """``(word, c)`` over all of ``docs``, the end token as a line feed; tasks add up before the exchange."""
     def run(batches):
-        held: Counter = Counter()
+        held, waiting = [], 0
         for batch in batches:
             for part in slices(batch):
-                for text in part.column("text").to_pylist():
-                    held.update(tokens_of(text))
-                    held[END] += 1
-                if len(held) > _FLUSH:
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(list(held), pa.binary()), pa.array(list(held.values()), pa.int64())], WORD_COUNTS.names)
-                    held.clear()
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(list(held), pa.binary()), pa.array(list(held.values()), pa.int64())], WORD_COUNTS.names)
+                names, codes, _ = tokens_of(part.column("text"))
+                held.append(pa.table([names, pa.array(np.bincount(codes, minlength=len(names)), pa.int64())], WORD_COUNTS.names))
+                waiting += len(names)
+                if waiting > 3 * _FLUSH:
+                    held = [added_up(held)]
+                    waiting = held[0].num_rows
+                    if waiting > _FLUSH:
+                        yield from held.pop().to_batches()
+                        waiting = 0
+        if held:
+            yield from added_up(held).to_batches()
 
     return documents_only(docs).mapInArrow(run, WORD_COUNTS).groupBy("word").agg(F.sum("c").alias("c"))
 
 
+def added_up(counted: list[pa.Table]) -> pa.Table:
+    """One row a word."""
+    whole = pa.concat_tables(counted).group_by("word", use_threads=False).aggregate([("c", "sum")])
+    return pa.table([whole["word"], whole["c_sum"]], WORD_COUNTS.names)
+
+
 @dataclass
 class Vocabulary:
     """What every task needs to know: head counts, model words, class totals, N and V."""
@@ -89,11 +119,6 @@ class Vocabulary:
     total: int
     types: int
 
-    def row(self, word: bytes) -> int:
-        """Row of the model's tables: a model word or the class of another word."""
-        row = self.rows.get(word)
-        return len(self.rows) + word_class(word, len(self.class_counts)) if row is None else row
-
 
 def learn_vocabulary(counts: DataFrame) -> Vocabulary:
     """Totals of the written ``counts``, its model words and at least its ``HEAD`` most frequent words."""
@@ -153,44 +178,59 @@ class LogBilinear:
         return [table.astype(np.float32) for table in (context, rows, mixing, groups)]
 
     def predicted(self, near: np.ndarray, far: np.ndarray) -> np.ndarray:
-        return self.mixing[0] * self.context[near] + self.mixing[1] * self.context[far]
+        return self.mixing[0] * self.context.take(near, axis=0) + self.mixing[1] * self.context.take(far, axis=0)
 
     def log_probabilities(self, near: np.ndarray, far: np.ndarray, rows: np.ndarray) -> np.ndarray:
         """Normalised natural log-probabilities."""
         out = np.empty(len(rows))
-        for i in range(0, len(rows), 400_000):
-            cut = slice(i, i + 400_000)
+        for i in range(0, len(rows), 100_000):
+            cut = slice(i, i + 100_000)
             out[cut] = self._log_probabilities(near[cut], far[cut], rows[cut])
         return out
 
     def _log_probabilities(self, near: np.ndarray, far: np.ndarray, rows: np.ndarray) -> np.ndarray:
         size = len(self.context)
         keys, at = np.unique(near.astype(np.int64) * size + far, return_inverse=True)
-        ahead, group = self.predicted(keys // size, keys % size), self.group[rows]
+        ahead = with_ones(self.predicted(keys // size, keys % size))
         whole = np.empty(len(keys), np.float32)
-        for i in range(0, len(keys), 4096):
-            whole[i:i + 4096] = log_sums(ahead[i:i + 4096] @ self.groups[:, :-1].T + self.groups[:, -1])
-        ahead = ahead[at]
-        out = np.einsum("ij,ij->i", ahead, self.groups[group, :-1]) + self.groups[group, -1] - whole[at]
-        order = np.argsort(group, kind="stable")
-        ends = np.searchsorted(group[order], np.arange(len(self.groups) + 1))
+        for i in range(0, len(keys), 1024):
+            whole[i:i + 1024] = log_sums(ahead[i:i + 1024] @ self.groups.T)
+        order = np.argsort(self.group[rows] * len(rows) + np.arange(len(rows)))  # by group, so that each is one slice
+        at, rows = at[order], rows[order]
+        ahead, group = ahead.take(at, axis=0), self.group[rows]
+        found = np.einsum("ij,ij->i", ahead, self.groups.take(group, axis=0)) - whole[at]
+        own = np.einsum("ij,ij->i", ahead, self.output.take(rows, axis=0))
+        ends = np.searchsorted(group, np.arange(len(self.groups) + 1))
         for g in np.flatnonzero((np.diff(ends) > 0) & (np.diff(self.edges) > 1)):
-            low, high = self.edges[g], self.edges[g + 1]
-            vectors, bias = self.vectors[low:high].T, self.bias[low:high]
-            step = max(1, 2_000_000 // (high - low))
+            output = self.output[self.edges[g]:self.edges[g + 1]].T
+            step = max(1, 250_000 // output.shape[1])
             for i in range(ends[g], ends[g + 1], step):
-                pick = order[i:min(i + step, ends[g + 1])]
-                scores = ahead[pick] @ vectors + bias
-                own = scores[np.arange(len(pick)), rows[pick] - low]
-                out[pick] += own - log_sums(scores)
+                cut = slice(i, min(i + step, ends[g + 1]))
+                found[cut] += own[cut] - log_sums(ahead[cut] @ output)
+        out = np.empty(len(rows))
+        out[order] = found
         return out
 
 
+def with_ones(vectors: np.ndarray) -> np.ndarray:
+    """The vectors with a last component 1, which a bias is multiplied by."""
+    out = np.ones((len(vectors), vectors.shape[1] + 1), np.float32)
+    out[:, :-1] = vectors
+    return out
+
+
 def log_sums(scores: np.ndarray) -> np.ndarray:
-    """log of the sum of exponentials of each row; ``scores`` is overwritten."""
-    most = scores.max(axis=1, keepdims=True)
-    scores -= most
-    return most[:, 0] + np.log(np.exp(scores, out=scores).sum(axis=1))
+    """log of the sum of exponentials of each row; rows whose exponentials leave the range are shifted by their maximum."""
+    ones = np.ones(scores.shape[1], scores.dtype)
+    with np.errstate(over="ignore"):
+        sums = np.exp(scores) @ ones
+    odd = np.flatnonzero(~((sums > 1e-25) & (sums < 1e25)))
+    sums[odd] = 1
+    out = np.log(sums)
+    if len(odd):
+        most = scores[odd].max(axis=1)
+        out[odd] = most + np.log(np.exp(scores[odd] - most[:, None]) @ ones)
+    return out
 
 
 def contexts(rows: np.ndarray, starts: np.ndarray, begin: int) -> tuple[np.ndarray, np.ndarray]:
@@ -205,30 +245,45 @@ def contexts(rows: np.ndarray, starts: np.ndarray, begin: int) -> tuple[np.ndarr
 
 
 class Reader:
-    """Rows of the model's tables for texts, remembering words."""
+    """Rows of the model's tables, and head counts, for texts."""
 
     def __init__(self, words: Vocabulary):
-        self.words, self.known = words, dict(words.rows)
-
-    def row(self, word: bytes) -> int:
-        if len(self.known) > 300_000 + len(self.words.rows):
-            self.known = dict(self.words.rows)
-        row = self.words.row(word)
-        if len(word) <= 64:
-            self.known[word] = row
-        return row
-
-    def read(self, texts: list[str | None]) -> tuple[list[list[bytes]], np.ndarray, np.ndarray]:
-        """Tokens of each text, all rows, and where each text starts in them."""
-        all_rows: list[int] = []
-        tokens, starts = [], []
-        for text in texts:
-            found = [*tokens_of(text), END]
-            tokens.append(found)
-            starts.append(len(all_rows))
-            got = self.known.get
-            all_rows.extend([r if (r := got(w)) is not None else self.row(w) for w in found])
-        return tokens, np.array(all_rows, np.int64), np.array(starts, np.int64)
+        self.classes, self.modelled = len(words.class_counts), len(words.rows)
+        # The end token is no text's word, whether or not it is among the head words.
+        self.names = pa.array([*words.head, *([] if END in words.head else [END])], pa.binary())
+        listed = self.names.to_pylist()
+        self.rows = np.array([words.rows.get(word, -1) for word in listed], np.int64)
+        self.counts = np.array([words.head.get(word, -1) for word in listed], np.int64)
+
+    def look_up(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Rows of different words, a model word's or its class's, and their counts, -1 outside the head."""
+        place = pc.fill_null(pc.index_in(words, value_set=self.names), -1).to_numpy(zero_copy_only=False)
+        rows = np.where(place < 0, -1, self.rows[place])
+        other = np.flatnonzero(rows < 0)
+        rows[other] = self.modelled + word_classes(words.take(pa.array(other)), self.classes)
+        return rows, np.where(place < 0, -1, self.counts[place])
+
+    def read(self, texts: pa.Array | list[str | None]) -> tuple[tuple[pa.Array, np.ndarray, np.ndarray], np.ndarray, np.ndarray]:
+        """Different tokens with their counts and every position's place among them, all rows, and where each text starts in them."""
+        names, codes, starts = tokens_of(texts if isinstance(texts, pa.Array) else pa.array(texts, pa.string()))
+        rows, counts = self.look_up(names)
+        return (names, counts, codes), rows[codes], starts
+
+
+def run_sums(rows: np.ndarray, cuts: np.ndarray) -> np.ndarray:
+    """Sums of runs of rows, given where each begins; the many short runs are added row by row, all at once."""
+    if 4 * len(cuts) < len(rows):
+        return np.add.reduceat(rows, cuts, axis=0)
+    out = rows.take(cuts, axis=0)
+    sizes = np.diff(np.append(cuts, len(rows)))
+    for k in (1, 2):
+        longer = np.flatnonzero(sizes > k)
+        out[longer] += rows.take(cuts[longer] + k, axis=0)
+    longer = np.flatnonzero(sizes > 3)
+    if len(longer):
+        edges = np.stack([cuts[longer] + 3, cuts[longer] + sizes[longer]], axis=1).ravel()
+        out[longer] += np.add.reduceat(rows, edges[:-1] if edges[-1] == len(rows) else edges, axis=0)[::2]
+    return out
 
 
 class Trainer:
@@ -248,37 +303,49 @@ class Trainer:
         self.seen = 0
 
     def add(self, table: int, rows: np.ndarray, slope: np.ndarray) -> None:
-        order = np.argsort(rows, kind="stable")
-        ordered = rows[order]
+        bits = len(rows).bit_length()
+        keys = np.sort((rows << bits) + np.arange(len(rows)))
+        order, ordered = keys & ((1 << bits) - 1), keys >> bits
         cuts = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]]))
-        where, total = ordered[cuts], np.add.reduceat(slope[order], cuts, axis=0)
-        grown = self.grown[table][where] + total ** 2
+        where, total = ordered.take(cuts), run_sums(slope.take(order, axis=0), cuts)
+        grown = self.grown[table].take(where, axis=0) + total ** 2
         self.grown[table][where] = grown
-        self.tables[table][where] += self.RATE * total / np.sqrt(grown)
+        total *= self.RATE
+        total /= np.sqrt(grown, out=grown)
+        total += self.tables[table].take(where, axis=0)
+        self.tables[table][where] = total
         self.touched[table][where] = True
 
     def tell(self, table: int, rows: np.ndarray, ahead: np.ndarray) -> np.ndarray:
-        """Tell ``rows`` of an output table from ``NOISE`` of its rows drawn once for the batch; the slope of ``ahead``."""
+        """Tell ``rows`` of an output table from ``NOISE`` of its rows drawn once for the batch; the slope of ``ahead``.
+
+        The last component of ``ahead`` is 1; a logistic of x is half of 1 + tanh(x / 2).
+        """
         output, cumulative, expected = self.tables[table], self.cumulative[table], self.expected[table]
         noise = np.searchsorted(cumulative, self.random.random(NOISE) * cumulative[-1])
         noise = np.minimum(noise, len(output) - 1)
-        own_rows, drawn_rows = output[rows], output[noise]
-        score = np.einsum("ij,ij->i", ahead, own_rows[:, :-1]) + own_rows[:, -1] - expected[rows]
-        against = ahead @ drawn_rows[:, :-1].T + (drawn_rows[:, -1] - expected[noise])
+        own_rows, drawn_rows = output.take(rows, axis=0), output.take(noise, axis=0)
+        score = np.einsum("ij,ij->i", ahead, own_rows) - expected.take(rows)
         miss = 1 / (1 + np.exp(np.clip(score, -30, 30)))
-        false = -1 / (1 + np.exp(-np.clip(against, -30, 30)))
-        own = np.hstack([miss[:, None] * ahead, miss[:, None]])
-        drawn = np.hstack([false.T @ ahead, false.sum(axis=0)[:, None]])
+        halves = drawn_rows / 2
+        halves[:, -1] -= expected.take(noise) / 2
+        twice = ahead @ halves.T
+        np.tanh(twice, out=twice)
+        twice += 1
+        own = miss[:, None] * ahead
+        drawn = (twice.T @ ahead) * np.float32(-0.5)
         self.add(table, np.concatenate([rows, noise]), np.concatenate([own, drawn]))
-        return miss[:, None] * own_rows[:, :-1] + false @ drawn_rows[:, :-1]
+        own_rows *= miss[:, None]
+        own_rows -= twice @ (drawn_rows / 2)
+        return own_rows[:, :-1]
 
     def step(self, near: np.ndarray, far: np.ndarray, rows: np.ndarray) -> None:
         """Rows are told from noise of all rows, so their scores hold within any group; groups from noise of all groups."""
         context, _, mixing, _ = self.tables
-        from_near, from_far = context[near], context[far]
-        ahead = mixing[0] * from_near + mixing[1] * from_far
+        from_near, from_far = context.take(near, axis=0), context.take(far, axis=0)
+        ahead = with_ones(mixing[0] * from_near + mixing[1] * from_far)
         slope = self.tell(1, rows, ahead) + self.tell(3, self.group[rows], ahead)
-        turn = np.stack([(slope * from_near).sum(axis=0), (slope * from_far).sum(axis=0)])
+        turn = np.stack([np.einsum("ij,ij->j", slope, from_near), np.einsum("ij,ij->j", slope, from_far)])
         self.add(0, np.concatenate([near, far]), np.concatenate([slope * mixing[0], slope * mixing[1]]))
         self.grown[2] += turn ** 2
         self.tables[2] += 0.1 * self.RATE * turn / np.sqrt(self.grown[2])
@@ -340,7 +407,7 @@ def train(docs: DataFrame, words: Vocabulary, rounds: int = ROUNDS) -> LogBiline
             begin = len(trainer.tables[1])
             for batch in batches:
                 for part in slices(batch):
-                    _, rows, starts = reader.read(part.column("text").to_pylist())
+                    _, rows, starts = reader.read(part.column("text"))
                     near, far = contexts(rows, starts, begin)
                     used = np.flatnonzero(trainer.random.random(len(rows)) < POSITIONS)
                     trainer.random.shuffle(used)
@@ -366,7 +433,7 @@ def train(docs: DataFrame, words: Vocabulary, rounds: int = ROUNDS) -> LogBiline
 
 
 SCORED = T.StructType([
-    T.StructField("doc_key", T.StringType()), T.StructField("doc_id", T.LongType()),
+    T.StructField("doc_key", T.LongType()), T.StructField("doc_id", T.LongType()),
     T.StructField("n_tokens", T.LongType()), T.StructField("n_known", T.LongType()),
     T.StructField("base_log", T.DoubleType()), T.StructField("model_log", T.DoubleType()),
     T.StructField("rare", T.ArrayType(T.BinaryType())), T.StructField("times", T.ArrayType(T.LongType())),
@@ -382,53 +449,37 @@ def score_documents(docs: DataFrame, counts: DataFrame, words: Vocabulary, model
     """
     spark = docs.sparkSession
     shared = spark.sparkContext.broadcast((words, model))
-    salt = uuid.uuid4().hex[:8]
 
     def run(batches):
         from pyspark import TaskContext
         vocabulary, field = shared.value
         reader = Reader(vocabulary)
-        head, model_words = vocabulary.head, len(vocabulary.rows)
+        model_words = len(vocabulary.rows)
         begin = len(vocabulary.unigram)
         floor = np.log10(vocabulary.total + vocabulary.types + 1)
         class_floor = np.log10(vocabulary.class_counts + vocabulary.class_types + 1)
-        log10 = {word: float(np.log10(c + 1)) for word, c in head.items()}
-        serial, task = 0, TaskContext.get().partitionId()
+        serial = TaskContext.get().partitionId() << 40
         for batch in batches:
             for part in slices(batch, limit=2_000_000):
-                tokens, rows, starts = reader.read(part.column("text").to_pylist())
+                (names, counts, codes), rows, starts = reader.read(part.column("text"))
                 near, far = contexts(rows, starts, begin)
                 logs = field.log_probabilities(near, far, rows) / np.log(10)
-                classes = rows - model_words
-                other = classes >= 0
-                logs[other] -= class_floor[classes[other]]
-                total = np.add.reduceat(logs, starts)
-                out = []
-                for i, (doc, found) in enumerate(zip(part.column("doc_id").to_pylist(), tokens)):
-                    bag = Counter(found)
-                    known = base = extra = 0
-                    rare, times = [], []
-                    for token, n in bag.items():
-                        value = log10.get(token)
-                        if value is None:
-                            rare.append(token)
-                            times.append(n)
-                        else:
-                            known += n
-                            base += n * value
-                            if token not in vocabulary.rows:
-                                extra += n * value
-                    out.append((f"{salt}-{task}-{serial}", doc, len(found), known, base - len(found) * floor,
-                                float(total[i]) + extra, rare, times))
-                    serial += 1
-                flat = [word for row in out for word in row[6]]
-                edges = np.cumsum([0, *[len(row[6]) for row in out]])
-                columns = list(zip(*[row[:6] for row in out]))
-                kinds = [pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.float64()]
+                in_head, gain = counts >= 0, np.log10(np.maximum(counts, 0) + 1.0)
+                in_head, gain = in_head[codes], np.where(in_head, gain, 0)[codes]
+                other = np.flatnonzero(rows >= model_words)
+                logs[other] += gain[other] - class_floor[rows[other] - model_words]
+                sizes = np.diff(np.append(starts, len(rows)))
+                rare = np.flatnonzero(~in_head)
+                pairs, times = np.unique(np.repeat(np.arange(len(starts)), sizes)[rare] * len(names) + codes[rare], return_counts=True)
+                edges = np.searchsorted(pairs, np.arange(len(starts) + 1) * len(names))
                 yield pa.RecordBatch.from_arrays([
-                    *[pa.array(list(c), k) for c, k in zip(columns, kinds)],
-                    lists(edges, pa.array(flat, pa.binary())),
-                    lists(edges, pa.array([n for row in out for n in row[7]], pa.int64()))], SCORED.names)
+                    pa.array(serial + np.arange(len(starts)), pa.int64()), part.column("doc_id"),
+                    pa.array(sizes, pa.int64()), pa.array(np.add.reduceat(in_head.astype(np.int64), starts), pa.int64()),
+                    pa.array(np.add.reduceat(gain, starts) - sizes * floor, pa.float64()),
+                    pa.array(np.add.reduceat(logs, starts), pa.float64()),
+                    lists(edges, names.take(pa.array(pairs % len(names)))),
+                    lists(edges, pa.array(times, pa.int64()))], SCORED.names)
+                serial += len(starts)
 
     passed = written(documents_only(docs).mapInArrow(run, SCORED), "lm-pass")
     pairs = passed.select("doc_key", F.explode(F.arrays_zip("rare", "times")).alias("x")).select(
