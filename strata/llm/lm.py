@@ -16,6 +16,7 @@ from __future__ import annotations
 import math
 import zlib
 from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -119,6 +120,13 @@ class Vocabulary:
     total: int
     types: int
 
+    @cached_property
+    def listed(self) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+        """The head words and the end token, which is no text's word, with their rows and counts, -1 where there is none."""
+        words = [*self.head, *([] if END in self.head else [END])]
+        rows, counts = [self.rows.get(word, -1) for word in words], [self.head.get(word, -1) for word in words]
+        return pa.array(words, pa.binary()), np.array(rows, np.int64), np.array(counts, np.int64)
+
 
 def learn_vocabulary(counts: DataFrame) -> Vocabulary:
     """Totals of the written ``counts``, its model words and at least its ``HEAD`` most frequent words."""
@@ -249,11 +257,7 @@ class Reader:
 
     def __init__(self, words: Vocabulary):
         self.classes, self.modelled = len(words.class_counts), len(words.rows)
-        # The end token is no text's word, whether or not it is among the head words.
-        self.names = pa.array([*words.head, *([] if END in words.head else [END])], pa.binary())
-        listed = self.names.to_pylist()
-        self.rows = np.array([words.rows.get(word, -1) for word in listed], np.int64)
-        self.counts = np.array([words.head.get(word, -1) for word in listed], np.int64)
+        self.names, self.rows, self.counts = words.listed
 
     def look_up(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Rows of different words, a model word's or its class's, and their counts, -1 outside the head."""
@@ -270,19 +274,21 @@ class Reader:
         return (names, counts, codes), rows[codes], starts
 
 
-def run_sums(rows: np.ndarray, cuts: np.ndarray) -> np.ndarray:
-    """Sums of runs of rows, given where each begins; the many short runs are added row by row, all at once."""
-    if 4 * len(cuts) < len(rows):
-        return np.add.reduceat(rows, cuts, axis=0)
-    out = rows.take(cuts, axis=0)
-    sizes = np.diff(np.append(cuts, len(rows)))
+def run_sums(rows: np.ndarray, order: np.ndarray, cuts: np.ndarray) -> np.ndarray:
+    """Sums of runs of rows in their order, given where each run begins; the many short ones are added row by row, all at once."""
+    if 4 * len(cuts) < len(order):
+        return np.add.reduceat(rows.take(order, axis=0), cuts, axis=0)
+    out = rows.take(order.take(cuts), axis=0)
+    sizes = np.diff(np.append(cuts, len(order)))
     for k in (1, 2):
         longer = np.flatnonzero(sizes > k)
-        out[longer] += rows.take(cuts[longer] + k, axis=0)
+        out[longer] += rows.take(order.take(cuts.take(longer) + k), axis=0)
     longer = np.flatnonzero(sizes > 3)
     if len(longer):
-        edges = np.stack([cuts[longer] + 3, cuts[longer] + sizes[longer]], axis=1).ravel()
-        out[longer] += np.add.reduceat(rows, edges[:-1] if edges[-1] == len(rows) else edges, axis=0)[::2]
+        rest = sizes.take(longer) - 3
+        ends = np.cumsum(rest)
+        at = np.arange(ends[-1]) + np.repeat(cuts.take(longer) + 3 - ends + rest, rest)
+        out[longer] += np.add.reduceat(rows.take(order.take(at), axis=0), ends - rest, axis=0)
     return out
 
 
@@ -307,7 +313,7 @@ class Trainer:
         keys = np.sort((rows << bits) + np.arange(len(rows)))
         order, ordered = keys & ((1 << bits) - 1), keys >> bits
         cuts = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]]))
-        where, total = ordered.take(cuts), run_sums(slope.take(order, axis=0), cuts)
+        where, total = ordered.take(cuts), run_sums(slope, order, cuts)
         grown = self.grown[table].take(where, axis=0) + total ** 2
         self.grown[table][where] = grown
         total *= self.RATE
@@ -319,7 +325,7 @@ class Trainer:
     def tell(self, table: int, rows: np.ndarray, ahead: np.ndarray) -> np.ndarray:
         """Tell ``rows`` of an output table from ``NOISE`` of its rows drawn once for the batch; the slope of ``ahead``.
 
-        The last component of ``ahead`` is 1; a logistic of x is half of 1 + tanh(x / 2).
+        The last component of ``ahead`` is 1. A logistic of x is half of 1 + tanh(x / 2), whose 1 is summed apart.
         """
         output, cumulative, expected = self.tables[table], self.cumulative[table], self.expected[table]
         noise = np.searchsorted(cumulative, self.random.random(NOISE) * cumulative[-1])
@@ -329,24 +335,30 @@ class Trainer:
         miss = 1 / (1 + np.exp(np.clip(score, -30, 30)))
         halves = drawn_rows / 2
         halves[:, -1] -= expected.take(noise) / 2
-        twice = ahead @ halves.T
-        np.tanh(twice, out=twice)
-        twice += 1
-        own = miss[:, None] * ahead
-        drawn = (twice.T @ ahead) * np.float32(-0.5)
-        self.add(table, np.concatenate([rows, noise]), np.concatenate([own, drawn]))
-        own_rows *= miss[:, None]
-        own_rows -= twice @ (drawn_rows / 2)
-        return own_rows[:, :-1]
+        curved = ahead @ halves.T
+        np.tanh(curved, out=curved)
+        slope = np.empty((len(rows) + NOISE, ahead.shape[1]), np.float32)
+        np.multiply(miss[:, None], ahead, out=slope[:len(rows)])
+        np.multiply(curved.T @ ahead + ahead.sum(axis=0), np.float32(-0.5), out=slope[len(rows):])
+        self.add(table, np.concatenate([rows, noise]), slope)
+        against = drawn_rows[:, :-1] * np.float32(-0.5)
+        turn = curved @ against
+        turn += against.sum(axis=0)
+        turn += miss[:, None] * own_rows[:, :-1]
+        return turn
 
     def step(self, near: np.ndarray, far: np.ndarray, rows: np.ndarray) -> None:
         """Rows are told from noise of all rows, so their scores hold within any group; groups from noise of all groups."""
         context, _, mixing, _ = self.tables
         from_near, from_far = context.take(near, axis=0), context.take(far, axis=0)
         ahead = with_ones(mixing[0] * from_near + mixing[1] * from_far)
-        slope = self.tell(1, rows, ahead) + self.tell(3, self.group[rows], ahead)
+        slope = self.tell(1, rows, ahead)
+        slope += self.tell(3, self.group.take(rows), ahead)
         turn = np.stack([np.einsum("ij,ij->j", slope, from_near), np.einsum("ij,ij->j", slope, from_far)])
-        self.add(0, np.concatenate([near, far]), np.concatenate([slope * mixing[0], slope * mixing[1]]))
+        both = np.empty((2 * len(rows), slope.shape[1]), np.float32)
+        np.multiply(slope, mixing[0], out=both[:len(rows)])
+        np.multiply(slope, mixing[1], out=both[len(rows):])
+        self.add(0, np.concatenate([near, far]), both)
         self.grown[2] += turn ** 2
         self.tables[2] += 0.1 * self.RATE * turn / np.sqrt(self.grown[2])
         self.touched[2][:] = True
@@ -445,7 +457,7 @@ def score_documents(docs: DataFrame, counts: DataFrame, words: Vocabulary, model
 
     One pass reads the texts, adds up everything that head counts and the model tell, and hands on
     the distinct rare words of each document; these meet their counts by key. A word outside the head is
-    rare, so no key of that join is frequent.
+    rare, so no key of that join is frequent, and ``counts`` has a row a word, so its partitions are hashed, not sorted.
     """
     spark = docs.sparkSession
     shared = spark.sparkContext.broadcast((words, model))
@@ -484,7 +496,7 @@ def score_documents(docs: DataFrame, counts: DataFrame, words: Vocabulary, model
     passed = written(documents_only(docs).mapInArrow(run, SCORED), "lm-pass")
     pairs = passed.select("doc_key", F.explode(F.arrays_zip("rare", "times")).alias("x")).select(
         "doc_key", F.col("x.rare").alias("word"), F.col("x.times").alias("n"))
-    found = pairs.join(counts, "word").groupBy("doc_key").agg(
+    found = pairs.join(counts.hint("shuffle_hash"), "word").groupBy("doc_key").agg(
         F.sum("n").alias("more"), F.sum(F.col("n") * F.log10(F.col("c") + 1)).alias("gain"))
     joined = passed.drop("rare", "times").join(found, "doc_key", "left")
     gain = F.coalesce("gain", F.lit(0.0))

@@ -7,6 +7,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -89,6 +90,28 @@ def test_every_training_position_is_a_target(docs):
     assert lm.train(frame, lm.learn_vocabulary(counts)).positions == total
 
 
+def test_words_of_a_slice_are_the_words_of_each_text():
+    texts = [*EDGE_TEXTS, "", None, "  A\x0bb\tÀÉ \x1c\u2003x a ", "\n", "z"]
+    names, codes, starts = lm.tokens_of(pa.array(texts, pa.string()))
+    plain = [[*(text or "").encode().lower().split(), b"\n"] for text in texts]
+    assert [names[int(c)].as_py() for c in codes] == [word for words in plain for word in words]
+    assert starts.tolist() == np.cumsum([0, *map(len, plain)])[:-1].tolist() and len(set(names.to_pylist())) == len(names)
+    words = [b"", b"a", b"xyz", b"wxyz", "ß→".encode()]
+    assert lm.word_classes(pa.array(words, pa.binary()), 211).tolist() == [lm.word_class(word, 211) for word in words]
+
+
+def test_sums_of_runs_and_of_exponentials_beyond_the_range():
+    random = np.random.default_rng(1)
+    for most in (3, 40, 5000):
+        rows, values = random.integers(0, most, 900), random.normal(size=(900, 4)).astype(np.float32)
+        order = np.argsort(rows, kind="stable")
+        cuts = np.unique(rows[order], return_index=True)[1]
+        plain = np.stack([values[rows == row].sum(axis=0) for row in np.unique(rows)])
+        assert np.allclose(lm.run_sums(values, order, cuts), plain, atol=1e-4)
+    scores = np.array([[0, 1], [500, 499], [-500, -501], [-90, 3]], np.float32)
+    assert np.allclose(lm.log_sums(scores.copy()), np.logaddexp(scores[:, 0], scores[:, 1]))
+
+
 def test_model_probabilities_sum_to_one():
     unigram = np.array([0.5, 0.3, 0.15, 0.05])
     model = lm.LogBilinear(lm.LogBilinear.fresh(unigram))
