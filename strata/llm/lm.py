@@ -89,10 +89,10 @@ def count_words(docs: DataFrame) -> DataFrame:
                 names, codes, _ = tokens_of(part.column("text"))
                 held.append(pa.table([names, pa.array(np.bincount(codes, minlength=len(names)), pa.int64())], WORD_COUNTS.names))
                 waiting += len(names)
-                if waiting > 3 * _FLUSH:
+                if waiting > 5 * _FLUSH:
                     held = [added_up(held)]
                     waiting = held[0].num_rows
-                    if waiting > _FLUSH:
+                    if waiting > 3 * _FLUSH:
                         yield from held.pop().to_batches()
                         waiting = 0
         if held:
@@ -200,9 +200,9 @@ class LogBilinear:
         size = len(self.context)
         keys, at = np.unique(near.astype(np.int64) * size + far, return_inverse=True)
         ahead = with_ones(self.predicted(keys // size, keys % size))
-        whole = np.empty(len(keys), np.float32)
+        whole, groups = np.empty(len(keys), np.float32), self.groups.T * BITS
         for i in range(0, len(keys), 1024):
-            whole[i:i + 1024] = log_sums(ahead[i:i + 1024] @ self.groups.T)
+            whole[i:i + 1024] = log_sums(ahead[i:i + 1024] @ groups)
         order = np.argsort(self.group[rows] * len(rows) + np.arange(len(rows)))  # by group, so that each is one slice
         at, rows = at[order], rows[order]
         ahead, group = ahead.take(at, axis=0), self.group[rows]
@@ -210,7 +210,7 @@ class LogBilinear:
         own = np.einsum("ij,ij->i", ahead, self.output.take(rows, axis=0))
         ends = np.searchsorted(group, np.arange(len(self.groups) + 1))
         for g in np.flatnonzero((np.diff(ends) > 0) & (np.diff(self.edges) > 1)):
-            output = self.output[self.edges[g]:self.edges[g + 1]].T
+            output = self.output[self.edges[g]:self.edges[g + 1]].T * BITS
             step = max(1, 250_000 // output.shape[1])
             for i in range(ends[g], ends[g + 1], step):
                 cut = slice(i, min(i + step, ends[g + 1]))
@@ -227,17 +227,21 @@ def with_ones(vectors: np.ndarray) -> np.ndarray:
     return out
 
 
-def log_sums(scores: np.ndarray) -> np.ndarray:
-    """log of the sum of exponentials of each row; rows whose exponentials leave the range are shifted by their maximum."""
-    ones = np.ones(scores.shape[1], scores.dtype)
+#: Scores are multiplied by this before their exponentials are summed, as powers of two are faster.
+BITS = np.float32(np.log2(np.e))
+
+
+def log_sums(bits: np.ndarray) -> np.ndarray:
+    """log of the sum of 2 ** x over each row; rows whose powers leave the range are shifted by their maximum."""
+    ones = np.ones(bits.shape[1], bits.dtype)
     with np.errstate(over="ignore"):
-        sums = np.exp(scores) @ ones
+        sums = np.exp2(bits) @ ones
     odd = np.flatnonzero(~((sums > 1e-25) & (sums < 1e25)))
     sums[odd] = 1
     out = np.log(sums)
     if len(odd):
-        most = scores[odd].max(axis=1)
-        out[odd] = most + np.log(np.exp(scores[odd] - most[:, None]) @ ones)
+        most = bits[odd].max(axis=1)
+        out[odd] = most / BITS + np.log(np.exp2(bits[odd] - most[:, None]) @ ones)
     return out
 
 
@@ -292,6 +296,14 @@ def run_sums(rows: np.ndarray, order: np.ndarray, cuts: np.ndarray) -> np.ndarra
     return out
 
 
+def products(left: np.ndarray, right: np.ndarray, step: int = 256) -> np.ndarray:
+    """``left.T @ right`` for long and narrow ones, in short runs, which is faster and rounds less."""
+    out = left[:step].T @ right[:step]
+    for i in range(step, len(left), step):
+        out += left[i:i + step].T @ right[i:i + step]
+    return out
+
+
 class Trainer:
     """Noise-contrastive steps (AdaGrad) on a task's own documents."""
 
@@ -339,7 +351,7 @@ class Trainer:
         np.tanh(curved, out=curved)
         slope = np.empty((len(rows) + NOISE, ahead.shape[1]), np.float32)
         np.multiply(miss[:, None], ahead, out=slope[:len(rows)])
-        np.multiply(curved.T @ ahead + ahead.sum(axis=0), np.float32(-0.5), out=slope[len(rows):])
+        np.multiply(products(ahead, curved).T + ahead.sum(axis=0), np.float32(-0.5), out=slope[len(rows):])
         self.add(table, np.concatenate([rows, noise]), slope)
         against = drawn_rows[:, :-1] * np.float32(-0.5)
         turn = curved @ against

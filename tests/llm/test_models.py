@@ -109,7 +109,9 @@ def test_sums_of_runs_and_of_exponentials_beyond_the_range():
         plain = np.stack([values[rows == row].sum(axis=0) for row in np.unique(rows)])
         assert np.allclose(lm.run_sums(values, order, cuts), plain, atol=1e-4)
     scores = np.array([[0, 1], [500, 499], [-500, -501], [-90, 3]], np.float32)
-    assert np.allclose(lm.log_sums(scores.copy()), np.logaddexp(scores[:, 0], scores[:, 1]))
+    assert np.allclose(lm.log_sums(scores * lm.BITS), np.logaddexp(scores[:, 0], scores[:, 1]))
+    left, right = random.normal(size=(2, 700, 3)).astype(np.float32)
+    assert np.allclose(lm.products(left, right), left.T @ right, atol=1e-3)
 
 
 def test_model_probabilities_sum_to_one():
