@@ -1,6 +1,8 @@
 """Decontamination, packing and the token store against brute force."""
 
 import random
+import re
+import sys
 import tracemalloc
 import zlib
 
@@ -91,6 +93,11 @@ def test_encoder_equals_the_library():
                 assert ids[starts[k]:starts[k + 1]].tolist() == ids_of(text).tolist()
 
 
+def test_all_white_space_but_blanks_and_line_ends_is_rare():
+    assert tokens._RARE == [chr(i) for i in range(sys.maxunicode + 1) if re.fullmatch(r"[^\S \n]", chr(i))]
+    assert not any(Encoder(tokenizer_path()).regular(f"a b{letter}c d") for letter in tokens._RARE)
+
+
 def test_added_tokens_have_their_ids_as_in_the_library(docs, spark):
     rng = random.Random(4)
     parts = [*PARTS, *["<|endoftext|>"] * 4, "<|endoftext", "|>", "<|"]
