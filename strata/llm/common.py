@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import functools
 import tempfile
 import zipfile
 from collections.abc import Callable, Iterator
@@ -63,6 +65,25 @@ def let_go(owner: str) -> None:
             forget()
 
 
+def give_back() -> None:
+    """Hand memory that is freed but held by Arrow and by the C library back to the system, as far as they can."""
+    pa.default_memory_pool().release_unused()
+    if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):
+        trim(0)
+
+
+def tidy(run: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """``run`` for a task that gives back at its end what it no longer uses: worker processes stay when their pass is
+    over, beside the joins of the next stage."""
+    @functools.wraps(run)
+    def whole(batches):
+        try:
+            yield from run(batches)
+        finally:
+            give_back()
+    return whole
+
+
 def remainder(key: Column, modulus: int) -> Column:
     """crc32 of the key written as text, modulo ``modulus``; null for a null key."""
     return F.crc32(key.cast("string").cast("binary")) % modulus
@@ -83,6 +104,7 @@ def slices(batch: pa.RecordBatch, text: str = "text", limit: int = SLICE_BYTES)
 def arrow_pass(df: DataFrame, schema: T.StructType, work: Callable[[pa.RecordBatch], pa.RecordBatch | None],
                text: str = "text", setup: Callable[[], None] | None = None) -> DataFrame:
     """Rows of ``work`` for every bounded slice of ``df``, in one pass without an exchange."""
+    @tidy
     def run(batches):
         if setup:
             setup()

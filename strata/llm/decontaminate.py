@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from strata.llm.common import lists, slices
+from strata.llm.common import let_go, lists, slices, tidy
 
 WINDOW = 10
 #: Benchmark text compiled and broadcast at a time; a larger benchmark is searched in several blocks.
@@ -183,7 +183,9 @@ def find_contamination(docs: DataFrame, items: DataFrame, window: int = WINDOW,
         chosen = items if blocks == 1 else items.where(F.pmod(F.xxhash64("item", "text"), F.lit(blocks)) == block)
         tables = spark.sparkContext.broadcast(Matcher([tuple(row) for row in chosen.collect()], window))
 
+        @tidy
         def run(batches, tables=tables):
+            let_go("items")
             matcher = tables.value
             for batch in batches:
                 for part in slices(batch):

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from strata.llm.common import slices
+from strata.llm.common import let_go, slices, tidy
 
 #: Length of a profile.
 TOP = 300
@@ -85,7 +85,9 @@ def learn_profiles(docs: DataFrame, top: int = TOP) -> Profiles:
     A task adds up its own counts before the exchange, so a language that holds most rows is no
     larger than another; only ``top`` rows a language reach the driver.
     """
+    @tidy
     def count(batches):
+        let_go("languages")
         held: dict[str, list] = {}
         for batch in batches:
             for part in slices(batch):
@@ -120,7 +122,9 @@ def identify(docs: DataFrame, profiles: Profiles) -> DataFrame:
     rows = docs.select(*kept)
     shared = docs.sparkSession.sparkContext.broadcast(profiles)
 
+    @tidy
     def run(batches):
+        let_go("languages")
         best = shared.value.best
         for batch in batches:
             for part in slices(batch):

@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from strata.llm.common import arrow_pass, components, documents_only, free_name, let_go, lists, remembers, slices
+from strata.llm.common import arrow_pass, components, documents_only, free_name, let_go, lists, remembers, slices, tidy
 from strata.session import written
 
 WORDS, PERCENT = 5, 80
@@ -95,6 +95,7 @@ def frequency_classes(docs: DataFrame, words: int) -> np.ndarray:
     what goes unnoticed grows with the square root of the corpus only. Counted over all documents; a task hands on its counters once, and they are added in two steps so
     that no step meets more than a part of the tasks.
     """
+    @tidy
     def run(batches):
         let_go("words")
         counts = np.zeros(SKETCH, np.int64)
@@ -181,6 +182,7 @@ def star(prefixes: DataFrame, percent: int) -> DataFrame:
         "token", "doc", "n", F.col("at").cast("long").alias("at"))
     ordered = rows.repartition("token").sortWithinPartitions("token", "doc")
 
+    @tidy
     def run(batches):
         held, shown = None, False
         for batch in batches:
@@ -223,6 +225,7 @@ def between_components(buckets: DataFrame, found: DataFrame, percent: int, tile:
         "token", F.least("side", "other").alias("i"), F.greatest("side", "other").alias("j"), "n", "doc", "at", "c", "side")
     ordered = rows.repartition("token", "i", "j").sortWithinPartitions("token", "i", "j", "n")
 
+    @tidy
     def run(batches):
         held = np.empty((8, 0), np.int64)
         for batch in batches:
@@ -290,6 +293,7 @@ def verified(pairs: DataFrame, measured: DataFrame, docs: DataFrame, words: int,
     """The pairs that link: filtered by the prefixes of every order, then counted on the whole sets."""
     sides = lambda s: measured.select(F.col("doc_id").alias(s), *[F.col(c).alias(f"{c}_{s}") for c in ("n", "first", "second")])
 
+    @tidy
     def allowed(batches):
         for batch in batches:
             keep = []
@@ -310,6 +314,7 @@ def verified(pairs: DataFrame, measured: DataFrame, docs: DataFrame, words: int,
     whole = written(arrow_pass(chosen, T.StructType([
         T.StructField("doc_id", T.LongType()), T.StructField("tokens", T.BinaryType())]), sets), f"{label}-sets")
 
+    @tidy
     def linked(batches):
         for batch in batches:
             keep = []

@@ -15,7 +15,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from strata.llm.common import documents_only, slices
+from strata.llm.common import documents_only, slices, tidy
 from strata.llm.tokens import encoder
 
 SEQUENCE = 1024
@@ -113,6 +113,7 @@ def pack(docs: DataFrame, capacity: int = SEQUENCE, tokenizer: str | None = None
     leaves at most one sequence that is not full. Sequence ids hold the partition, so they
     never meet. A task that is run again gives its own rows anew.
     """
+    @tidy
     def run(batches):
         packer = Packer(TaskContext.get().partitionId(), capacity, block, with_ids)
         encode = encoder(tokenizer, end).encode

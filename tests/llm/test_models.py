@@ -11,7 +11,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from strata.llm import language_id, lm, quality, toxicity
+from strata.llm import common, language_id, lm, quality, toxicity
 from tests.llm.conftest import EDGE_TEXTS
 
 ALPHABETS = {"aa": ["ka", "to", "mi", "ra"], "bb": ["strö", "chen", "gau", "pf"], "cc": ["日", "本", "語", "の"]}
@@ -278,3 +278,16 @@ def test_held_out_folds_follow_the_checksum(spark):
     from strata.llm.common import remainder
     rows = spark.range(50).select("id", remainder(F.col("id"), 7).alias("m")).collect()
     assert all(r.m == zlib.crc32(str(r.id).encode()) % 7 for r in rows)
+
+
+def test_language_passes_free_what_other_passes_keep(docs, monkeypatch):
+    frame = docs(["some words"]).withColumn("lang", F.lit("en"))
+    passes, gone = [], []
+    real = type(frame).mapInArrow
+    monkeypatch.setattr(type(frame), "mapInArrow", lambda self, run, schema: passes.append(run) or real(self, run, schema))
+    language_id.identify(frame, language_id.learn_profiles(frame))
+    monkeypatch.setitem(common._REMEMBERED, "tokens", lambda: gone.append("tokens"))
+    monkeypatch.setattr(common, "give_back", lambda: gone.append("given back"))
+    for run in passes:
+        assert len(list(run(iter([pa.RecordBatch.from_pydict({"text": ["some words"], "lang": ["en"]})])))) == 1
+    assert len(passes) == 2 and gone == ["tokens", "given back"] * 2
