@@ -28,6 +28,8 @@ from strata.session import written
 SHINGLE, PERCENT = 5, 80
 #: Buckets of the rarity table, and lines that may be broadcast (16 bytes each) to pick them out of the texts.
 BUCKETS, BROADCAST_LINES = 1 << 17, 400_000
+#: Neighbouring buckets that are counted side by side, in one row: a task then has few enough groups for Spark's fast table of them.
+BESIDE = 4
 _WHITE = " \t\x0b\f\r"
 _BITS = (1 << 56) - 1
 #: Bits for a line's size and a token's place in it, beside 31 for the line's number. Larger ones meet no filter before they are verified.
@@ -49,7 +51,9 @@ def has_words(line: Column) -> Column:
 def words_of(line: str) -> Column:
     """Words of a line; one without other white space than single blanks between words is cut the short way."""
     text = F.col(line)
-    odd = text.contains("  ") | text.startswith(" ") | text.endswith(" ") | text.rlike(r"[\t\x0B\f\r]")
+    odd = text.contains("  ") | text.startswith(" ") | text.endswith(" ")
+    for white in _WHITE[1:]:
+        odd = odd | text.contains(white)  # bytes are compared; a pattern would be tried at every letter
     slow = F.split(F.btrim(text, F.lit(_WHITE)), r"[ \t\x0B\f\r]+")
     return F.when(odd, slow).otherwise(F.split(text, " "))
 
@@ -91,10 +95,12 @@ def rarity_levels(lines: DataFrame) -> list[int]:
     goes unnoticed grows with the square root of the corpus only.
     """
     counts = [0] * BUCKETS
-    counted = token_rows(lines).groupBy(
-        F.col("token").bitwiseAND(F.lit(BUCKETS - 1)).alias("bucket")).count()
-    for row in counted.collect():
-        counts[row["bucket"]] = row["count"]
+    bucket = F.col("token").bitwiseAND(F.lit(BUCKETS - 1)).cast("int")
+    one = lambda k: F.when(bucket.bitwiseAND(F.lit(BESIDE - 1)) == k, F.lit(1)).otherwise(F.lit(0))
+    counted = token_rows(lines).groupBy(F.shiftright(bucket, BESIDE.bit_length() - 1).alias("row")).agg(
+        *[F.sum(one(k)).alias(f"n{k}") for k in range(BESIDE)])
+    for row, *beside in counted.collect():
+        counts[BESIDE * row:BESIDE * (row + 1)] = beside
     usual = statistics.median(counts)
     noise = usual + 2 * math.sqrt(usual) + 2
     return [min(127, int(1 + 4 * math.log2(count / noise))) if count > noise else 0 for count in counts]
@@ -109,10 +115,10 @@ def ordered_tokens(hashes: str, levels: list[int]) -> Column:
     return F.sort_array(F.array_distinct(keys))
 
 
-def measured_lines(lines: DataFrame, levels: list[int]) -> DataFrame:
-    """``(doc_id, line_no, tokens)`` with the ordered tokens of every line."""
-    hashed = lines.select("doc_id", "line_no", word_hashes(words_of("line")).alias("hashes"))
-    return hashed.select("doc_id", "line_no", ordered_tokens("hashes", levels).alias("tokens"))
+def measured_lines(lines: DataFrame, levels: list[int], *also: str) -> DataFrame:
+    """``(doc_id, line_no, tokens)`` with the ordered tokens of every line, and the columns ``also``."""
+    hashed = lines.select("doc_id", "line_no", *also, word_hashes(words_of("line")).alias("hashes"))
+    return hashed.select("doc_id", "line_no", *also, ordered_tokens("hashes", levels).alias("tokens"))
 
 
 def packed(line_no: str, n: str, at: str) -> Column:
@@ -141,15 +147,20 @@ def close_enough(percent: int) -> Column:
 
 
 def verified(pairs: DataFrame, docs: DataFrame, levels: list[int], percent: int, label: str) -> DataFrame:
-    """``(doc_id, line_no)`` of the later lines among ``pairs`` whose sets are similar enough."""
+    """``(doc_id, line_no)`` of the later lines among ``pairs`` whose sets are similar enough.
+
+    Few pairs are broadcast to the sets of their later lines, which then meet the earlier ones in one exchange; a set
+    goes only where its line takes part.
+    """
     early, late = ["early_doc", "early_line"], ["doc_id", "line_no"]
-    wanted = pairs.select(*late).unionByName(pairs.select(*[F.col(e).alias(n) for e, n in zip(early, late)])).distinct()
-    wanted = written(wanted, f"{label}-wanted")
-    chosen = F.broadcast(wanted) if wanted.count() <= BROADCAST_LINES else wanted
-    sets = written(
-        measured_lines(lines_of(docs).join(chosen, late, "left_semi"), levels), f"{label}-sets")
-    both = pairs.join(sets, late).join(
-        sets.select(*[F.col(n).alias(e) for e, n in zip(early, late)], F.col("tokens").alias("others")), early)
+    sides = pairs.select(*late, F.lit(True).alias("is_late")).unionByName(
+        pairs.select(*[F.col(e).alias(n) for e, n in zip(early, late)], F.lit(False).alias("is_late")))
+    wanted = written(sides.groupBy(*late).agg(
+        F.max("is_late").alias("later"), F.max(~F.col("is_late")).alias("earlier")), f"{label}-wanted")
+    few = lambda rows: F.broadcast(rows) if rows.count() <= BROADCAST_LINES else rows
+    sets = written(measured_lines(lines_of(docs).join(few(wanted), late), levels, "later", "earlier"), f"{label}-sets")
+    both = sets.where("later").drop("later", "earlier").join(few(pairs), late).join(
+        sets.where("earlier").select(*[F.col(n).alias(e) for e, n in zip(early, late)], F.col("tokens").alias("others")), early)
     shared = F.size(F.array_intersect("tokens", "others"))
     return both.where(100 * shared >= percent * (F.size("tokens") + F.size("others") - shared)).select(*late).distinct()
 

@@ -3,6 +3,7 @@
 import random
 
 import numpy as np
+import pytest
 
 from strata.llm import embedding_dedup, line_dedup, ngram_join
 from tests.llm import brute
@@ -153,3 +154,53 @@ def test_a_text_of_very_many_lines_loses_its_repeated_ones(docs):
     text = "\n".join([*own, "the same words come here once more", "", "the same words come here once more"])
     found = {r.doc_id: r.text for r in line_dedup.remove_repeated_lines(docs([text, "the same words come here once more\nand new ones"])).collect()}
     assert found == {0: "\n".join([*own, "the same words come here once more", ""]), 1: "and new ones"}
+
+
+def test_sets_of_lines_go_only_where_they_take_part(docs, spark):
+    """What meets at the earlier lines: one set for each pair, and one for each earlier line, not those of all lines."""
+    first = " ".join(f"w{i}" for i in range(30))
+    texts = [first, *[first.replace("w29", f"v{k}") for k in range(6)], first + " end"]
+    frame = line_dedup.documents_only(docs(texts))
+    pairs = spark.createDataFrame([(k, 0, 0, 0) for k in range(1, 8)] + [(7, 0, 6, 0)],
+                                  "doc_id long, line_no int, early_doc long, early_line int")
+    levels = line_dedup.rarity_levels(line_dedup.lines_of(frame))
+    exchanged = []
+
+    class Sets:
+        """Keeps what ``verified`` writes, to count it."""
+        def __call__(self, df, label):
+            out = line_dedup_written(df, label)
+            if label.endswith("-sets"):
+                exchanged.append({(r.doc_id, r.later, r.earlier) for r in out.select("doc_id", "later", "earlier").collect()})
+            return out
+
+    line_dedup_written, line_dedup.written = line_dedup.written, Sets()
+    try:
+        found = line_dedup.verified(pairs, frame, levels, 80, "t")
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        assert {(r.doc_id, r.line_no) for r in found.collect()} == {(k, 0) for k in range(1, 8)}
+    finally:
+        line_dedup.written = line_dedup_written
+    assert exchanged == [{(0, False, True), *[(k, True, False) for k in range(1, 6)], (6, True, True), (7, True, False)}]
+    assert "BroadcastHashJoin [doc_id" in plan  # pairs come to the sets of their later lines, which are not dealt out for that
+
+
+@pytest.mark.parametrize("beside", [1, 4])
+def test_levels_are_those_of_counted_buckets(docs, monkeypatch, beside):
+    lines = line_dedup.lines_of(line_dedup.documents_only(docs(line_texts())))
+    monkeypatch.setattr(line_dedup, "BUCKETS", 16)
+    monkeypatch.setattr(line_dedup, "BESIDE", beside)
+    counts = [0] * 16
+    for row in line_dedup.token_rows(lines).collect():
+        counts[row.token & 15] += 1
+    usual = sorted(counts)[7:9]
+    noise = sum(usual) / 2 + 2 * (sum(usual) / 2) ** 0.5 + 2
+    levels = line_dedup.rarity_levels(lines)
+    assert [level > 0 for level in levels] == [n > noise for n in counts]
+
+
+@pytest.mark.parametrize("white", ["\t", "\x0b", "\f", "\r", "  "])
+def test_words_between_any_white_space(docs, white):
+    line = f"a b{white}c d"
+    found = line_dedup.lines_of(line_dedup.documents_only(docs([line, " " + line, line + " "])))
+    assert [r.w for r in found.select(line_dedup.words_of("line").alias("w")).collect()] == [list("abcd")] * 3
