@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from strata.llm import decontaminate, language_id, line_dedup, ngram_join, packing
-from strata.llm.common import ship, table
+from strata.llm.common import ship, small_batches, table
 from strata.session import written
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
@@ -20,6 +20,7 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 def identified(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in a language: profiles are learned from all of ``docs`` that name one; ``und`` goes, and so do
     texts none of whose n-grams is in a profile (score 0)."""
+    small_batches(spark)
     return language_id.keep_identified(docs, language_id.learn_profiles(docs), above=0.0)
 
 
@@ -30,16 +31,19 @@ def new_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def different(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of every group of linked documents the one with the smallest doc_id."""
+    small_batches(spark)
     return ngram_join.keep_one_of_each(docs)
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in which no benchmark window occurs."""
+    small_batches(spark)
     return decontaminate.remove_contaminated(docs, table(spark, sf_dir, "benchmark"))
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of what is left, with their place in the training sequences."""
+    small_batches(spark)
     return packing.pack(docs).drop("ids")
 
 

@@ -21,6 +21,8 @@ from strata.session import written
 
 #: Text bytes handled at a time in a Python worker; a single longer text is a slice of its own.
 SLICE_BYTES = 4_000_000
+#: Bytes of rows that a stage of the pipeline sends to a Python worker at a time, and what Spark takes if nobody says.
+BATCH_BYTES, SPARK_BATCH = 8_000_000, "67108864b"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -72,11 +74,20 @@ def give_back() -> None:
         trim(0)
 
 
+def small_batches(spark: SparkSession) -> None:
+    """From now on Spark hands rows to the session's Python workers in Arrow batches of about ``BATCH_BYTES``, unless the
+    session names another size: a worker holds two batches and the executor builds a third beside it."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if spark.conf.get(name) == SPARK_BATCH:
+        spark.conf.set(name, str(BATCH_BYTES))
+
+
 def tidy(run: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
     """``run`` for a task that gives back at its end what it no longer uses: worker processes stay when their pass is
-    over, beside the joins of the next stage."""
+    over, beside the joins of the next stage. Arrow takes its memory from the C library, which keeps less of what is freed."""
     @functools.wraps(run)
     def whole(batches):
+        pa.set_memory_pool(pa.system_memory_pool())
         try:
             yield from run(batches)
         finally:

@@ -15,7 +15,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from strata.llm.common import documents_only, slices, tidy
+from strata.llm.common import documents_only, give_back, slices, tidy
 from strata.llm.tokens import encoder
 
 SEQUENCE = 1024
@@ -118,12 +118,13 @@ def pack(docs: DataFrame, capacity: int = SEQUENCE, tokenizer: str | None = None
         packer = Packer(TaskContext.get().partitionId(), capacity, block, with_ids)
         encode = encoder(tokenizer, end).encode
         for batch in batches:
-            for part in slices(batch, limit=2_000_000):
+            for part in slices(batch, limit=1_000_000):
                 ids, starts = encode(part.column("text").to_pylist())
                 for i, doc in enumerate(part.column("doc_id").to_pylist()):
                     packer.add(doc, ids[starts[i]:starts[i + 1]])
                 if (made := packer.take()) is not None:
                     yield made
+            give_back()
         packer.flush()
         if (made := packer.take()) is not None:
             yield made

@@ -2,8 +2,12 @@
 
 import random
 
+import pyarrow as pa
+import pytest
+
 import corpus_pipeline
 from strata.llm import language_id
+from strata.llm.common import BATCH_BYTES, tidy
 from tests.llm import brute
 from tests.llm.test_search_and_tokens import ids_of
 
@@ -75,3 +79,29 @@ def test_an_empty_table_gives_no_pieces(spark, tmp_path):
     spark.createDataFrame([], columns).write.parquet(str(tmp_path / "documents.parquet"))
     spark.createDataFrame([], "item_id string, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
     assert corpus_pipeline.run(spark, str(tmp_path)).collect() == []
+
+
+@pytest.mark.parametrize("stage", [0, 2, 3, 4])
+def test_stages_send_small_batches_to_workers(spark, tmp_path, stage):
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    docs = spark.createDataFrame([(i, f"the house {i}", "en") for i in range(3)], "doc_id long, text string, lang string")
+    spark.createDataFrame([("a", "one two three")], "item_id string, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    try:
+        spark.conf.unset(name)
+        corpus_pipeline.STAGES[stage][1](spark, docs, str(tmp_path))
+
+        @tidy
+        def measure(batches):
+            for batch in batches:
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([batch.nbytes], pa.int64()), pa.array([pa.default_memory_pool().backend_name])], ["n", "pool"])
+
+        long = spark.range(0, 6000, 1, 1).selectExpr("repeat('x', 5000) AS text")
+        made = long.mapInArrow(measure, "n long, pool string").collect()
+        assert sum(row["n"] for row in made) >= 30_000_000 and max(row["n"] for row in made) < 1.5 * BATCH_BYTES
+        assert {row["pool"] for row in made} == {"system"}
+        spark.conf.set(name, "5000000b")
+        corpus_pipeline.STAGES[stage][1](spark, docs, str(tmp_path))
+        assert spark.conf.get(name) == "5000000b"
+    finally:
+        spark.conf.unset(name)
